@@ -11,6 +11,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from statledger.session import written
+
 
 def _fitted(features: DataFrame, cols: Sequence[str], k: int, seed: int):
     pipeline = Pipeline(
@@ -25,6 +27,7 @@ def _fitted(features: DataFrame, cols: Sequence[str], k: int, seed: int):
 
 def kmeans_segments(features: DataFrame, cols: Sequence[str], k: int, seed: int = 1) -> DataFrame:
     """``features`` with the segment of each row, clustered on standardised columns."""
+    features = written(features, "features")
     model = _fitted(features, cols, k, seed)
     return model.transform(features).drop("_raw", "_scaled")
 
@@ -43,7 +46,9 @@ def anomaly_flags(
     the rows assigned to it. Rows beyond the ``1 - contamination`` quantile are
     flagged; the quantile's rank is exact up to one part in ``accuracy``.
     Centroids are plan literals: ``k`` vectors, whatever the input's size.
+    The features are stored first, because fitting and scoring read them often.
     """
+    features = written(features.select(*cols), "features")
     model = _fitted(features, cols, k, seed)
     centres = model.stages[-1].clusterCenters()
     point = vector_to_array("_scaled")
@@ -75,7 +80,7 @@ def anomaly_flags(
         F.percentile_approx("normalized_distance", 1 - contamination, accuracy)
     ).scalar()
     return scored.select(
-        *features.columns,
+        *cols,
         "segment",
         "normalized_distance",
         (F.col("normalized_distance") > cut).alias("is_anomaly"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,10 +82,7 @@ def suppression_status_usage(silver: DataFrame, measures: Sequence[str]) -> Data
     """Every status with its meaning and how many cells of ``silver`` carry it."""
     counted = silver.agg(
         *[
-            reduce(
-                lambda a, b: a + b,
-                [F.count_if(F.col(f"{m}_status") == code) for m in measures],
-            ).alias(code)
+            reduce(add, [F.count_if(F.col(f"{m}_status") == code) for m in measures]).alias(code)
             for code, *_ in SUPPRESSION_STATUS
         ]
     )

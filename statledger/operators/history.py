@@ -33,7 +33,7 @@ def _collapse(
 
     ``_from`` holds the version a row's run began in and ``_group`` the number
     of records its key had by then; both matter when a row is already a record.
-    Two window steps share one shuffle and one sort on the key; there is no
+    Both window steps share one shuffle and one sort on the key; there is no
     aggregation, and a key has at most one row per version.
     """
     by_key = Window.partitionBy(*key).orderBy(seq)
@@ -46,9 +46,13 @@ def _collapse(
     return (
         rows.withColumn("_begins", F.col("_from.seq"))
         .withColumn("_opens", opens)
-        .withColumn("_next", F.lead("_opens").over(by_key))
-        .withColumn("_run", F.last(F.when(F.col("_opens"), F.col("_from")), True).over(so_far))
-        .withColumn("validity_group", F.sum(step).over(so_far).cast("bigint"))
+        .withColumns(
+            {
+                "_next": F.lead("_opens").over(by_key),
+                "_run": F.last(F.when(F.col("_opens"), F.col("_from")), True).over(so_far),
+                "validity_group": F.sum(step).over(so_far).cast("bigint"),
+            }
+        )
         .filter(F.coalesce("_next", F.lit(True)))
     )
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,9 +50,7 @@ def published_without_value(measure: str) -> Column:
 
 def unrecognised(measures: Sequence[str]) -> Column:
     """Any measure with a marker the table's vocabulary lacks."""
-    return reduce(
-        lambda a, b: a | b, [F.col(f"{m}_status") == UNRECOGNISED for m in measures]
-    )
+    return reduce(or_, [F.col(f"{m}_status") == UNRECOGNISED for m in measures])
 
 
 def check_rows(df: DataFrame, failing: Column) -> DataFrame:
@@ -59,6 +58,18 @@ def check_rows(df: DataFrame, failing: Column) -> DataFrame:
     return df.filter(failing)
 
 
+def check_not_null(df: DataFrame, name: str) -> DataFrame:
+    return check_rows(df, not_null(name))
+
+
+def check_values(df: DataFrame, name: str, values: Sequence) -> DataFrame:
+    return check_rows(df, not_in(name, values))
+
+
+def check_range(df: DataFrame, name: str, low, high) -> DataFrame:
+    return check_rows(df, outside(name, low, high))
+
+
 def check_unique(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Column combinations that occur more than once, with their count."""
     return df.groupBy(*cols).agg(F.count("*").alias("copies")).filter("copies > 1")
@@ -124,7 +135,8 @@ def identifier_columns(
         for t, cols in flagged.items()
     ]
     if not found:
-        return suspect.select("table_name", "column_name", F.lit(0).cast("bigint").alias("values_held"))
+        none = F.lit(0).cast("bigint").alias("values_held")
+        return suspect.select("table_name", "column_name", none)
     return reduce(DataFrame.unionByName, found)
 
 

@@ -114,8 +114,10 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         for kept in combinations(dims, n)
     ]
     counts = ("lines", "starts", "achieved_lines", "achievements")
+    # A few thousand rows would end up in one task, which then makes every subtotal.
+    spread = finest_cells(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism)
     cubed = (
-        finest_cells(spark, sf_dir)
+        spread
         .groupingSets(sets, "year", *area, *dims)
         .agg(
             *[F.sum(c).alias(c) for c in counts],

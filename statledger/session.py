@@ -41,3 +41,14 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     if len(rows) > max_rows:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` stored in the shared folder, for results that several jobs read.
+
+    Unlike a cached result it does not have to be computed again when an
+    executor is lost.
+    """
+    path = scratch_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

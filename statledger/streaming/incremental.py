@@ -9,10 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from statledger.plans.warehouse import Warehouse
 from statledger.sources.bronze import CSV, DATA, bronze_schema
+from statledger.sources.catalogue import EXTRACT, decide
 
 Publish = Callable[[DataFrame, int], None]
 
@@ -64,3 +67,36 @@ def extend_or_rebuild(warehouse: Warehouse) -> Publish:
             warehouse.build(number)
 
     return publish
+
+
+STATE_SCHEMA = (
+    "dataset_id string, action string, latest_version string, previous_version string, "
+    "decided_at timestamp"
+)
+
+
+def last_seen(spark: SparkSession, state: str) -> str | None:
+    """The version loaded last according to the state folder, None before the first."""
+    try:
+        log = spark.read.schema(STATE_SCHEMA).json(f"{state}/last_seen")
+    except AnalysisException:
+        return None
+    return log.agg(F.max_by("latest_version", "decided_at")).first()[0]
+
+
+def load_if_new(
+    versions: DataFrame, state: str, load: Callable[[str], None], dataset_id: str = ""
+) -> str:
+    """Load the newest listed version unless it was loaded last; returns the action.
+
+    Every decision is recorded. The last-seen version advances only after
+    ``load`` returned, so a failed load is tried again.
+    """
+    spark = versions.sparkSession
+    decision = decide(versions, last_seen(spark, state), dataset_id).first()
+    record = spark.createDataFrame([decision], STATE_SCHEMA).coalesce(1)
+    record.write.mode("append").json(f"{state}/decisions")
+    if decision.action == EXTRACT:
+        load(decision.latest_version)
+        record.write.mode("append").json(f"{state}/last_seen")
+    return decision.action
