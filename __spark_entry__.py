@@ -21,10 +21,9 @@ from statledger.plans import lines as ln
 from statledger.plans.standin import LEVELS, RELEASES, SPEC, Standin, standin, table
 from statledger.plans.warehouse import KEY, SEQ
 from statledger.plans.warehouse import history as build_history
-from statledger.session import scratch_path
+from statledger.session import scratch_path, written
 from statledger.sources import bronze as br
 from statledger.sources import catalogue as cat
-from statledger.sources.tables import read_table
 from statledger.streaming.incremental import extend_or_rebuild, run_incremental
 
 NEWEST = RELEASES[-1][0]
@@ -181,6 +180,11 @@ def fact_table(spark, sf):
     return standin(spark, sf).warehouse().fact()
 
 
+def last_records(spark, sf):
+    """Where the current records are; the superseded ones are not read."""
+    return standin(spark, sf).warehouse().last_records()
+
+
 def scd2_fact(spark, sf):
     made = standin(spark, sf)
     return build_history(made.warehouse().silver(), made.versions(), SPEC)
@@ -216,7 +220,7 @@ def incremental_load(spark, sf):
         run_incremental(
             spark, arriving.landing, checkpoint, SPEC.bronze_columns, extend_or_rebuild(target)
         )
-    return read_table(spark, target.root, "gold", "version_history")
+    return target.fact()
 
 
 def as_of_version(spark, sf):
@@ -272,25 +276,25 @@ def rounding_check(spark, sf):
 
 
 def reconciliation(spark, sf):
-    return profile.reconcile(fact_table(spark, sf), SPEC)
+    return profile.reconcile(last_records(spark, sf), SPEC)
 
 
 # -- marts -----------------------------------------------------------------------
 
 
 def regional_trends(spark, sf):
-    return marts.regional_trends(fact_table(spark, sf), SPEC)
+    return marts.regional_trends(last_records(spark, sf), SPEC)
 
 
 def level_shift(spark, sf):
-    return marts.level_shift(fact_table(spark, sf), SPEC)
+    return marts.level_shift(last_records(spark, sf), SPEC)
 
 
 def pipeline_health(spark, sf):
     made = standin(spark, sf)
     house = made.warehouse()
     return marts.pipeline_health(
-        house.fact(), house.silver(), made.versions(), SPEC, as_of=AS_OF_DAY
+        house.last_records(), house.silver(), made.versions(), SPEC, as_of=AS_OF_DAY
     )
 
 
@@ -315,7 +319,7 @@ def region_prompts(spark, sf):
 
 
 def region_mix_features(spark, sf):
-    return marts.mix_features(fact_table(spark, sf), SPEC)
+    return marts.mix_features(last_records(spark, sf), SPEC)
 
 
 def restatement_features(spark, sf):
@@ -323,11 +327,11 @@ def restatement_features(spark, sf):
 
 
 def level_share_series(spark, sf):
-    return marts.share_series(fact_table(spark, sf), SPEC, LEVELS)
+    return marts.share_series(last_records(spark, sf), SPEC, LEVELS)
 
 
 def feed_national_trend(spark, sf):
-    return marts.feed_national_trend(fact_table(spark, sf), SPEC)
+    return marts.feed_national_trend(last_records(spark, sf), SPEC)
 
 
 def feed_level_mix(spark, sf):
@@ -356,7 +360,7 @@ def forecast_query(spark, sf):
 
 
 def forecast_holdout(spark, sf):
-    actual = marts.share_series(fact_table(spark, sf), SPEC, LEVELS, provisional=True)
+    actual = marts.share_series(last_records(spark, sf), SPEC, LEVELS, provisional=True)
     checked = holdout_check(
         shares_forecast(spark, sf), actual, "level", "academic_year_start", "share"
     )
@@ -421,11 +425,11 @@ def dq_relationships(spark, sf):
 
 
 def dq_current_matches_latest(spark, sf):
-    return quality.check_current_count(fact_table(spark, sf), standin(spark, sf).versions())
+    return quality.check_current_count(last_records(spark, sf), standin(spark, sf).versions())
 
 
 def dq_reconciliation(spark, sf):
-    return quality.check_reconciliation(fact_table(spark, sf), SPEC)
+    return quality.check_reconciliation(last_records(spark, sf), SPEC)
 
 
 def dq_unrecognised(spark, sf):
@@ -467,7 +471,7 @@ def lines_scd2(spark, sf):
 
 def lines_scd2_extended(spark, sf):
     register = ln.register(spark, sf)
-    rows = ln.typed(ln.latest(register))
+    rows = written(ln.typed(ln.latest(register)), "lines")
     old = ln.line_history(rows.filter(F.col(SEQ) < 2000), register.filter(F.col(SEQ) < 2000))
     return history.extend_history(
         old, rows.filter(F.col(SEQ) >= 2000), ln.KEY, SEQ, ln.TYPED, ln.CARRY, version="version"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
@@ -11,6 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from statledger.operators.quantile import nth_smallest
 from statledger.session import written
 
 
@@ -38,15 +40,13 @@ def anomaly_flags(
     k: int,
     contamination: float = 0.02,
     seed: int = 1,
-    accuracy: int = 1_000_000,
 ) -> DataFrame:
     """Each row's normalised distance to its nearest centroid, and the farthest flagged.
 
     The distance to a centroid is divided by the root mean square distance of
-    the rows assigned to it. Rows beyond the ``1 - contamination`` quantile are
-    flagged; the quantile's rank is exact up to one part in ``accuracy``.
-    Centroids are plan literals: ``k`` vectors, whatever the input's size.
-    The features are stored first, because fitting and scoring read them often.
+    the rows assigned to it. Rows farther than the ``1 - contamination`` quantile
+    are flagged. Centroids are plan literals: ``k`` vectors, whatever the
+    input's size. Features and scores are stored, because several passes read them.
     """
     features = written(features.select(*cols), "features")
     model = _fitted(features, cols, k, seed)
@@ -75,13 +75,10 @@ def anomaly_flags(
     # A segment without spread holds equal rows only; their distance is 0.
     nearest = F.least(*normal) if len(normal) > 1 else (normal[0] if normal else F.lit(0.0))
     exact = F.when(assigned == 0, F.lit(0.0)).otherwise(nearest)
-    scored = measured.withColumn("normalized_distance", exact)
-    cut = scored.agg(
-        F.percentile_approx("normalized_distance", 1 - contamination, accuracy)
-    ).scalar()
-    return scored.select(
-        *cols,
-        "segment",
-        "normalized_distance",
-        (F.col("normalized_distance") > cut).alias("is_anomaly"),
+    scored = written(
+        measured.select(*cols, "segment", exact.alias("normalized_distance")), "scores"
     )
+    cut = nth_smallest(
+        scored, "normalized_distance", math.ceil(scored.count() * (1 - contamination))
+    )
+    return scored.withColumn("is_anomaly", F.col("normalized_distance") > F.lit(cut))

@@ -36,7 +36,8 @@ def latest_extraction(
         df = df.join(small_side(newest), [load, *order], "left_semi")
     if tiebreak is None:
         tiebreak = [c for c in df.columns if c not in (*keys, *order)]
-    ranked = Window.partitionBy(*keys).orderBy(
+    # Sorting compares the hash first, a number, and the key's text only on ties.
+    ranked = Window.partitionBy(F.xxhash64(*keys), *keys).orderBy(
         *[F.col(c).desc_nulls_last() for c in (*order, *tiebreak)]
     )
     return df.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")

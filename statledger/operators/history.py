@@ -11,16 +11,6 @@ from pyspark.sql import functions as F
 
 from statledger.functions import safe_divide
 
-RECORD = (
-    "validity_group",
-    "valid_from_seq",
-    "valid_to_seq",
-    "valid_from_version",
-    "valid_to_version",
-    "valid_from_published",
-)
-
-
 def _differs(cols: Sequence[str], window) -> Column:
     """Any column distinct from its value on the previous row (NULL equals NULL)."""
     return reduce(or_, [~F.lag(c).over(window).eqNullSafe(F.col(c)) for c in cols])
@@ -57,6 +47,24 @@ def _collapse(
     )
 
 
+def _release_rows(
+    df: DataFrame, key: Sequence[str], seq: str, version: str, published: str, kept: Sequence[str]
+) -> DataFrame:
+    """Rows of a release, each a record of its own so far."""
+    return df.select(
+        *key,
+        seq,
+        version,
+        F.struct(
+            F.col(seq).alias("seq"),
+            F.col(version).alias("version"),
+            F.col(published).alias("published"),
+        ).alias("_from"),
+        F.lit(1).cast("bigint").alias("_group"),
+        *kept,
+    )
+
+
 def _records(
     runs: DataFrame,
     key: Sequence[str],
@@ -114,25 +122,14 @@ def scd2(
     bounds a window group by the number of versions.
     """
     newest = (versions if versions is not None else df).agg(F.max(seq)).scalar()
-    rows = df.select(
-        *key,
-        seq,
-        version,
-        F.struct(
-            F.col(seq).alias("seq"),
-            F.col(version).alias("version"),
-            F.col(published).alias("published"),
-        ).alias("_from"),
-        F.lit(1).cast("bigint").alias("_group"),
-        *carry,
-        *compare,
-    )
+    kept = [*carry, *compare]
+    rows = _release_rows(df, key, seq, version, published, kept)
     runs = _collapse(rows, key, seq, compare, break_on_gap)
-    return _flagged(_records(runs, key, seq, version, [*carry, *compare]), newest)
+    return _flagged(_records(runs, key, seq, version, kept), newest)
 
 
-def extend_history(
-    fact: DataFrame,
+def advance_history(
+    last: DataFrame,
     new: DataFrame,
     key: Sequence[str],
     seq: str,
@@ -142,16 +139,15 @@ def extend_history(
     published: str = "published_at",
     break_on_gap: bool = False,
 ) -> DataFrame:
-    """History after versions newer than all in ``fact``, without the old silver rows.
+    """What becomes of each key's last record when versions newer than all before arrive.
 
-    Only the last record of each key can change: it is either prolonged or
-    followed by a new record. Closed records pass through without a shuffle.
-    Equals ``scd2`` over all versions.
+    ``last`` holds the records that are not superseded. Each is prolonged or
+    followed by new records; the result holds it and those. The flags of
+    records superseded before do not change any more.
     """
-    newest = new.agg(F.max(seq)).scalar()
     kept = [*carry, *compare]
-    closed = fact.filter("is_superseded").select(*key, *RECORD, *kept, "is_superseded")
-    last = fact.filter("NOT is_superseded").select(
+    newest = new.agg(F.max(seq)).scalar()
+    held = last.select(
         *key,
         F.col("valid_to_seq").alias(seq),
         F.col("valid_to_version").alias(version),
@@ -163,21 +159,28 @@ def extend_history(
         F.col("validity_group").alias("_group"),
         *kept,
     )
-    added = new.select(
-        *key,
-        seq,
-        version,
-        F.struct(
-            F.col(seq).alias("seq"),
-            F.col(version).alias("version"),
-            F.col(published).alias("published"),
-        ).alias("_from"),
-        F.lit(1).cast("bigint").alias("_group"),
-        *kept,
-    )
-    runs = _collapse(last.unionByName(added), key, seq, compare, break_on_gap)
-    records = _records(runs, key, seq, version, kept)
-    return _flagged(closed.unionByName(records), newest)
+    rows = held.unionByName(_release_rows(new, key, seq, version, published, kept))
+    runs = _collapse(rows, key, seq, compare, break_on_gap)
+    return _flagged(_records(runs, key, seq, version, kept), newest)
+
+
+def extend_history(
+    fact: DataFrame,
+    new: DataFrame,
+    key: Sequence[str],
+    seq: str,
+    compare: Sequence[str],
+    carry: Sequence[str] = (),
+    **options,
+) -> DataFrame:
+    """History after versions newer than all in ``fact``, without the old silver rows.
+
+    Superseded records pass through without a shuffle. Equals ``scd2`` over all
+    versions.
+    """
+    last = fact.filter("NOT is_superseded")
+    records = advance_history(last, new, key, seq, compare, carry, **options)
+    return fact.filter("is_superseded").select(*records.columns).unionByName(records)
 
 
 def as_of_version(fact: DataFrame, seq: int | Column) -> DataFrame:

@@ -423,6 +423,6 @@ def standin(spark: SparkSession, sf_dir: str) -> Standin:
     if key not in _READY:
         made = Standin(spark, sf_dir)
         made.land()
-        made.warehouse().build(0)
+        made.warehouse().build()
         _READY[key] = made
     return _READY[key]

@@ -8,11 +8,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statledger.operators.history import extend_history, scd2
+from statledger.operators.history import advance_history, scd2
 from statledger.operators.quality import fact_report, gate, silver_report
 from statledger.operators.silver import to_silver, with_version
 from statledger.sources.bronze import read_bronze
-from statledger.sources.tables import publish_table, published_runs, read_table, stage_table
+from statledger.sources.tables import publications, publish_table, read_table, stage_table
 from statledger.spec import TableSpec
 
 SILVER = ("silver", "typed_rows")
@@ -53,11 +53,32 @@ class Warehouse:
     def bronze(self) -> DataFrame:
         return read_bronze(self.spark, self.landing, self.spec.bronze_columns)
 
+    def _newest_run(self) -> int | None:
+        entries = publications(self.spark, self.root, *FACT)
+        return entries[0].run if entries else None
+
     def silver(self) -> DataFrame:
-        return read_table(self.spark, self.root, *SILVER)
+        """Typed rows, as far as the published history covers them."""
+        return read_table(self.spark, self.root, *SILVER, upto=self._newest_run())
 
     def fact(self) -> DataFrame:
-        return read_table(self.spark, self.root, *FACT)
+        """All records of the history.
+
+        Superseded records never change, so every run only adds some; the last
+        record of each key is written anew by every run. Both conditions
+        are on partition columns.
+        """
+        rows = read_table(self.spark, self.root, *FACT, with_run=True)
+        live = F.col("is_superseded") | (F.col("run") == self._newest_run())
+        return rows.filter(live).drop("run")
+
+    def last_records(self) -> DataFrame:
+        """The last record of each key, among them all current ones."""
+        return self.fact().filter("NOT is_superseded")
+
+    def is_loaded(self, label: str) -> bool:
+        """Whether the load with this label was published."""
+        return any(e.label == label for e in publications(self.spark, self.root, *FACT))
 
     def _stage_silver(self, rows: DataFrame, run: int) -> DataFrame:
         stored = stage_table(
@@ -77,45 +98,53 @@ class Warehouse:
             self.root,
             *FACT,
             run,
-            partition_by=("academic_year_start",),
+            partition_by=("is_superseded", "academic_year_start"),
             cluster_by=("row_key", self.spec.area_code, self.spec.level),
         )
         gate(fact_report(stored, versions, self.spec), (*self.allowed, *ADVISORY))
         return stored
 
-    def build(self, run: int) -> None:
-        """Rebuild everything from the landing layer as run ``run``."""
+    def _next_run(self) -> int:
+        newest = self._newest_run()
+        return 0 if newest is None else newest + 1
+
+    def _publish(self, silver: DataFrame, fact: DataFrame, run: int, full: bool, label: str):
+        publish_table(silver, self.root, *SILVER, run, full, label)
+        publish_table(fact, self.root, *FACT, run, full, label)
+
+    def build(self, label: str = "") -> None:
+        """Rebuild everything from the landing layer."""
+        run = self._next_run()
         silver = self._stage_silver(to_silver(self.bronze(), self.spec), run)
         loaded = silver.select(F.col("dataset_version").alias("version")).distinct()
         versions = self.versions.join(loaded, "version", "left_semi")
         fact = self._stage_fact(history(silver, versions, self.spec), versions, run)
-        publish_table(silver, self.root, *SILVER, run)
-        publish_table(fact, self.root, *FACT, run)
+        self._publish(silver, fact, run, True, label)
 
-    def extend(self, batch: DataFrame, run: int) -> bool:
-        """Add newly landed versions without touching the old silver rows.
+    def extend(self, batch: DataFrame, label: str = "") -> bool:
+        """Add newly landed versions, touching only each key's last record.
 
+        Neither old silver rows nor superseded records are read or written.
         Possible only if every version in ``batch`` is newer than all loaded
         before; otherwise nothing happens and the result is False.
         """
-        done = published_runs(self.spark, self.root, *FACT)
-        if done is None or run in done[0]:
+        if self._newest_run() is None:
             return False
-        newest = self.fact().agg(F.max("valid_to_seq")).first()[0]
+        last, run = self.last_records(), self._next_run()
+        loaded = last.agg(F.max("valid_to_seq")).first()[0]
         arrived = self.versions.join(batch.select("version"), "version", "left_semi")
-        oldest, latest = arrived.agg(F.min(SEQ), F.max(SEQ)).first()
-        if newest is None or oldest is None or oldest <= newest:
+        oldest, newest = arrived.agg(F.min(SEQ), F.max(SEQ)).first()
+        if loaded is None or oldest is None or oldest <= loaded:
             return False
         added = self._stage_silver(to_silver(batch, self.spec), run)
-        records = extend_history(
-            self.fact(),
+        records = advance_history(
+            last,
             with_version(added, self.versions),
             KEY,
             SEQ,
             self.spec.compared,
             self.spec.carried,
         )
-        fact = self._stage_fact(records, self.versions.filter(F.col(SEQ) <= latest), run)
-        publish_table(added, self.root, *SILVER, run, full=False)
-        publish_table(fact, self.root, *FACT, run)
+        fact = self._stage_fact(records, self.versions.filter(F.col(SEQ) <= newest), run)
+        self._publish(added, fact, run, False, label)
         return True

@@ -12,12 +12,14 @@ import json
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LAYERS = ("bronze", "silver", "gold")
-LOG_SCHEMA = "run bigint, is_full boolean, table_schema string, published_at timestamp"
+LOG_SCHEMA = (
+    "run bigint, is_full boolean, label string, table_schema string, published_at timestamp"
+)
 ROWS_PER_FILE = 5_000_000
 
 
@@ -57,46 +59,67 @@ def stage_table(
 
 
 def publish_table(
-    stored: DataFrame, root: str, layer: str, table: str, run: int, full: bool = True
+    stored: DataFrame,
+    root: str,
+    layer: str,
+    table: str,
+    run: int,
+    full: bool = True,
+    label: str = "",
 ) -> None:
-    """Make a staged run visible: in place of all earlier ones, or added to them."""
+    """Make a staged run visible: in place of all earlier ones, or added to them.
+
+    ``label`` says what was loaded, so that a repeated load can be recognised.
+    """
     spark = stored.sparkSession
     entry = spark.range(1).select(
         F.lit(run).cast("bigint").alias("run"),
         F.lit(full).alias("is_full"),
+        F.lit(label).alias("label"),
         F.lit(stored.schema.json()).alias("table_schema"),
         F.current_timestamp().alias("published_at"),
     )
     entry.coalesce(1).write.mode("append").json(_log_path(root, layer, table))
 
 
-def published_runs(
-    spark: SparkSession, root: str, layer: str, table: str
-) -> tuple[list[int], T.StructType] | None:
-    """The newest full run with the runs added to it, and the schema; None before the first."""
+def publications(spark: SparkSession, root: str, layer: str, table: str) -> list[Row]:
+    """The publication log, newest run first; of a run published again only the last entry."""
     try:
         log = spark.read.schema(LOG_SCHEMA).json(_log_path(root, layer, table))
     except AnalysisException:
-        return None
-    entries = log.orderBy(F.col("run").desc()).collect()  # one row per publication
-    if not entries:
-        return None
-    runs: list[int] = []
+        return []
+    entries = log.orderBy(F.desc("run"), F.desc("published_at")).collect()  # one per publication
+    newest = {}
     for entry in entries:
-        if entry.run not in runs:
-            runs.append(entry.run)
-        if entry.is_full:
-            break
-    return sorted(runs), T.StructType.fromJson(json.loads(entries[0].table_schema))
+        newest.setdefault(entry.run, entry)
+    return list(newest.values())
 
 
-def read_table(spark: SparkSession, root: str, layer: str, table: str) -> DataFrame:
-    """A published table with its stored column types."""
-    published = published_runs(spark, root, layer, table)
-    if published is None:
+def read_table(
+    spark: SparkSession,
+    root: str,
+    layer: str,
+    table: str,
+    upto: int | None = None,
+    with_run: bool = False,
+) -> DataFrame:
+    """A published table with its stored column types.
+
+    Reads the newest full run and those added since; ``upto`` leaves out later
+    runs, and ``with_run`` keeps the run number, on which Spark prunes folders.
+    """
+    entries = [
+        e for e in publications(spark, root, layer, table) if upto is None or e.run <= upto
+    ]
+    if not entries:
         raise FileNotFoundError(f"{layer}.{table} has no published run")
-    runs, schema = published
+    runs = []
+    for entry in entries:
+        runs.append(entry.run)
+        if entry.is_full:
+            break
+    schema = T.StructType.fromJson(json.loads(entries[0].table_schema))
     base = table_path(root, layer, table)
     stored = spark.read.schema(schema).option("basePath", base)
-    rows = stored.parquet(*[f"{base}/run={run}" for run in runs])
-    return rows.select(*schema.fieldNames())
+    rows = stored.parquet(*[f"{base}/run={run}" for run in sorted(runs)])
+    return rows.select(*schema.fieldNames(), *(["run"] if with_run else []))

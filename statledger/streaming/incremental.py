@@ -1,8 +1,8 @@
 """Load whatever landed since the last run.
 
 The streaming checkpoint is the memory of what was loaded. It advances only
-after ``publish`` returns, so a failed load is tried again; ``publish`` gets the
-same batch number then and must be repeatable.
+after ``publish`` returns, so a failed load is tried again. ``publish`` then gets
+the same label and must be repeatable.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from statledger.plans.warehouse import Warehouse
 from statledger.sources.bronze import CSV, DATA, bronze_schema
 from statledger.sources.catalogue import EXTRACT, decide
 
-Publish = Callable[[DataFrame, int], None]
+Publish = Callable[[DataFrame, str], None]
 
 
 def run_incremental(
@@ -36,7 +36,7 @@ def run_incremental(
 
     def counted(batch: DataFrame, number: int) -> None:
         nonlocal batches
-        publish(batch, number)
+        publish(batch, f"{checkpoint}#{number}")
         batches += 1
 
     query = (
@@ -53,8 +53,9 @@ def run_incremental(
 def rebuild(warehouse: Warehouse) -> Publish:
     """Rebuild from the whole landing layer, so the order of arrival does not matter."""
 
-    def publish(batch: DataFrame, number: int) -> None:
-        warehouse.build(number)
+    def publish(batch: DataFrame, label: str) -> None:
+        if not warehouse.is_loaded(label):
+            warehouse.build(label)
 
     return publish
 
@@ -62,9 +63,9 @@ def rebuild(warehouse: Warehouse) -> Publish:
 def extend_or_rebuild(warehouse: Warehouse) -> Publish:
     """Extend the history by newer versions; rebuild when an older one landed again."""
 
-    def publish(batch: DataFrame, number: int) -> None:
-        if not warehouse.extend(batch, number):
-            warehouse.build(number)
+    def publish(batch: DataFrame, label: str) -> None:
+        if not warehouse.is_loaded(label) and not warehouse.extend(batch, label):
+            warehouse.build(label)
 
     return publish
 

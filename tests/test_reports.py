@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from statledger.operators import clusters, marts, profile, quality
 from statledger.operators.forecast import drift_forecast, holdout_check
+from statledger.operators.quantile import nth_smallest
 from statledger.plans.standin import SPEC
 
 FACT = (
@@ -190,6 +191,21 @@ def test_anomalies_against_brute_force(spark):
     assert got.is_anomaly.sum() == 12
 
 
+@pytest.mark.parametrize("shape", ["spread", "ties", "two"])
+def test_nth_smallest(spark, shape):
+    dice = np.random.default_rng(5)
+    values = {
+        "spread": dice.normal(0, 1, 5000) ** 3,
+        "ties": dice.integers(0, 7, 5000).astype(float),
+        "two": np.repeat([1.0, 2.0], 2500),
+    }[shape]
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double").repartition(5)
+    order = np.sort(values)
+    for n in (1, 2, 700, 2500, 2501, 4900, 5000):
+        assert nth_smallest(df, "v", n, few=40) == order[n - 1], n
+    assert nth_smallest(df, "v", 0) is None and nth_smallest(df, "v", 5001) is None
+
+
 def test_anomalies_of_equal_rows(spark):
     df = spark.createDataFrame([(1.0, 2.0)] * 20, "x double, y double")
     got = clusters.anomaly_flags(df, ["x", "y"], k=2).toPandas()
