@@ -12,7 +12,13 @@ from statledger.operators.history import advance_history, scd2
 from statledger.operators.quality import fact_report, gate, silver_report
 from statledger.operators.silver import to_silver, with_version
 from statledger.sources.bronze import read_bronze
-from statledger.sources.tables import publications, publish_table, read_table, stage_table
+from statledger.sources.tables import (
+    publications,
+    publish_table,
+    read_runs,
+    read_table,
+    stage_table,
+)
 from statledger.spec import TableSpec
 
 SILVER = ("silver", "typed_rows")
@@ -68,8 +74,9 @@ class Warehouse:
         record of each key is written anew by every run. Both conditions
         are on partition columns.
         """
-        rows = read_table(self.spark, self.root, *FACT, with_run=True)
-        live = F.col("is_superseded") | (F.col("run") == self._newest_run())
+        entries = publications(self.spark, self.root, *FACT)
+        rows = read_runs(self.spark, self.root, *FACT, entries)
+        live = F.col("is_superseded") | (F.col("run") == entries[0].run)
         return rows.filter(live).drop("run")
 
     def last_records(self) -> DataFrame:

@@ -88,6 +88,20 @@ def land(
     )
 
 
+def land_files(
+    spark: SparkSession,
+    source: str,
+    base: str,
+    columns: Sequence[str],
+    version: str,
+    ingest_date: date | str | None = None,
+) -> None:
+    """Land downloaded CSV files of one version unchanged, every column as text."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    files = spark.read.schema(schema).options(**CSV, multiLine=True).csv(source)
+    land(files, base, version, ingest_date)
+
+
 def _partition(path: Column, name: str) -> Column:
     return F.regexp_extract(path, f"/{name}=([^/]+)/", 1)
 

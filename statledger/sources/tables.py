@@ -101,16 +101,20 @@ def read_table(
     layer: str,
     table: str,
     upto: int | None = None,
-    with_run: bool = False,
 ) -> DataFrame:
     """A published table with its stored column types.
 
-    Reads the newest full run and those added since; ``upto`` leaves out later
-    runs, and ``with_run`` keeps the run number, on which Spark prunes folders.
+    Reads the newest full run and those added since; ``upto`` leaves out later runs.
     """
-    entries = [
-        e for e in publications(spark, root, layer, table) if upto is None or e.run <= upto
-    ]
+    log = publications(spark, root, layer, table)
+    entries = [e for e in log if upto is None or e.run <= upto]
+    return read_runs(spark, root, layer, table, entries).drop("run")
+
+
+def read_runs(
+    spark: SparkSession, root: str, layer: str, table: str, entries: Sequence[Row]
+) -> DataFrame:
+    """The runs that make up a table by its log, with the run number to prune on."""
     if not entries:
         raise FileNotFoundError(f"{layer}.{table} has no published run")
     runs = []
@@ -122,4 +126,4 @@ def read_table(
     base = table_path(root, layer, table)
     stored = spark.read.schema(schema).option("basePath", base)
     rows = stored.parquet(*[f"{base}/run={run}" for run in sorted(runs)])
-    return rows.select(*schema.fieldNames(), *(["run"] if with_run else []))
+    return rows.select(*schema.fieldNames(), "run")
