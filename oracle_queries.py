@@ -141,9 +141,9 @@ versions AS (
 
 LATEST = f"""
 latest AS (
-  SELECT * FROM (SELECT *, ROW_NUMBER() OVER (
-      PARTITION BY version, time_period, geographic_level, region_code, {csv(DIMS)}
-      ORDER BY ingest_date DESC) AS rn FROM bronze) WHERE rn = 1)"""
+  SELECT * FROM bronze
+  QUALIFY ingest_date = MAX(ingest_date) OVER (
+    PARTITION BY version, time_period, geographic_level, region_code, {csv(DIMS)}))"""
 
 SILVER = f"""
 silver AS (
@@ -178,30 +178,39 @@ CARRIED = (
 
 
 def scd2_ctes(source, key, compared, carried, version, name, gap=False) -> str:
-    """History of ``source`` as ``name``, by lag, running sum and grouping."""
+    """History of ``source`` as ``name``.
+
+    A version that differs from the key's version before starts a record, which
+    ends with the version before the next start.
+    """
     keys = csv(key)
-    changed = " OR ".join(f"lag({c}) OVER w IS DISTINCT FROM {c}" for c in compared)
+    same = " AND ".join(f"{{0}}.{k} = {{1}}.{k}" for k in key)
+    differs = " OR ".join(f"c.{x} IS DISTINCT FROM p.{x}" for x in compared)
     if gap:
-        changed += " OR version_seq - lag(version_seq) OVER w > 1"
+        differs += " OR c.version_seq > p.version_seq + 1"
     return f"""
-{name}_flagged AS (
-  SELECT *, CASE WHEN {changed} THEN 1 ELSE 0 END AS is_change FROM {source}
-  WINDOW w AS (PARTITION BY {keys} ORDER BY version_seq)),
-{name}_grouped AS (
-  SELECT *, SUM(is_change) OVER (PARTITION BY {keys} ORDER BY version_seq
-    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS validity_group FROM {name}_flagged),
-{name}_records AS (
-  SELECT {keys}, CAST(validity_group AS BIGINT) AS validity_group,
-         MIN(version_seq) AS valid_from_seq, MAX(version_seq) AS valid_to_seq,
-         arg_min({version}, version_seq) AS valid_from_version,
-         arg_max({version}, version_seq) AS valid_to_version,
-         MIN(published_at) AS valid_from_published,
-         {csv([*carried, *compared], "FIRST({0} ORDER BY version_seq DESC) AS {0}")}
-  FROM {name}_grouped GROUP BY {keys}, validity_group),
+{name}_nth AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY {keys} ORDER BY version_seq) AS nth,
+         COUNT(*) OVER (PARTITION BY {keys}) AS held
+  FROM {source}),
+{name}_starts AS (
+  SELECT {csv(key, "c.{0}")}, c.nth, c.version_seq AS valid_from_seq, c.{version} AS valid_from_version,
+         c.published_at AS valid_from_published
+  FROM {name}_nth c LEFT JOIN {name}_nth p ON {same.format("c", "p")} AND c.nth = p.nth + 1
+  WHERE p.nth IS NULL OR {differs}),
+{name}_spans AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY {keys} ORDER BY nth) AS validity_group,
+         LEAD(nth) OVER (PARTITION BY {keys} ORDER BY nth) AS following
+  FROM {name}_starts),
 {name} AS (
-  SELECT r.*, valid_to_seq = newest AS is_current, valid_to_seq < newest AS is_soft_deleted,
-         validity_group < MAX(validity_group) OVER (PARTITION BY {keys}) AS is_superseded
-  FROM {name}_records r, (SELECT MAX(version_seq) AS newest FROM {source}))"""
+  SELECT {csv(key, "s.{0}")}, validity_group, valid_from_seq, e.version_seq AS valid_to_seq,
+         valid_from_version, e.{version} AS valid_to_version, valid_from_published,
+         {csv([*carried, *compared], "e.{0}")},
+         e.version_seq = newest AS is_current, e.version_seq < newest AS is_soft_deleted,
+         following IS NOT NULL AS is_superseded
+  FROM {name}_spans s
+  JOIN {name}_nth e ON {same.format("s", "e")} AND e.nth = COALESCE(following - 1, e.held),
+       (SELECT MAX(version_seq) AS newest FROM {source}))"""
 
 
 BASE = """
@@ -223,19 +232,35 @@ trends AS (
   FROM fact WHERE is_current AND is_detail_grain AND geographic_level = 'Regional'
   GROUP BY ALL)"""
 
-RESTATED = f"""
-restated AS (
-  SELECT row_key, academic_year_label, geographic_level, region_name, market_segment, line_status,
-         order_status, prev_version AS restated_from_version, valid_from_version AS restated_in_version,
-         valid_from_published AS restated_on, prev_start_count AS start_count_before,
-         start_count AS start_count_after, start_count - prev_start_count AS start_count_delta,
-         {ratio("(start_count - prev_start_count)", "prev_start_count")} AS start_count_pct_change,
-         prev_status AS status_before, start_count_status AS status_after,
-         prev_status <> start_count_status AS disclosure_status_changed
-  FROM (SELECT *, lag(start_count) OVER w AS prev_start_count, lag(start_count_status) OVER w AS prev_status,
-               lag(valid_from_version) OVER w AS prev_version
-        FROM fact WINDOW w AS (PARTITION BY row_key ORDER BY valid_from_seq))
-  WHERE prev_version IS NOT NULL)"""
+def restated_ctes(fact, key, carried, measure, name) -> str:
+    """Every record of ``fact`` beside the one of its key before it."""
+    same = " AND ".join(f"c.{k} = p.{k}" for k in key)
+    delta = f"c.{measure} - p.{measure}"
+    return f"""
+{name} AS (
+  SELECT {csv([*key, *carried], "c.{0}")}, p.valid_from_version AS restated_from_version,
+         c.valid_from_version AS restated_in_version, c.valid_from_published AS restated_on,
+         p.{measure} AS {measure}_before, c.{measure} AS {measure}_after, {delta} AS {measure}_delta,
+         {ratio(f"({delta})", f"p.{measure}")} AS {measure}_pct_change,
+         p.{measure}_status AS status_before, c.{measure}_status AS status_after,
+         p.{measure}_status <> c.{measure}_status AS disclosure_status_changed
+  FROM {fact} c JOIN {fact} p ON {same} AND c.validity_group = p.validity_group + 1)"""
+
+
+RESTATED = restated_ctes(
+    "fact",
+    ("row_key",),
+    (
+        "academic_year_label",
+        "geographic_level",
+        "region_name",
+        "market_segment",
+        "line_status",
+        "order_status",
+    ),
+    "start_count",
+    "restated",
+)
 
 SERIES_LEVELS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD")
 
@@ -296,19 +321,7 @@ typed_lines AS (
 LINE_FACT = LINES + "," + scd2_ctes(
     "typed_lines", LINE_KEY, LINE_TYPED, LINE_CARRY, "version", "line_fact"
 )
-LINE_RESTATED = f"""
-line_restated AS (
-  SELECT l_orderkey, l_linenumber, prev_version AS restated_from_version,
-         valid_from_version AS restated_in_version, valid_from_published AS restated_on,
-         prev_quantity AS quantity_before, quantity AS quantity_after,
-         quantity - prev_quantity AS quantity_delta,
-         {ratio("(quantity - prev_quantity)", "prev_quantity")} AS quantity_pct_change,
-         prev_status AS status_before, quantity_status AS status_after,
-         prev_status <> quantity_status AS disclosure_status_changed
-  FROM (SELECT *, lag(quantity) OVER w AS prev_quantity, lag(quantity_status) OVER w AS prev_status,
-               lag(valid_from_version) OVER w AS prev_version
-        FROM line_fact WINDOW w AS (PARTITION BY l_orderkey, l_linenumber ORDER BY valid_from_seq))
-  WHERE prev_version IS NOT NULL)"""
+LINE_RESTATED = restated_ctes("line_fact", LINE_KEY, (), "quantity", "line_restated")
 
 RECORD = (
     "validity_group, valid_from_seq, valid_to_seq, valid_from_version, valid_to_version, "
@@ -352,13 +365,13 @@ TO_SERIES = f"{TO_FACT},{series('series', False)}"
 TO_FORECAST = f"{TO_SERIES},{FORECAST}"
 
 SIDES = f"""
-SELECT academic_year_start, detail_starts, published_starts, detail_starts - published_starts AS difference,
+SELECT *, detail_starts - published_starts AS difference,
        {ratio("abs(detail_starts - published_starts)", "published_starts")} AS rel_error
-FROM (SELECT academic_year_start, CAST(SUM(start_count) AS BIGINT) AS detail_starts FROM fact
-      WHERE is_current AND geographic_level = 'National' AND is_detail_grain GROUP BY 1) d
-JOIN (SELECT academic_year_start, start_count AS published_starts FROM fact
-      WHERE is_current AND geographic_level = 'National' AND aggregation_depth = 5
-        AND start_count IS NOT NULL) p USING (academic_year_start)"""
+FROM (SELECT academic_year_start,
+             CAST(SUM(start_count) FILTER (is_detail_grain) AS BIGINT) AS detail_starts,
+             MAX(start_count) FILTER (aggregation_depth = 5) AS published_starts
+      FROM fact WHERE is_current AND geographic_level = 'National'
+      GROUP BY academic_year_start HAVING bool_or(is_detail_grain) AND published_starts IS NOT NULL)"""
 
 PROOF_SCORED = f"""
 scored AS (
@@ -513,9 +526,11 @@ ORACLE: dict[str, str] = {
       SELECT p.version_seq, v.version, v.version_type, row_count, added, removed, restated, restated_typed
       FROM pairs p JOIN versions v ON p.version_seq = v.version_seq"""),
     "double_count_proof": q(f"{CELLS},{LATEST},{PROOF_SCORED}", """
-      SELECT 'NAIVE  SUM(all rows)' AS method, CAST(SUM(starts) AS BIGINT) AS total_starts, COUNT(*) AS rows_used FROM scored
-      UNION ALL SELECT 'CORRECT detail grain only', CAST(SUM(starts) AS BIGINT), COUNT(*) FROM scored WHERE depth = 0
-      UNION ALL SELECT 'OFFICIAL published total', CAST(SUM(starts) AS BIGINT), COUNT(*) FROM scored WHERE depth = 5"""),
+      SELECT method, CAST(SUM(starts) AS BIGINT) AS total_starts, COUNT(*) AS rows_used
+      FROM scored JOIN (VALUES ('NAIVE  SUM(all rows)', 0, 5), ('CORRECT detail grain only', 0, 0),
+                               ('OFFICIAL published total', 5, 5)) m(method, low, high)
+        ON depth BETWEEN low AND high
+      GROUP BY method"""),
     "depth_histogram": q(TO_SILVER, """
       SELECT dataset_version, aggregation_depth, COUNT(*) AS row_count FROM silver GROUP BY ALL"""),
     "marker_profile": q(TO_SILVER, " UNION ALL ".join(f"""
@@ -529,36 +544,45 @@ ORACLE: dict[str, str] = {
              COUNT({m}) = COUNT(*) FILTER ({m} % 10 = 0) AS all_rounded FROM silver""" for m in COUNTS)),
     "reconciliation": q(TO_FACT, f"SELECT *, rel_error <= 0.001 AS within_tolerance FROM ({SIDES})"),
     "regional_trends": q(TO_TRENDS, "SELECT * FROM trends"),
-    "level_shift": q(TO_FACT, f"""
-      SELECT *, level_share - first_value(level_share) OVER (
-               PARTITION BY geographic_level, region_name, market_segment ORDER BY academic_year_start
-               ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS share_change_vs_baseline
-      FROM (SELECT *, {ratio("starts", "area_year_starts")} AS level_share
-            FROM (SELECT *, CAST(SUM(starts) OVER (
-                      PARTITION BY academic_year_start, geographic_level, region_name) AS BIGINT) AS area_year_starts
-                  FROM (SELECT {YEAR}, geographic_level, region_name, market_segment,
-                               CAST(SUM(start_count) AS BIGINT) AS starts
-                        FROM fact WHERE is_current AND is_detail_grain AND market_segment <> 'MACHINERY'
-                          AND start_count IS NOT NULL GROUP BY ALL)))"""),
-    "pipeline_health": q(TO_FACT, f"""
-      SELECT *, CASE WHEN unrecognised_markers > 0 THEN 'critical'
-                     WHEN reconciliation_error > 0.001 THEN 'critical'
-                     WHEN days_since_last_load > 120 THEN 'warning'
-                     WHEN suppression_rate > 0.35 THEN 'warning' ELSE 'ok' END AS health_status
-      FROM (
-        SELECT y.*, r.detail_starts, r.published_starts, r.rel_error AS reconciliation_error,
-               CAST(last_ingested AS VARCHAR) AS last_ingested_date, latest_version_loaded,
-               CAST(date_diff('day', last_ingested, DATE '2026-09-01') AS INTEGER) AS days_since_last_load
-        FROM (SELECT {YEAR}, COUNT(*) AS fact_rows, COUNT(*) FILTER (is_detail_grain) AS detail_rows,
-                     CAST(SUM(CASE WHEN is_detail_grain AND geographic_level = 'National'
-                              THEN start_count ELSE 0 END) AS BIGINT) AS national_starts,
-                     {ratio("COUNT(*) FILTER (start_count_status <> 'published')", "COUNT(*)")} AS suppression_rate,
-                     COUNT(*) FILTER (start_count_status = 'unrecognised') AS unrecognised_markers
-              FROM fact WHERE is_current GROUP BY ALL) y
-        LEFT JOIN ({SIDES}) r USING (academic_year_start)
-        CROSS JOIN (SELECT MAX(ingested_date) AS last_ingested,
-                           arg_max(dataset_version, v.version_seq) AS latest_version_loaded
-                    FROM silver s JOIN versions v ON s.dataset_version = v.version))"""),
+    "level_shift": q(f"""{TO_FACT},
+      leveled AS (
+        SELECT academic_year_start, ANY_VALUE(academic_year_label) AS academic_year_label,
+               BOOL_OR(is_provisional) AS is_provisional, geographic_level, region_name, market_segment,
+               CAST(SUM(start_count) AS BIGINT) AS starts
+        FROM fact
+        WHERE is_current AND is_detail_grain AND market_segment <> 'MACHINERY' AND start_count IS NOT NULL
+        GROUP BY academic_year_start, geographic_level, region_name, market_segment),
+      areas AS (
+        SELECT academic_year_start, COALESCE(region_name, '') AS area, CAST(SUM(starts) AS BIGINT) AS area_year_starts
+        FROM leveled GROUP BY ALL),
+      shared AS (
+        SELECT l.*, area, area_year_starts, {ratio("starts", "area_year_starts")} AS level_share
+        FROM leveled l JOIN areas a
+          ON a.academic_year_start = l.academic_year_start AND a.area = COALESCE(l.region_name, '')),
+      firsts AS (
+        SELECT area, market_segment, arg_min(level_share, academic_year_start) AS first_share
+        FROM shared GROUP BY ALL)""", """
+      SELECT s.* EXCLUDE (area), level_share - first_share AS share_change_vs_baseline
+      FROM shared s JOIN firsts f ON f.area = s.area AND f.market_segment = s.market_segment"""),
+    "pipeline_health": q(f"""{TO_FACT},
+      sides AS ({SIDES}),
+      loaded AS (
+        SELECT MAX(ingested_date) AS day, arg_max(dataset_version, version_seq) AS newest,
+               CAST(date_diff('day', MAX(ingested_date), DATE '2026-09-01') AS INTEGER) AS age
+        FROM base),
+      years AS (
+        SELECT {YEAR}, COUNT(*) AS fact_rows, COUNT(*) FILTER (is_detail_grain) AS detail_rows,
+               CAST(COALESCE(SUM(start_count) FILTER (is_detail_grain AND geographic_level = 'National'), 0)
+                    AS BIGINT) AS national_starts,
+               {ratio("COUNT(*) FILTER (start_count_status <> 'published')", "COUNT(*)")} AS suppression_rate,
+               COUNT(*) FILTER (start_count_status = 'unrecognised') AS unrecognised_markers
+        FROM fact WHERE is_current GROUP BY ALL)""", """
+      SELECT years.*, detail_starts, published_starts, rel_error AS reconciliation_error,
+             CAST(day AS VARCHAR) AS last_ingested_date, newest AS latest_version_loaded,
+             age AS days_since_last_load,
+             CASE WHEN unrecognised_markers > 0 OR COALESCE(rel_error, 0) > 0.001 THEN 'critical'
+                  WHEN age > 120 OR suppression_rate > 0.35 THEN 'warning' ELSE 'ok' END AS health_status
+      FROM years LEFT JOIN sides ON sides.academic_year_start = years.academic_year_start, loaded"""),
     "dim_academic_year": q(TO_SILVER, f"""
       SELECT DISTINCT academic_year_start AS academic_year_key, academic_year_start, academic_year_end,
              academic_year_label, is_provisional,

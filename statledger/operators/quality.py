@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statledger.operators.profile import reconcile
@@ -109,6 +109,12 @@ def version_lineage(fact: DataFrame) -> DataFrame:
     return fact.agg(F.count_distinct("valid_from_version").alias("versions"))
 
 
+def database_tables(spark: SparkSession, database: str) -> dict[str, DataFrame]:
+    """All tables of a catalogue database by name."""
+    listed = spark.catalog.listTables(database)
+    return {t.name: spark.table(t.name if t.isTemporary else f"{database}.{t.name}") for t in listed}
+
+
 def identifier_columns(
     tables: Mapping[str, DataFrame], pattern: str = IDENTIFIER_PATTERN
 ) -> DataFrame:

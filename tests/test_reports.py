@@ -124,6 +124,8 @@ def test_identifier_columns(spark):
     found = quality.identifier_columns(tables)
     assert [tuple(r) for r in found.collect()] == [("people", "Home_Address", 1)]
     assert quality.identifier_summary(found).first()[0] == "Home_Address"
+    tables["plain"].createOrReplaceTempView("plain_view")
+    assert quality.database_tables(spark, "default")["plain_view"].columns == ["n"]
     none = quality.identifier_columns({"plain": tables["plain"]})
     assert none.isEmpty() and quality.identifier_summary(none).first()[0] is None
 
