@@ -367,6 +367,17 @@ def forecast_holdout(spark, sf):
     return rounded(checked, "forecast", "lower", "upper", "actual")
 
 
+def customer_forecast(spark, sf):
+    """One series per customer: orders in each full year, carried four years on."""
+    orders = table(spark, sf, "orders").select(
+        "o_custkey", F.year("o_orderdate").cast("bigint").alias("order_year")
+    )
+    full_years = orders.filter(~F.col("order_year").isin(*SPEC.provisional_years))
+    series = full_years.groupBy("o_custkey", "order_year").agg(F.count("*").alias("placed"))
+    ahead = drift_forecast(series, "o_custkey", "order_year", "placed", drift_error=True)
+    return rounded(ahead, "drift", "sigma", "forecast", "lower", "upper")
+
+
 def region_segments(spark, sf):
     return clusters.kmeans_segments(region_mix_features(spark, sf), SHARES, k=3)
 
@@ -563,6 +574,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_revisions": feed_revisions,
     "drift_forecast": forecast_query,
     "forecast_holdout": forecast_holdout,
+    "customer_forecast": customer_forecast,
     "region_segments": region_segments,
     "restatement_shape": restatement_shape,
     "restatement_anomalies": restatement_anomalies,

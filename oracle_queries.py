@@ -656,6 +656,25 @@ ORACLE: dict[str, str] = {
       SELECT f.level, f.academic_year_start, round(forecast, 9) AS forecast, round(lower, 9) AS lower,
              round(upper, 9) AS upper, round(share, 9) AS actual, share BETWEEN lower AND upper AS in_interval
       FROM forecast f JOIN held h ON f.level = h.level AND f.academic_year_start = h.academic_year_start"""),
+    "customer_forecast": """
+      WITH series AS (
+        SELECT o_custkey, CAST(year(o_orderdate) AS BIGINT) AS order_year, COUNT(*) AS placed
+        FROM orders WHERE year(o_orderdate) <> 2001 GROUP BY ALL),
+      steps AS (
+        SELECT *, placed - lag(placed) OVER (PARTITION BY o_custkey ORDER BY order_year) AS step FROM series),
+      fitted AS (
+        SELECT o_custkey, COUNT(*) AS n, MAX(order_year) AS last_year, arg_max(placed, order_year) AS last_y,
+               (arg_max(placed, order_year) - arg_min(placed, order_year)) / (COUNT(*) - 1)::DOUBLE AS drift,
+               stddev_samp(step) AS sigma
+        FROM steps GROUP BY o_custkey HAVING COUNT(*) > 1),
+      ahead AS (
+        SELECT *, last_y + drift * h AS point,
+               1.959963984540054 * sigma * sqrt(h + CAST(h * h AS DOUBLE) / (n - 1)) AS margin
+        FROM fitted, range(1, 5) r(h))
+      SELECT o_custkey, last_year + h AS order_year, CAST(h AS INTEGER) AS h, n, round(drift, 9) AS drift,
+             round(sigma, 9) AS sigma, round(point, 9) AS forecast, round(point - margin, 9) AS lower,
+             round(point + margin, 9) AS upper
+      FROM ahead""",
     "feed_national_trend": q(TO_FACT, f"""
       SELECT {YEAR}, CAST(SUM(start_count) AS BIGINT) AS starts,
              CAST(SUM(achievement_count) AS BIGINT) AS achievements

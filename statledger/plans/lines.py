@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from statledger.functions import measure_status, measure_value
 from statledger.operators.dedupe import latest_extraction
 from statledger.operators.history import scd2
+from statledger.session import size_shuffles
 
 KEY = ("l_orderkey", "l_linenumber")
 MEASURES = {"quantity": "bigint", "discount_percent": "double", "tax_percent": "double"}
@@ -25,7 +26,9 @@ REFORMATTED_SINCE = 1998
 
 def register(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with release, extraction day and masked text measures."""
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    path = f"{sf_dir}/lineitem.parquet"
+    size_shuffles(spark, path)
+    lines = spark.read.parquet(path)
     year = F.year("l_shipdate")
     low = F.col("l_quantity") < 6
     discount = F.round(F.col("l_discount") * 100).cast("bigint").cast("string")

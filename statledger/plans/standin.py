@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from statledger.functions import natural_key, per_mille
 from statledger.plans.warehouse import Warehouse
-from statledger.session import scratch_path
+from statledger.session import scratch_path, size_shuffles
 from statledger.sources.bronze import land
 from statledger.sources.catalogue import read_versions, seed_rows
 from statledger.spec import TableSpec
@@ -62,6 +62,7 @@ def finest_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     Aggregating here keeps the cube off the order lines. The two large joins
     are on keys; Spark splits a hot order or customer over several tasks.
     """
+    size_shuffles(spark, *[f"{sf_dir}/{name}.parquet" for name in ("lineitem", "orders")])
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_quantity", "l_discount", "l_returnflag", "l_linestatus"
     )

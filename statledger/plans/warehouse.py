@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from statledger.operators.history import advance_history, scd2
 from statledger.operators.quality import fact_report, gate, silver_report
 from statledger.operators.silver import to_silver, with_version
-from statledger.sources.bronze import read_bronze
+from statledger.session import size_shuffles
+from statledger.sources.bronze import DATA, read_bronze
 from statledger.sources.tables import (
     publications,
     publish_table,
@@ -122,6 +123,7 @@ class Warehouse:
     def build(self, label: str = "") -> None:
         """Rebuild everything from the landing layer."""
         run = self._next_run()
+        size_shuffles(self.spark, f"{self.landing}/{DATA}", growing=True)
         silver = self._stage_silver(to_silver(self.bronze(), self.spec), run)
         loaded = silver.select(F.col("dataset_version").alias("version")).distinct()
         versions = self.versions.join(loaded, "version", "left_semi")

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Bytes one shuffle partition should hold, and how much larger rows are than their files.
+SHUFFLE_BYTES = 128 << 20
+UNPACKED = 4
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+_LISTED: dict[tuple[str, str], int] = {}
+
 # Rows a join side may have to be broadcast.
 BROADCAST_ROWS = 10_000
 
@@ -30,6 +37,27 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/statledger/{purpose}-{uuid.uuid4().hex}"
 
 
+def size_shuffles(spark: SparkSession, *paths: str, growing: bool = False) -> None:
+    """Let shuffles start with enough partitions for the files below ``paths``.
+
+    Adaptive execution merges small shuffle partitions but does not make more of
+    them, so their first number has to follow the input. It is only ever
+    raised. Files are listed once per session unless the folder is ``growing``.
+    """
+    for path in paths:
+        key = (spark.sparkContext.applicationId, path)
+        if growing or key not in _LISTED:
+            files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+            _LISTED[key] = files.agg(F.sum("length")).first()[0] or 0
+    total = sum(_LISTED[spark.sparkContext.applicationId, path] for path in paths)
+    wanted = math.ceil(total * UNPACKED / SHUFFLE_BYTES)
+    started = spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get(
+        "spark.sql.shuffle.partitions"
+    )
+    if wanted > int(started):
+        spark.conf.set(INITIAL_PARTITIONS, wanted)
+
+
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` marked for broadcast if it has at most ``max_rows`` rows, else unchanged.
 

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from statledger import session
 from statledger.operators import quality
 from statledger.operators.silver import to_silver
 from statledger.plans.standin import RELEASES, SPEC, Standin
@@ -154,6 +155,23 @@ def test_scope_by_version_drops_keys_of_the_older_copy(spark, made):
     assert by_version.filter("region_code IS NOT NULL").isEmpty()
 
 
+def test_shuffles_grow_with_the_input(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    spark.range(10_000).write.parquet(path)
+    try:
+        session.size_shuffles(spark, path)
+        assert spark.conf.get(session.INITIAL_PARTITIONS, None) is None
+        monkeypatch.setattr(session, "SHUFFLE_BYTES", 4_000)
+        session.size_shuffles(spark, path)
+        raised = int(spark.conf.get(session.INITIAL_PARTITIONS))
+        assert raised > 8
+        monkeypatch.setattr(session, "SHUFFLE_BYTES", 8_000)
+        session.size_shuffles(spark, path)
+        assert int(spark.conf.get(session.INITIAL_PARTITIONS)) == raised
+    finally:
+        spark.conf.unset(session.INITIAL_PARTITIONS)
+
+
 def test_small_side_is_bounded(spark):
     small, large = spark.range(5), spark.range(100)
     fact = spark.range(1000)
