@@ -16,21 +16,34 @@ from statledger.operators.quantile import nth_smallest
 from statledger.session import written
 
 
-def _fitted(features: DataFrame, cols: Sequence[str], k: int, seed: int):
+def _fitted(features: DataFrame, cols: Sequence[str], k: int, seed: int, **fit):
+    means = KMeans(
+        k=k,
+        seed=seed,
+        featuresCol="_scaled",
+        predictionCol="segment",
+        initMode="k-means||",
+        **fit,
+    )
     pipeline = Pipeline(
         stages=[
             VectorAssembler(inputCols=list(cols), outputCol="_raw"),
             StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True),
-            KMeans(k=k, seed=seed, featuresCol="_scaled", predictionCol="segment", initMode="k-means||"),
+            means,
         ]
     )
     return pipeline.fit(features)
 
 
-def kmeans_segments(features: DataFrame, cols: Sequence[str], k: int, seed: int = 1) -> DataFrame:
-    """``features`` with the segment of each row, clustered on standardised columns."""
+def kmeans_segments(
+    features: DataFrame, cols: Sequence[str], k: int, seed: int = 1, **fit
+) -> DataFrame:
+    """``features`` with the segment of each row, clustered on standardised columns.
+
+    ``fit`` goes to ``KMeans``: ``maxIter``, ``tol`` and the like.
+    """
     features = written(features, "features")
-    model = _fitted(features, cols, k, seed)
+    model = _fitted(features, cols, k, seed, **fit)
     return model.transform(features).drop("_raw", "_scaled")
 
 
@@ -40,6 +53,7 @@ def anomaly_flags(
     k: int,
     contamination: float = 0.02,
     seed: int = 1,
+    **fit,
 ) -> DataFrame:
     """Each row's normalised distance to its nearest centroid, and the farthest flagged.
 
@@ -49,7 +63,7 @@ def anomaly_flags(
     input's size. Features and scores are stored, because several passes read them.
     """
     features = written(features.select(*cols), "features")
-    model = _fitted(features, cols, k, seed)
+    model = _fitted(features, cols, k, seed, **fit)
     centres = model.stages[-1].clusterCenters()
     point = vector_to_array("_scaled")
 

@@ -51,6 +51,14 @@ def test_year_filter_prunes_partitions(made):
     assert re.search(r"PartitionFilters: \[[^\]]*academic_year_start[^\]]* = 2000", text)
 
 
+def test_current_records_skip_the_superseded_folders(made):
+    house = made.warehouse()
+    rows = house.last_records()
+    files = {r[0] for r in rows.select(F.input_file_name()).distinct().collect()}
+    assert files and all("is_superseded=false" in f for f in files)
+    assert re.search(r"PartitionFilters: \[[^\]]*is_superseded", plan(rows))
+
+
 def test_deltas_need_no_join_of_the_rows(spark, sf_dir):
     lines = ln.register(spark, sf_dir)
     rows = ln.typed(ln.latest(lines), text=True)
