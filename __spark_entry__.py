@@ -126,7 +126,7 @@ def version_decision(spark, sf):
 
 
 def silver_table(spark, sf):
-    return standin(spark, sf).warehouse().silver()
+    return standin(spark, sf).tables.silver()
 
 
 def silver(spark, sf):
@@ -177,28 +177,28 @@ def latest_extraction_query(spark, sf):
 
 
 def fact_table(spark, sf):
-    return standin(spark, sf).warehouse().fact()
+    return standin(spark, sf).tables.fact()
 
 
 def last_records(spark, sf):
     """Where the current records are; the superseded ones are not read."""
-    return standin(spark, sf).warehouse().last_records()
+    return standin(spark, sf).tables.last_records()
 
 
 def scd2_fact(spark, sf):
     made = standin(spark, sf)
-    return build_history(made.warehouse().silver(), made.versions(), SPEC)
+    return build_history(made.tables.silver(), made.versions(), SPEC)
 
 
 def scd2_break_on_gap(spark, sf):
     made = standin(spark, sf)
-    return build_history(made.warehouse().silver(), made.versions(), SPEC, break_on_gap=True)
+    return build_history(made.tables.silver(), made.versions(), SPEC, break_on_gap=True)
 
 
 def scd2_extended(spark, sf):
     """History of all but the newest release, extended by the newest one."""
     made = standin(spark, sf)
-    rows = with_version(made.warehouse().silver(), made.versions())
+    rows = with_version(made.tables.silver(), made.versions())
     before = made.versions().filter(F.col("version") != NEWEST)
     old = rows.filter(F.col("dataset_version") != NEWEST)
     fact = history.scd2(old, KEY, SEQ, SPEC.compared, SPEC.carried, versions=before)
@@ -292,7 +292,7 @@ def level_shift(spark, sf):
 
 def pipeline_health(spark, sf):
     made = standin(spark, sf)
-    house = made.warehouse()
+    house = made.tables
     return marts.pipeline_health(
         house.last_records(), house.silver(), made.versions(), SPEC, as_of=AS_OF_DAY
     )

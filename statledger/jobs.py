@@ -17,7 +17,7 @@ from pyspark.sql import SparkSession
 
 from statledger.operators.quality import QualityGateError, fact_report, gate, silver_report
 from statledger.plans.warehouse import Warehouse
-from statledger.sources.bronze import land_files, manifest
+from statledger.sources.bronze import land_files, store_manifest
 from statledger.sources.catalogue import (
     read_versions,
     version_history,
@@ -72,7 +72,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         land_files(
             spark, args.source, args.landing, spec.bronze_columns, args.version, args.ingest_date
         )
-        manifest(spark, args.landing, spec.bronze_columns).show(truncate=False)
+        store_manifest(spark, args.landing, spec.bronze_columns).show(truncate=False)
         return 0
 
     versions = read_versions(spark, args.versions)

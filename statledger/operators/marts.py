@@ -112,10 +112,11 @@ def pipeline_health(
     error = safe_divide(
         F.abs(F.col("detail_starts") - F.col("published_starts")), F.col("published_starts")
     )
+    order = versions.select(F.col("version").alias("dataset_version"), "version_seq")
     lineage = (
         silver.groupBy("dataset_version")
         .agg(F.max("ingested_date").alias("ingested_date"))
-        .join(versions.select(F.col("version").alias("dataset_version"), "version_seq"), "dataset_version")
+        .join(order, "dataset_version")
         .agg(
             F.struct(
                 F.max("ingested_date").alias("last_ingested_date"),

@@ -111,8 +111,10 @@ def version_lineage(fact: DataFrame) -> DataFrame:
 
 def database_tables(spark: SparkSession, database: str) -> dict[str, DataFrame]:
     """All tables of a catalogue database by name."""
-    listed = spark.catalog.listTables(database)
-    return {t.name: spark.table(t.name if t.isTemporary else f"{database}.{t.name}") for t in listed}
+    return {
+        t.name: spark.table(t.name if t.isTemporary else f"{database}.{t.name}")
+        for t in spark.catalog.listTables(database)
+    }
 
 
 def identifier_columns(

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from statledger.functions import natural_key, per_mille
 from statledger.plans.warehouse import Warehouse
 from statledger.session import scratch_path, size_shuffles
-from statledger.sources.bronze import land
+from statledger.sources.bronze import land, store_metadata
 from statledger.sources.catalogue import read_versions, seed_rows
 from statledger.spec import TableSpec
 
@@ -270,7 +270,7 @@ def declared_versions(spark: SparkSession, extracted: DataFrame) -> DataFrame:
 
 
 class Standin:
-    """The landed stand-in and the tables derived from it, written once per session."""
+    """The landed stand-in and what is derived from it, each written once per session."""
 
     # Rounding alone may exceed the tolerance in a part year; reported, not blocking.
     ALLOWED = ("detail reconciles to published total",)
@@ -292,13 +292,19 @@ class Standin:
             "header", True
         ).csv(self.seed)
 
+    @cached_property
+    def tables(self) -> Warehouse:
+        """The derived tables, built when first asked for."""
+        house = self.warehouse()
+        house.build()
+        return house
+
     @cached_property
     def version_pages(self) -> str:
         """Folder of version-listing pages, one JSON document per file."""
         path = f"{self.root}/version_pages"
         periods = (
-            self.warehouse()
-            .silver()
+            self.tables.silver()
             .groupBy(F.col("dataset_version").alias("version"))
             .agg(
                 F.min("academic_year_label").alias("start"),
@@ -349,8 +355,7 @@ class Standin:
     @cached_property
     def metadata(self) -> str:
         """Folder of the metadata document stored beside the newest load."""
-        path = f"{self.landing}/_meta/version={RELEASES[-1][0]}/ingest_date={RELEASES[-1][4]}"
-        silver = self.warehouse().silver().filter(F.col("dataset_version") == RELEASES[-1][0])
+        silver = self.tables.silver().filter(F.col("dataset_version") == RELEASES[-1][0])
 
         def option(column: str, **names: str) -> Column:
             return F.sort_array(
@@ -403,8 +408,7 @@ class Standin:
                 ),
             ).alias("timePeriods"),
         )
-        document.coalesce(1).write.mode("overwrite").json(path)
-        return path
+        return store_metadata(document, self.landing, RELEASES[-1][0], RELEASES[-1][4])
 
     def versions(self) -> DataFrame:
         return read_versions(self.spark, self.seed)
@@ -419,11 +423,10 @@ _READY: dict[tuple[str, str], Standin] = {}
 
 
 def standin(spark: SparkSession, sf_dir: str) -> Standin:
-    """The stand-in over ``sf_dir``, landed and built the first time it is asked for."""
+    """The stand-in over ``sf_dir``, landed the first time it is asked for."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _READY:
         made = Standin(spark, sf_dir)
         made.land()
-        made.warehouse().build()
         _READY[key] = made
     return _READY[key]

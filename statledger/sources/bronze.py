@@ -102,6 +102,20 @@ def land_files(
     land(files, base, version, ingest_date)
 
 
+def metadata_path(base: str, version: str, ingest_date: date | str) -> str:
+    """Where a load's metadata goes: apart from the data, so that scans never meet it."""
+    return f"{base}/{META}/version={version}/ingest_date={ingest_date}"
+
+
+def store_metadata(
+    document: DataFrame, base: str, version: str, ingest_date: date | str | None = None
+) -> str:
+    """Store a load's one-row metadata document beside it; returns the folder."""
+    path = metadata_path(base, version, ingest_date or utc_today())
+    document.coalesce(1).write.mode("overwrite").json(path)
+    return path
+
+
 def _partition(path: Column, name: str) -> Column:
     return F.regexp_extract(path, f"/{name}=([^/]+)/", 1)
 
@@ -177,3 +191,13 @@ def manifest_reconcile(counted: DataFrame, versions: DataFrame) -> DataFrame:
         "total_results",
         F.col("row_count").eqNullSafe(F.col("total_results")).alias("matches"),
     )
+
+
+def store_manifest(
+    spark: SparkSession, base: str, columns: Sequence[str], dataset_id: str = ""
+) -> DataFrame:
+    """Write the manifest of all extractions beside the data and return it as stored."""
+    current = manifest(spark, base, columns, dataset_id)
+    path = f"{base}/{META}/manifest"
+    current.coalesce(1).write.mode("overwrite").json(path)
+    return spark.read.schema(current.schema).json(path)

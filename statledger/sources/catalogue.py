@@ -19,7 +19,8 @@ VERSION_PAGES_SCHEMA = (
 )
 
 METADATA_SCHEMA = (
-    "filters array<struct<id: string, label: string, options: array<struct<id: string, label: string>>>>, "
+    "filters array<struct<id: string, label: string, "
+    "options: array<struct<id: string, label: string>>>>, "
     "indicators array<struct<id: string, label: string, unit: string>>, "
     "locations array<struct<level: string, options: array<struct<code: string, label: string>>>>, "
     "timePeriods array<struct<code: string, period: string, label: string>>"

@@ -51,8 +51,8 @@ def test_incremental_loads_equal_full_build(spark, made, sf_dir, publish):
     rest = made.warehouse().bronze().filter(~F.col("version").isin(["1.0", "1.0.1", "1.0.2"]))
     land(rest, target.landing)
     assert load(spark, target, checkpoint, publish) == 1
-    assert digest(target.fact()) == digest(made.warehouse().fact())
-    assert digest(target.silver()) == digest(made.warehouse().silver())
+    assert digest(target.fact()) == digest(made.tables.fact())
+    assert digest(target.silver()) == digest(made.tables.silver())
 
 
 def test_repeated_batch_is_not_loaded_twice(spark, made, sf_dir):
@@ -77,7 +77,7 @@ def test_unpublished_run_stays_invisible(spark, made, sf_dir):
     publish_table(staged, target.root, *SILVER, 1, full=False)
     assert (digest(target.fact()), digest(target.silver())) == before
     assert target.extend(late)
-    whole = made.warehouse().silver().filter("dataset_version IN ('1.0','1.0.1','1.0.2','2.0')")
+    whole = made.tables.silver().filter("dataset_version IN ('1.0','1.0.1','1.0.2','2.0')")
     assert digest(target.silver()) == digest(whole)
 
 
@@ -185,7 +185,7 @@ def test_small_side_is_bounded(spark):
 
 
 def test_history_identities(made):
-    fact, silver = made.warehouse().fact(), made.warehouse().silver()
+    fact, silver = made.tables.fact(), made.tables.silver()
     records, keys = fact.count(), fact.select("row_key").distinct().count()
     superseded = fact.filter("is_superseded").count()
     assert records == keys + superseded

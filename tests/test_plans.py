@@ -20,7 +20,7 @@ def exchanges(text):
 
 
 def test_history_needs_one_shuffle_and_one_sort(made):
-    text = plan(build_history(made.warehouse().silver(), made.versions(), SPEC))
+    text = plan(build_history(made.tables.silver(), made.versions(), SPEC))
     assert len(exchanges(text)) == 1 and exchanges(text)[0].startswith("row_key")
     assert len(re.findall(r"\bSort \[", text)) == 1
     assert "Aggregate(keys=[row_key" not in text
@@ -40,19 +40,19 @@ def test_dedupe_limits_groups_before_the_shuffle(spark, sf_dir):
 
 
 def test_marts_read_few_columns_and_push_filters(made):
-    text = plan(marts.regional_trends(made.warehouse().fact(), SPEC))
+    text = plan(marts.regional_trends(made.tables.fact(), SPEC))
     read = re.search(r"ReadSchema: struct<([^>]*)>", text).group(1)
     assert "row_key" not in read and "order_status" not in read
     assert "EqualTo(is_current,true)" in text and "EqualTo(geographic_level,Regional)" in text
 
 
 def test_year_filter_prunes_partitions(made):
-    text = plan(made.warehouse().fact().filter(F.col("academic_year_start") == 2000))
+    text = plan(made.tables.fact().filter(F.col("academic_year_start") == 2000))
     assert re.search(r"PartitionFilters: \[[^\]]*academic_year_start[^\]]* = 2000", text)
 
 
 def test_current_records_skip_the_superseded_folders(made):
-    house = made.warehouse()
+    house = made.tables
     rows = house.last_records()
     files = {r[0] for r in rows.select(F.input_file_name()).distinct().collect()}
     assert files and all("is_superseded=false" in f for f in files)

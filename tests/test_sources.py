@@ -90,6 +90,19 @@ def test_manifest_counts_rows_not_lines(spark, tmp_path):
     assert file.sha256 == hashlib.sha256(content.encode()).hexdigest()
 
 
+def test_metadata_stays_out_of_the_scan(spark, landing):
+    document = spark.createDataFrame(
+        [([("place", "Place", [("a", "A")])],)],
+        "filters array<struct<id: string, label: string, options: array<struct<id: string, label: string>>>>",
+    )
+    path = bronze.store_metadata(document, landing, "1.0", "2026-01-01")
+    stored = bronze.store_manifest(spark, landing, COLUMNS)
+    assert {r.dataset_version: r.row_count for r in stored.collect()} == {"1.0": 2, "2.0": 2}
+    assert bronze.read_bronze(spark, landing, COLUMNS).count() == 4
+    labels = catalogue.metadata_labels(catalogue.read_metadata(spark, path)).collect()
+    assert [tuple(r) for r in labels] == [("filter", "place", "a", "A")]
+
+
 def test_manifest_checksum_follows_content(spark, landing):
     sums = {
         r.dataset_version: r.content_checksum
