@@ -620,9 +620,25 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["double_count_proof"](spark, "/root/testdata/sf0.001")
 
 
+def _text_modules() -> list:
+    """Modules with queries over text, where that subpackage is present."""
+    try:
+        import corpus_pipeline
+        from statledger.llm import queries as text_queries
+    except ImportError:
+        return []
+    return [text_queries, corpus_pipeline]
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _registered(query) for name, query in QUERIES.items()}
+    found = dict(QUERIES)
+    for module in _text_modules():
+        found |= module.queries()
+    return {name: _registered(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    found = dict(ORACLE)
+    for module in _text_modules():
+        found |= module.oracle_sql()
+    return found
