@@ -2,22 +2,82 @@
 
 from __future__ import annotations
 
-from statledger.llm import quality
+import functools
+
+from statledger.llm import (
+    html_text,
+    jaccard,
+    language,
+    pii,
+    quality,
+    secrets,
+    substrings,
+    toxicity,
+)
+from statledger.llm.ship import ship_package
 
 
 def table(spark, sf, name):
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op2_html_extraction(spark, sf):
+    return html_text.extract_pages(table(spark, sf, "pages"))
+
+
+def op3_language_id(spark, sf):
+    return language.language_report(table(spark, sf, "documents"))
+
+
+def op4_pii(spark, sf):
+    return pii.pii_report(table(spark, sf, "documents"))
+
+
+def op6_substring_dedup(spark, sf):
+    return substrings.substring_report(table(spark, sf, "documents"))
+
+
+def op7_secret_ownership(spark, sf):
+    return secrets.secrets_report(table(spark, sf, "documents"))
+
+
+def op8_jaccard_join(spark, sf):
+    return jaccard.jaccard_report(table(spark, sf, "documents"))
+
+
+def op9_toxicity(spark, sf):
+    return toxicity.toxicity_report(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def op10_quality_rules(spark, sf):
     return quality.judge_quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
-QUERIES = [op10_quality_rules]
+QUERIES = [
+    op2_html_extraction,
+    op3_language_id,
+    op4_pii,
+    op6_substring_dedup,
+    op7_secret_ownership,
+    op8_jaccard_join,
+    op9_toxicity,
+    op10_quality_rules,
+]
+
+
+def shipped(query):
+    """``query`` with this package on the workers."""
+
+    @functools.wraps(query)
+    def run(spark, sf):
+        ship_package(spark)
+        return query(spark, sf)
+
+    return run
 
 
 def queries() -> dict:
-    return {q.__name__: q for q in QUERIES}
+    return {q.__name__: shipped(q) for q in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
