@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from statledger.llm.arrays import find_words, pieces, runs
 from statledger.llm.columns import with_row
+from statledger.llm.lookup import bitmap, marked
 from statledger.llm.spans import PII_KINDS, count_kind, pii_spans, span_text
 from statledger.session import written
 
@@ -145,34 +146,18 @@ def _with_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _count(bitmap: bytes, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Occurrences of words and word pairs whose hash has its bit set, summed per piece."""
-    marked = np.unpackbits(np.frombuffer(bitmap, np.uint8)).astype(bool)
-    shift = np.uint64(64 - BITMAP_BITS)
+def _count(marks: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Occurrences of words and word pairs whose hash has its mark, summed per piece."""
     for batch in batches:
         for piece in pieces(batch):
             words = find_words(piece.column("text"), lower=True)
             keys = np.concatenate([words.hash, runs(words, 2)[0]])
-            keys, counts = np.unique(keys[marked[keys >> shift]], return_counts=True)
+            keys, counts = np.unique(keys[marked(marks, keys)], return_counts=True)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int64))], ["key", "n"]
             )
 
 
-def _bitmap(keys: DataFrame) -> bytes:
-    """A bit for every key, by its highest bits; gathered as words of 64 bits, never key by key."""
-    place = F.shiftrightunsigned("key", 64 - BITMAP_BITS)
-    cells = keys.select(
-        F.shiftright(place, 6).cast("int").alias("cell"),
-        F.shiftleft(F.lit(1).cast("bigint"), (place % 64).cast("int")).alias("bits"),
-    )
-    bits = np.zeros(1 << BITMAP_BITS, bool)
-    for cell, word in cells.groupBy("cell").agg(F.bit_or("bits").alias("bits")).collect():
-        own = np.array([word], np.int64).view(np.uint8)
-        bits[cell * 64 : cell * 64 + 64] = np.unpackbits(own, bitorder="little").astype(bool)
-    return np.packbits(bits).tobytes()
-
-
 def read_mentions(docs: DataFrame) -> DataFrame:
     """Base spans of every row, and its mentions with their contexts, stored once."""
     rows = with_row(docs, "doc_id", "text")
@@ -193,7 +178,7 @@ def score_patterns(docs: DataFrame, read: DataFrame) -> DataFrame:
     induced = edges.groupBy("pattern").agg(F.count_if("seed").alias("seeds"))
     keyed = induced.where(F.col("seeds") >= MIN_SEEDS).select("pattern")
     keyed = written(keyed.mapInArrow(_with_keys, "pattern string, key bigint"), "pii-patterns")
-    counter = partial(_count, _bitmap(keyed))
+    counter = partial(_count, bitmap(keyed.select("key"), BITMAP_BITS))
     counts = docs.select("text").mapInArrow(counter, "key bigint, n bigint")
     total = counts.groupBy("key").agg(F.sum("n").alias("total"))
     known = keyed.join(total, "key").select("pattern", "total")

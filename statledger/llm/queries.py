@@ -5,9 +5,11 @@ from __future__ import annotations
 import functools
 
 from statledger.llm import (
+    decontaminate,
     html_text,
     jaccard,
     language,
+    mixing,
     pii,
     quality,
     secrets,
@@ -21,6 +23,10 @@ def table(spark, sf, name):
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_mix_sources(spark, sf):
+    return mixing.mix_report(table(spark, sf, "documents"))
+
+
 def op2_html_extraction(spark, sf):
     return html_text.extract_pages(table(spark, sf, "pages"))
 
@@ -33,6 +39,11 @@ def op4_pii(spark, sf):
     return pii.pii_report(table(spark, sf, "documents"))
 
 
+def op5_decontamination(spark, sf):
+    docs, benchmark = table(spark, sf, "documents"), table(spark, sf, "benchmark")
+    return decontaminate.decontamination_report(docs, benchmark)
+
+
 def op6_substring_dedup(spark, sf):
     return substrings.substring_report(table(spark, sf, "documents"))
 
@@ -54,9 +65,11 @@ def op10_quality_rules(spark, sf):
 
 
 QUERIES = [
+    op1_mix_sources,
     op2_html_extraction,
     op3_language_id,
     op4_pii,
+    op5_decontamination,
     op6_substring_dedup,
     op7_secret_ownership,
     op8_jaccard_join,
@@ -81,4 +94,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_decontamination": decontaminate.ORACLE}
