@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statledger.llm.columns import ascii_lower, bind, shingles, words
+from statledger.llm.lookup import fresh_name
 from statledger.session import written
 
 # Whole percentages: the least containment, and what a text may lack.
@@ -95,9 +96,9 @@ def decontamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that no item contaminates, all columns unchanged."""
     found = written(contaminated(docs, benchmark).select("row").distinct(), "benchmark-found")
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
-    kept = numbered.join(found, numbered["__row"] == found["row"], "left_anti")
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    row = fresh_name(docs)
+    rows = docs.withColumn(row, F.monotonically_increasing_id())
+    return rows.join(found.toDF(row), row, "left_anti").drop(row).select(*docs.columns)
 
 
 ORACLE = """

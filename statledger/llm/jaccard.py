@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from statledger.llm.arrays import Words, find_words, mix, pieces, runs
 from statledger.llm.components import components
-from statledger.llm.lookup import perhaps_in
+from statledger.llm.lookup import fresh_name, perhaps_in, without
 from statledger.session import written
 
 SHINGLE = 5
@@ -381,5 +381,19 @@ def with_components(docs: DataFrame) -> DataFrame:
     )
 
 
+def keep_one_of_each(docs: DataFrame) -> DataFrame:
+    """The row of least doc_id of every component of near copies, all columns unchanged.
+
+    Ties go to the row read first; a null doc_id is the largest.
+    """
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    joined = written(with_components(docs).select("row", "doc_id", "component"), "jaccard-rows")
+    least = joined.groupBy("component").agg(F.min(order)["row"].alias("row"))
+    dropped = written(joined.join(least, "row", "left_anti").select("row"), "jaccard-dropped")
+    row = fresh_name(docs)
+    rows = docs.withColumn(row, F.monotonically_increasing_id())
+    return without(rows, row, dropped).drop(row)
+
+
 def jaccard_report(docs: DataFrame) -> DataFrame:
     return with_components(docs).select("doc_id", "n_shingles", "component_id")

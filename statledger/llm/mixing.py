@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statledger.llm.columns import WORD
+from statledger.llm.lookup import fresh_name
 from statledger.session import written
 
 CYCLE = (5, 2, 1)
@@ -215,5 +216,20 @@ def mix_sources(docs: DataFrame) -> DataFrame:
     )
 
 
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that the mix takes words of, with ``mix_size``, ``mix_target`` and ``mix_taken``."""
+    taken = mix_sources(docs).where("taken > 0")
+    row = fresh_name(docs)
+    wanted = taken.select(
+        F.col("row").alias(row),
+        F.col("size").alias("mix_size"),
+        F.col("target").alias("mix_target"),
+        F.col("taken").alias("mix_taken"),
+    )
+    rows = docs.withColumn(row, F.monotonically_increasing_id())
+    kept = [c for c in docs.columns if c not in ("mix_size", "mix_target", "mix_taken")]
+    return rows.select(row, *kept).join(wanted.hint("shuffle_hash"), row).drop(row)
+
+
 def mix_report(docs: DataFrame) -> DataFrame:
     return mix_sources(docs).drop("row")

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from statledger.llm.arrays import find_words, pieces, runs
 from statledger.llm.columns import with_row
-from statledger.llm.lookup import bitmap, marked
+from statledger.llm.lookup import bitmap, fresh_name, marked, perhaps_in, without
 from statledger.llm.spans import PII_KINDS, count_kind, pii_spans, span_text
 from statledger.session import written
 
@@ -236,19 +236,36 @@ def pii_report(docs: DataFrame) -> DataFrame:
     )
 
 
-def _mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _mask(names: list[str], spans: str, batches) -> Iterator[pa.RecordBatch]:
+    """Batches with the columns ``names``, texts masked at the spans in the column ``spans``."""
     for batch in batches:
         for piece in pieces(batch):
-            masked = [
-                text if text is None or not spans else mask_text(text, spans)
-                for text, spans in zip(
-                    piece.column("text").to_pylist(), piece.column("spans").to_pylist(), strict=True
+            found = piece.column(spans).to_pylist()
+            texts = piece.column("text").to_pylist()
+            masked = [mask_text(t or "", s) for t, s in zip(texts, found, strict=True)]
+            columns = {n: piece.column(n) for n in names} | {"text": pa.array(masked, pa.string())}
+            if "n_chars" in columns:
+                columns["n_chars"] = pa.array(
+                    [len(t) for t in masked], piece.column("n_chars").type
                 )
-            ]
-            kept = [n for n in piece.schema.names if n not in ("text", "spans")]
-            yield pa.RecordBatch.from_arrays(
-                [piece.column(n) for n in kept] + [pa.array(masked, pa.string())], [*kept, "text"]
-            )
+            yield pa.RecordBatch.from_arrays([columns[n] for n in names], names)
+
+
+def mask_pii(docs: DataFrame) -> DataFrame:
+    """``docs`` with personal data replaced by its kind, and ``n_chars``, if there, brought in line.
+
+    Only texts with spans, and the few that share their bitmap mark, are shuffled.
+    """
+    hits = written(
+        find_pii(docs).where(F.size("spans") > 0).select("row", "spans"), "pii-hits"
+    ).toDF("__hit", "__spans")
+    row = fresh_name(docs)
+    rows = docs.withColumn(row, F.monotonically_increasing_id())
+    keys = hits.select("__hit")
+    near = perhaps_in(rows, row, keys).join(hits, F.col(f"`{row}`") == F.col("__hit"))
+    masked = near.mapInArrow(partial(_mask, docs.columns, "__spans"), docs.schema)
+    others = without(rows, row, keys)
+    return masked.unionByName(others.drop(row))
 
 
 def mask_text(text: str, spans: list[dict]) -> str:
