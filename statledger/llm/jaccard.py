@@ -11,8 +11,9 @@ Two texts link when their sets of 5-word shingles have a Jaccard similarity of 0
    compared with the one it names most often. That is one comparison a text, however
    large a group of near copies is, and joins most of a group into one component.
 4. *Tiles.* In buckets that still hold several components, texts are sorted by size and cut into tiles. Tiles whose
-   sizes allow links are compared: differing bits of two parity bitmaps are at most the differing shingles, which bounds
-   the overlap from above. Pairs that pass and are not yet in one component are compared exactly.
+   sizes allow links are compared: places in the orders bound the overlap from above, and so do two parity bitmaps, whose
+   differing bits are at most the differing shingles. Pairs that pass and are not yet in one component are compared
+   exactly. In buckets of a few texts the places alone decide, which needs no bitmaps there.
 5. *Exact comparison.* Sorted arrays of shingle hashes are intersected.
 
 Pairs within a component are not all made, since only components and membership are returned; no link
@@ -50,6 +51,8 @@ COMMON = 4
 # Rows of a tile and of one run of comparisons with the same text.
 TILE = 256
 RUN = 256
+# Texts of a bucket whose pairs are made without bitmaps, at most this number squared and halved.
+FEW = 8
 SIGNATURE_BITS = (64, 1 << 14)
 
 
@@ -229,7 +232,7 @@ def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     wanted = written(others.union(mains), "jaccard-compared")
     texts = perhaps_in(rows.select("row", "text"), "row", wanted.select("b").distinct())
     dealt = (
-        wanted.join(texts, wanted["b"] == texts["row"])
+        texts.join(wanted.hint("shuffle_hash"), texts["row"] == wanted["b"])
         .select("a", "run", "b", "main", "text")
         .repartition("a", "run")
         .sortWithinPartitions("a", "run", F.desc("main"))
@@ -248,22 +251,46 @@ def _first_pairs(buckets: DataFrame) -> DataFrame:
     return named.groupBy("row").agg(best.alias("a")).select("a", F.col("row").alias("b"))
 
 
-def _tile_rows(buckets: DataFrame, found: DataFrame, feats: DataFrame) -> DataFrame:
-    """Rows of buckets with several components, once for each pair of tiles to compare."""
+def _open_rows(buckets: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows of buckets with several components, with the bucket's size and their rank by size."""
     known = buckets.join(found.withColumnRenamed("node", "row"), "row", "left").withColumn(
         "component", F.coalesce("component", "row")
     )
     per_token = Window.partitionBy("token")
-    open_rows = (
+    rank = F.row_number().over(per_token.orderBy("n_shingles", "row")) - 1
+    return written(
         known.withColumn("low", F.min("component").over(per_token))
         .withColumn("high", F.max("component").over(per_token))
         .where("low < high")
+        .withColumn("size", F.count("*").over(per_token))
+        .withColumn("rank", rank)
+        .select("token", "row", "n_shingles", "place", "component", "size", "rank"),
+        "jaccard-open",
     )
-    rank = F.row_number().over(per_token.orderBy("n_shingles", "row")) - 1
-    tiled = open_rows.select(
-        "token", "row", "n_shingles", "component", F.floor(rank / TILE).alias("tile")
+
+
+def _few_pairs(open_rows: DataFrame) -> DataFrame:
+    """Pairs of small buckets that components, sizes and places leave possible."""
+    few = open_rows.where(F.col("size") <= FEW)
+    a, b = few.alias("a"), few.alias("b")
+    sizes = F.col("a.n_shingles") + F.col("b.n_shingles")
+    overlap = F.least(
+        F.col("a.n_shingles") - F.col("a.place"), F.col("b.n_shingles") - F.col("b.place")
+    )
+    possible = (
+        (F.col("a.token") == F.col("b.token"))
+        & (F.col("a.rank") < F.col("b.rank"))
+        & (F.col("a.component") != F.col("b.component"))
+        & (100 * overlap >= PERCENT * (sizes - overlap))
     )
-    tiled = written(tiled, "jaccard-tiles")
+    return a.join(b, possible).select(
+        F.least("a.row", "b.row").alias("a"), F.greatest("a.row", "b.row").alias("b")
+    )
+
+
+def _tile_rows(open_rows: DataFrame, feats: DataFrame) -> DataFrame:
+    """Rows of the other buckets, once for each pair of tiles to compare."""
+    tiled = open_rows.where(F.col("size") > FEW).withColumn("tile", F.floor(F.col("rank") / TILE))
     tiles = tiled.groupBy("token", "tile").agg(
         F.min("n_shingles").alias("low"), F.max("n_shingles").alias("high")
     )
@@ -278,7 +305,7 @@ def _tile_rows(buckets: DataFrame, found: DataFrame, feats: DataFrame) -> DataFr
         .join(feats.select("row", "signature"), "row")
         .repartition("token", "x", "y")
         .sortWithinPartitions("token", "x", "y", "n_shingles", "row")
-        .select("token", "x", "y", "tile", "row", "n_shingles", "component", "signature")
+        .select("token", "x", "y", "tile", "row", "n_shingles", "component", "signature", "place")
     )
 
 
@@ -286,7 +313,7 @@ def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of each tile pair that the sizes, the components and the bitmaps leave possible."""
     held: list[tuple] = []
     key = None
-    names = ("token", "x", "y", "tile", "row", "n_shingles", "component", "signature")
+    names = ("token", "x", "y", "tile", "row", "n_shingles", "component", "signature", "place")
     for batch in batches:
         found: list[tuple[int, int]] = []
         for row in zip(*[batch.column(n).to_pylist() for n in names], strict=True):
@@ -305,12 +332,14 @@ def _pair_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def _tile_pairs(rows: list[tuple], key: tuple | None) -> list[tuple[int, int]]:
-    """Rows are sorted by size; a pair needs differing components, and tiles as in the key."""
+    """Possible pairs of one pair of tiles, from rows sorted by size.
+
+    The rows of a pair differ in component, and lie in the two tiles of the key.
+    """
     if len(rows) < 2:
         return []
-    tile, row, size, component = (np.array([r[k] for r in rows]) for k in (3, 4, 5, 6))
+    tile, row, size, component, place = (np.array([r[k] for r in rows]) for k in (3, 4, 5, 6, 8))
     found = []
-    by_length: dict[int, np.ndarray] = {}
     lengths = np.array([len(r[7]) for r in rows])
     for i in range(len(rows) - 1):
         # Partners are at least as large, and not more than 100/PERCENT times.
@@ -319,6 +348,9 @@ def _tile_pairs(rows: list[tuple], key: tuple | None) -> list[tuple[int, int]]:
         js = js[component[js] != component[i]]
         if key[1] != key[2]:
             js = js[tile[js] != tile[i]]
+        # With this shingle as their first in common, no more can follow it in either order.
+        overlap = np.minimum(size[js] - place[js], size[i] - place[i])
+        js = js[100 * overlap >= PERCENT * (size[js] + size[i] - overlap)]
         for length in np.unique(lengths[js]):
             same = js[lengths[js] == length]
             short = int(min(length, lengths[i]))
@@ -349,20 +381,22 @@ def link_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     own = feats.join(reps.select(F.col("rep").alias("row")), "row", "left_semi")
     band = F.floor(F.log(F.col("n_shingles").cast("double")) / F.log(F.lit(100 / PERCENT)))
     entries = own.select(
-        "row", "n_shingles", band.alias("band"), F.explode("prefix").alias("token")
+        "row", "n_shingles", band.alias("band"), F.posexplode("prefix").alias("place", "token")
     ).repartition("token")
     per_token, per_band = Window.partitionBy("token"), Window.partitionBy("token", "band")
     buckets = (
         entries.withColumn("size", F.count("*").over(per_token))
         .where("size > 1")
         .withColumn("least", F.min("row").over(per_band))
-        .select("token", "row", "n_shingles", "least")
+        .select("token", "row", "n_shingles", "place", "least")
     )
     buckets = written(buckets, "jaccard-buckets")
     first = written(verified(_first_pairs(buckets), rows), "jaccard-links")
     found = written(components(first), "jaccard-found")
-    pairs = _tile_rows(buckets, found, own).mapInArrow(_bounded, "a bigint, b bigint").distinct()
-    second = verified(written(pairs, "jaccard-pairs"), rows)
+    open_rows = _open_rows(buckets, found)
+    pairs = _tile_rows(open_rows, own).mapInArrow(_bounded, "a bigint, b bigint")
+    pairs = written(pairs.union(_few_pairs(open_rows)).distinct(), "jaccard-pairs")
+    second = verified(pairs, rows)
     links = first.union(second)
     linked = feats.select("row", "doc_id", "n_shingles", "h1", "h2").join(reps, ["h1", "h2"], "left")
     return linked, written(components(links), "jaccard-components")
