@@ -8,14 +8,14 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from oracle_queries import ORACLE
 from statledger.functions import academic_year
 from statledger.operators import clusters, dims, history, marts, profile, quality
 from statledger.operators.dedupe import latest_extraction
-from statledger.operators.forecast import drift_forecast, holdout_check
+from statledger.operators.forecast import drift_forecast, fill_steps, holdout_check
 from statledger.operators.silver import to_silver, with_version
 from statledger.plans import lines as ln
 from statledger.plans.standin import LEVELS, RELEASES, SPEC, Standin, standin, table
@@ -29,6 +29,7 @@ from statledger.streaming.incremental import extend_or_rebuild, run_incremental
 NEWEST = RELEASES[-1][0]
 AS_OF_DAY = "2026-09-01"
 SHARES = tuple(SPEC.mix_levels)
+REVISION = ("restated_from_version", "restated_in_version")
 SHAPE = ("abs_delta", "abs_pct_change", "disclosure_changed", "size_before")
 HISTORY_LABELS = (
     "academic_year_label",
@@ -72,12 +73,20 @@ def bronze_version_counts(spark, sf):
 
 
 def bronze_manifest(spark, sf):
+    """Rows and content digest of every load; how many files hold it is up to the writer."""
     made = standin(spark, sf)
-    return br.manifest(spark, made.landing, SPEC.bronze_columns, "standin").drop("ingested_at")
+    loads = br.manifest(spark, made.landing, SPEC.bronze_columns, "standin")
+    return loads.drop("ingested_at", "files", "bytes")
 
 
 def bronze_files(spark, sf):
-    return br.file_manifest(spark, standin(spark, sf).landing).drop("path")
+    """Loads put together from the records of their files."""
+    files = br.file_manifest(spark, standin(spark, sf).landing, SPEC.bronze_columns)
+    parts = F.split("digest", "-")
+    sums = [F.sum(parts[k].cast("decimal(38,0)")).cast("string") for k in range(br.DIGEST_PARTS)]
+    return files.groupBy(*br.PARTITIONS).agg(
+        F.sum("row_count").alias("row_count"), F.concat_ws("-", *sums).alias("digest")
+    )
 
 
 def manifest_reconcile(spark, sf):
@@ -110,16 +119,24 @@ def metadata_labels(spark, sf):
 
 
 def version_decision(spark, sf):
-    """What each release triggers when it, or the one before, was seen last."""
-    versions = standin(spark, sf).versions()
-    seen = versions.select(F.col(SEQ).alias("seen_seq"), F.col("version").alias("previous_version"))
-    polls = versions.select(
+    """What a poll decides after each landed load, by the loads landed before it.
+
+    The state is the version loaded last; rows say what the decision would load.
+    """
+    made = standin(spark, sf)
+    landed = made.warehouse().bronze().groupBy("version", "ingest_date").agg(
+        F.count("*").alias("row_count")
+    )
+    loads = landed.join(made.versions().select("version", SEQ), "version")
+    in_order = Window.orderBy("ingest_date", SEQ)  # one row per load
+    polled = loads.withColumn("previous_version", F.lag("version").over(in_order))
+    action = cat.version_decision(F.col("version"), F.col("previous_version"))
+    return polled.select(
         F.col("version").alias("latest_version"),
-        F.explode(F.array(F.col(SEQ), F.col(SEQ) - 1)).alias("seen_seq"),
+        "previous_version",
+        action.alias("action"),
+        F.when(action == cat.EXTRACT, F.col("row_count")).otherwise(0).alias("rows_to_load"),
     )
-    polled = polls.join(seen, "seen_seq", "left")
-    action = cat.version_decision(F.col("latest_version"), F.col("previous_version"))
-    return polled.select("latest_version", "previous_version", action.alias("action"))
 
 
 # -- typed rows ----------------------------------------------------------------
@@ -368,13 +385,19 @@ def forecast_holdout(spark, sf):
 
 
 def customer_forecast(spark, sf):
-    """One series per customer: orders in each full year, carried four years on."""
+    """One series per customer: orders in each full year since the first, carried four years on.
+
+    Years without orders count 0, and all series end with the last full year.
+    """
     orders = table(spark, sf, "orders").select(
         "o_custkey", F.year("o_orderdate").cast("bigint").alias("order_year")
     )
     full_years = orders.filter(~F.col("order_year").isin(*SPEC.provisional_years))
     series = full_years.groupBy("o_custkey", "order_year").agg(F.count("*").alias("placed"))
-    ahead = drift_forecast(series, "o_custkey", "order_year", "placed", drift_error=True)
+    filled = fill_steps(
+        series, "o_custkey", "order_year", "placed", full_years.agg(F.max("order_year")).scalar()
+    )
+    ahead = drift_forecast(filled, "o_custkey", "order_year", "placed", drift_error=True)
     return rounded(ahead, "drift", "sigma", "forecast", "lower", "upper")
 
 
@@ -387,7 +410,32 @@ def restatement_shape(spark, sf):
 
 
 def restatement_anomalies(spark, sf):
-    return clusters.anomaly_flags(restatement_features(spark, sf), SHAPE, k=4)
+    """The review queue: every revision by key, with its distance and flag."""
+    return clusters.anomaly_flags(
+        restatement_features(spark, sf), SHAPE, k=4, keep=(*KEY, *REVISION)
+    )
+
+
+def cluster_summary(scored: DataFrame, k: int, contamination: float = 0.02) -> DataFrame:
+    """What holds of clustered rows whatever the seed: their number and two limits."""
+    flagged = F.count_if("is_anomaly") if "is_anomaly" in scored.columns else F.lit(0)
+    return scored.agg(
+        F.count("*").alias("clustered_rows"),
+        (F.max("segment") < k).alias("segments_within_k"),
+        (flagged <= F.floor(F.count("*") * contamination)).alias("flags_within_share"),
+    )
+
+
+def region_segment_summary(spark, sf):
+    return cluster_summary(region_segments(spark, sf), 3)
+
+
+def restatement_shape_summary(spark, sf):
+    return cluster_summary(restatement_shape(spark, sf), 4)
+
+
+def restatement_anomaly_summary(spark, sf):
+    return cluster_summary(restatement_anomalies(spark, sf), 4)
 
 
 # -- checks ----------------------------------------------------------------------
@@ -403,8 +451,7 @@ def dq_fact_report(spark, sf):
 
 def dq_not_null(spark, sf):
     """Rows without a region code, which are the national ones."""
-    newest = latest_rows(spark, sf).filter(F.col("version") == NEWEST)
-    return quality.check_rows(newest, quality.not_null(SPEC.area_code)).select(
+    return quality.check_rows(latest_rows(spark, sf), quality.not_null(SPEC.area_code)).select(
         "version", *SPEC.natural_key
     )
 
@@ -429,10 +476,11 @@ def dq_range(spark, sf):
 
 
 def dq_relationships(spark, sf):
-    """Lines whose order is not among those of a higher priority."""
-    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    orders = table(spark, sf, "orders").filter(F.col("o_orderpriority") != "5-LOW")
-    return quality.check_relationship(lines, "l_orderkey", orders, "o_orderkey")
+    """Customers that no order refers to."""
+    customers = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    return quality.check_relationship(
+        customers, "c_custkey", table(spark, sf, "orders"), "o_custkey"
+    )
 
 
 def dq_current_matches_latest(spark, sf):
@@ -461,6 +509,17 @@ def pii_columns(spark, sf):
     return quality.identifier_columns({t: table(spark, sf, t) for t in TABLES})
 
 
+def identifier_summary(spark, sf):
+    return quality.identifier_summary(pii_columns(spark, sf))
+
+
+def pii_columns_whole_words(spark, sf):
+    """Columns named by whole words; ``turn`` stands in for an identifier's name."""
+    return quality.identifier_columns(
+        {t: table(spark, sf, t) for t in TABLES}, "turn|urn", whole_words=True
+    )
+
+
 # -- the operators at row grain --------------------------------------------------
 
 
@@ -483,20 +542,23 @@ def lines_scd2(spark, sf):
 def lines_scd2_extended(spark, sf):
     register = ln.register(spark, sf)
     rows = written(ln.typed(ln.latest(register)), "lines")
-    old = ln.line_history(rows.filter(F.col(SEQ) < 2000), register.filter(F.col(SEQ) < 2000))
+    old = written(
+        ln.line_history(rows.filter(F.col(SEQ) < 2000), register.filter(F.col(SEQ) < 2000)),
+        "line-history",
+    )
     return history.extend_history(
         old, rows.filter(F.col(SEQ) >= 2000), ln.KEY, SEQ, ln.TYPED, ln.CARRY, version="version"
     )
 
 
 def lines_as_of(spark, sf):
-    return history.as_of_version(lines_scd2(spark, sf), 1998).select(
+    return history.as_of_version(ln.published_history(spark, sf), 1998).select(
         *ln.KEY, "valid_from_seq", "valid_to_seq", *ln.TYPED
     )
 
 
 def lines_restatements(spark, sf):
-    return history.restatement_history(lines_scd2(spark, sf), ln.KEY, "quantity")
+    return history.restatement_history(ln.published_history(spark, sf), ln.KEY, "quantity")
 
 
 def lines_revisions(spark, sf):
@@ -522,8 +584,16 @@ def lines_duplicates(spark, sf):
 
 
 def lines_anomalies(spark, sf):
-    shape = marts.restatement_features(lines_restatements(spark, sf), "quantity")
-    return clusters.anomaly_flags(shape, SHAPE, k=4)
+    shape = lines_restatement_features(spark, sf)
+    return clusters.anomaly_flags(shape, SHAPE, k=4, keep=(*ln.KEY, *REVISION))
+
+
+def lines_restatement_features(spark, sf):
+    return marts.restatement_features(lines_restatements(spark, sf), "quantity", ln.KEY)
+
+
+def lines_anomaly_summary(spark, sf):
+    return cluster_summary(lines_anomalies(spark, sf), 4)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -578,6 +648,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "region_segments": region_segments,
     "restatement_shape": restatement_shape,
     "restatement_anomalies": restatement_anomalies,
+    "region_segment_summary": region_segment_summary,
+    "restatement_shape_summary": restatement_shape_summary,
+    "restatement_anomaly_summary": restatement_anomaly_summary,
     "dq_silver_report": dq_silver_report,
     "dq_fact_report": dq_fact_report,
     "dq_not_null": dq_not_null,
@@ -591,6 +664,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_suppressed_has_value": dq_suppressed_has_value,
     "dq_version_lineage": dq_version_lineage,
     "pii_columns": pii_columns,
+    "pii_columns_whole_words": pii_columns_whole_words,
+    "identifier_summary": identifier_summary,
     "lines_latest": lines_latest,
     "lines_latest_by_version": lines_latest_by_version,
     "lines_measure_status": lines_measure_status,
@@ -603,6 +678,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lines_typed_vs_string": lines_typed_vs_string,
     "lines_duplicates": lines_duplicates,
     "lines_anomalies": lines_anomalies,
+    "lines_restatement_features": lines_restatement_features,
+    "lines_anomaly_summary": lines_anomaly_summary,
 }
 
 

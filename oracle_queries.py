@@ -114,7 +114,8 @@ bronze AS (
          CASE WHEN low THEN 'low' ELSE CAST(shown_starts AS VARCHAR) END AS start_count,
          CASE WHEN low_achieved THEN 'low' ELSE CAST(((achievements + 5) // 10) * 10 AS VARCHAR) END
            AS achievement_count,
-         CASE WHEN depth < 3 THEN 'z' WHEN lines < 6 THEN 'low'
+         CASE WHEN depth < 3 THEN 'z' WHEN version_seq >= 3 AND h >= 'd0' AND h < 'd4' THEN NULL
+              WHEN lines < 6 THEN 'low'
               ELSE CAST(((lines + 5) // 10) * 10 AS VARCHAR) END AS participation_count,
          CASE WHEN low THEN 'c'
               WHEN version_seq < 4 AND starts_tenths % 10 = 0 THEN CAST(starts_tenths // 10 AS VARCHAR)
@@ -159,7 +160,7 @@ silver AS (
          CAST({" + ".join(f"CASE WHEN {d} = 'Total' THEN 1 ELSE 0 END" for d in DIMS)} AS INTEGER) AS aggregation_depth,
          {" AND ".join(f"{d} <> 'Total'" for d in DIMS)} AS is_detail_grain,
          substr(time_period, 1, 4) = '2001' AS is_provisional,
-         {" || '~' || ".join(MEASURES)} AS raw_fingerprint
+         {" || '~' || ".join(f"COALESCE({m}, '(blank)')" for m in MEASURES)} AS raw_fingerprint
   FROM latest)"""
 
 CARRIED = (
@@ -333,6 +334,22 @@ LINE_COLUMNS = f"{csv(LINE_KEY)}, {RECORD}, {csv(LINE_CARRY)}, {csv(LINE_TYPED)}
 RESTATED_COLUMNS = "* REPLACE (CAST(restated_on AS VARCHAR) AS restated_on)"
 
 
+LANDED = (
+    "time_period", "time_identifier", "geographic_level", "country_code", "country_name",
+    "region_code", "region_name", *DIMS, *MEASURES,
+)
+DIGESTS = CELLS + f""",
+marked AS (
+  SELECT version, ingest_date, md5({" || ".join(
+      f"CASE WHEN {c} IS NULL THEN '-' ELSE length({c}) || ':' || {c} END" for c in LANDED
+  )}) AS m FROM bronze),
+loads AS (
+  SELECT version, ingest_date, COUNT(*) AS row_count, {" || '-' || ".join(
+      f"CAST(SUM(CAST('0x' || substr(m, {1 + 8 * k}, 8) AS BIGINT)) AS VARCHAR)" for k in range(4)
+  )} AS digest
+  FROM marked GROUP BY version, ingest_date)"""
+
+
 def deltas(source: str, key, text, typed) -> str:
     """Added, removed and restated rows per adjacent pair, by full outer joins."""
     same = " AND ".join(f"c.{k} = p.{k}" for k in key)
@@ -442,6 +459,11 @@ ORACLE: dict[str, str] = {
     "bronze_version_counts": q(CELLS, """
       SELECT version, CAST(ingest_date AS VARCHAR) AS ingest_date, COUNT(*) AS row_count
       FROM bronze GROUP BY ALL"""),
+    "bronze_manifest": q(DIGESTS, """
+      SELECT 'standin' AS dataset_id, version AS dataset_version,
+             CAST(ingest_date AS VARCHAR) AS ingest_date, row_count, digest FROM loads"""),
+    "bronze_files": q(DIGESTS, """
+      SELECT version, CAST(ingest_date AS VARCHAR) AS ingest_date, row_count, digest FROM loads"""),
     "manifest_reconcile": q(CELLS, """
       SELECT b.version AS dataset_version, CAST(b.ingest_date AS VARCHAR) AS ingest_date,
              b.row_count, v.total_results, b.row_count = v.total_results AS matches
@@ -482,10 +504,17 @@ ORACLE: dict[str, str] = {
         "FROM silver WHERE dataset_version = '2.0.2'",
     ])),
     "version_decision": q(CELLS, """
-      SELECT v.version AS latest_version, p.version AS previous_version,
-             CASE WHEN v.version = p.version THEN 'skip' ELSE 'extract' END AS action
-      FROM (SELECT version, unnest([version_seq, version_seq - 1]) AS seen_seq FROM versions) v
-      LEFT JOIN versions p ON p.version_seq = v.seen_seq"""),
+      SELECT version AS latest_version, previous AS previous_version,
+             CASE WHEN version = previous THEN 'skip' ELSE 'extract' END AS action,
+             CASE WHEN version = previous THEN 0 ELSE n END AS rows_to_load
+      FROM (SELECT b.version, n, arg_max(e.version, (e.ingest_date, e.s)) AS previous
+            FROM (SELECT version, ingest_date, n, s FROM load_list) b
+            LEFT JOIN load_list e ON (e.ingest_date, e.s) < (b.ingest_date, b.s)
+            GROUP BY b.version, b.ingest_date, n)""").replace("versions AS (", """load_list AS (
+  SELECT b.version, ingest_date, COUNT(*) AS n, MAX(r.seq) AS s
+  FROM bronze b JOIN (SELECT DISTINCT version, version_seq AS seq FROM releases) r ON b.version = r.version
+  GROUP BY b.version, ingest_date),
+versions AS (""", 1),
     "typed_measures": q(TO_SILVER, f"""
       SELECT row_key, dataset_version, {csv(MEASURES)}, {csv(MEASURES, "{0}_status")} FROM silver"""),
     "aggregation_depth": q(TO_SILVER, """
@@ -642,7 +671,8 @@ ORACLE: dict[str, str] = {
         AND region_name <> 'MIDDLE EAST' AND NOT is_provisional AND start_count IS NOT NULL
       GROUP BY region_name"""),
     "restatement_features": q(TO_RESTATED, """
-      SELECT abs(start_count_delta) AS abs_delta, abs(COALESCE(start_count_pct_change, 0)) AS abs_pct_change,
+      SELECT row_key, restated_from_version, restated_in_version,
+             abs(start_count_delta) AS abs_delta, abs(COALESCE(start_count_pct_change, 0)) AS abs_pct_change,
              CASE WHEN disclosure_status_changed THEN 1 ELSE 0 END AS disclosure_changed,
              COALESCE(start_count_before, 0) AS size_before
       FROM restated WHERE start_count_delta IS NOT NULL"""),
@@ -657,9 +687,17 @@ ORACLE: dict[str, str] = {
              round(upper, 9) AS upper, round(share, 9) AS actual, share BETWEEN lower AND upper AS in_interval
       FROM forecast f JOIN held h ON f.level = h.level AND f.academic_year_start = h.academic_year_start"""),
     "customer_forecast": """
-      WITH series AS (
+      WITH placed_by_year AS (
         SELECT o_custkey, CAST(year(o_orderdate) AS BIGINT) AS order_year, COUNT(*) AS placed
         FROM orders WHERE year(o_orderdate) <> 2001 GROUP BY ALL),
+      years AS (SELECT DISTINCT order_year FROM placed_by_year),
+      begun AS (SELECT o_custkey, MIN(order_year) AS since FROM placed_by_year GROUP BY ALL),
+      calendar AS (
+        SELECT CAST(unnest(range(MIN(order_year), MAX(order_year) + 1)) AS BIGINT) AS order_year FROM years),
+      series AS (
+        SELECT b.o_custkey, c.order_year, COALESCE(p.placed, 0) AS placed
+        FROM begun b JOIN calendar c ON c.order_year >= b.since
+        LEFT JOIN placed_by_year p ON p.o_custkey = b.o_custkey AND p.order_year = c.order_year),
       steps AS (
         SELECT *, placed - lag(placed) OVER (PARTITION BY o_custkey ORDER BY order_year) AS step FROM series),
       fitted AS (
@@ -697,7 +735,7 @@ ORACLE: dict[str, str] = {
     "dq_fact_report": q(TO_FACT, union_counts(FACT_CHECKS)),
     "dq_not_null": q(f"{CELLS},{LATEST}", f"""
       SELECT version, time_period, geographic_level, region_code, {csv(DIMS)}
-      FROM latest WHERE region_code IS NULL AND version = '2.0.2'"""),
+      FROM latest WHERE region_code IS NULL"""),
     "dq_unique": q(CELLS, f"""
       SELECT time_period, geographic_level, region_code, {csv(DIMS)}, version, COUNT(*) AS copies
       FROM bronze GROUP BY ALL HAVING COUNT(*) > 1"""),
@@ -707,8 +745,8 @@ ORACLE: dict[str, str] = {
     "dq_range": q(TO_SILVER, """
       SELECT row_key, dataset_version, academic_year_start FROM silver
       WHERE academic_year_start NOT BETWEEN 1995 AND 2000"""),
-    "dq_relationships": "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem "
-    "WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderpriority <> '5-LOW')",
+    "dq_relationships": "SELECT c_custkey, c_nationkey, c_mktsegment FROM customer "
+    "WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
     "dq_current_matches_latest": q(TO_FACT, """
       SELECT n AS current_records, e AS expected_records
       FROM (SELECT COUNT(*) FILTER (is_current) AS n FROM fact),
@@ -723,6 +761,30 @@ ORACLE: dict[str, str] = {
     "pii_columns": "SELECT 'lineitem' AS table_name, 'l_returnflag' AS column_name, "
     "COUNT(l_returnflag) AS values_held FROM lineitem UNION ALL "
     "SELECT 'conversations', 'turn', COUNT(turn) FROM conversations",
+    "pii_columns_whole_words": "SELECT 'conversations' AS table_name, 'turn' AS column_name, "
+    "COUNT(turn) AS values_held FROM conversations",
+    "identifier_summary": "SELECT string_agg(name, ',' ORDER BY name) AS column_names FROM "
+    "(SELECT DISTINCT column_name AS name FROM duckdb_columns() WHERE regexp_matches(column_name, 'urn'))",
+    "region_segment_summary": q(TO_FACT, f"""
+      SELECT COUNT(DISTINCT region_name) AS clustered_rows, TRUE AS segments_within_k,
+             TRUE AS flags_within_share
+      FROM fact WHERE is_current AND is_detail_grain AND geographic_level = 'Regional'
+        AND region_name <> 'MIDDLE EAST' AND NOT is_provisional AND start_count IS NOT NULL"""),
+    "restatement_shape_summary": q(TO_RESTATED, """
+      SELECT COUNT(start_count_delta) AS clustered_rows, TRUE AS segments_within_k,
+             TRUE AS flags_within_share FROM restated"""),
+    "restatement_anomaly_summary": q(TO_RESTATED, """
+      SELECT COUNT(start_count_delta) AS clustered_rows, TRUE AS segments_within_k,
+             TRUE AS flags_within_share FROM restated"""),
+    "lines_anomaly_summary": q(f"{LINE_FACT},{LINE_RESTATED}", """
+      SELECT COUNT(quantity_delta) AS clustered_rows, TRUE AS segments_within_k,
+             TRUE AS flags_within_share FROM line_restated"""),
+    "lines_restatement_features": q(f"{LINE_FACT},{LINE_RESTATED}", """
+      SELECT l_orderkey, l_linenumber, restated_from_version, restated_in_version,
+             abs(quantity_delta) AS abs_delta, abs(COALESCE(quantity_pct_change, 0)) AS abs_pct_change,
+             CASE WHEN disclosure_status_changed THEN 1 ELSE 0 END AS disclosure_changed,
+             COALESCE(quantity_before, 0) AS size_before
+      FROM line_restated WHERE quantity_delta IS NOT NULL"""),
     "lines_latest": q(LINES, """
       SELECT * REPLACE (CAST(published_at AS VARCHAR) AS published_at, CAST(ingest_date AS VARCHAR) AS ingest_date)
       FROM newest_lines"""),

@@ -40,8 +40,8 @@ def academic_year(period: Column | str) -> tuple[Column, Column, Column]:
 
 
 def fingerprint(cols: Sequence[str]) -> Column:
-    """The raw cells joined by ``~``; NULL when any cell is NULL."""
+    """The raw cells joined by ``~``, a NULL cell as the control character NUL."""
     parts: list[Column] = []
     for name in cols:
-        parts += [F.lit("~"), F.col(name)]
+        parts += [F.lit("~"), F.coalesce(F.col(name), F.lit("\x00"))]
     return F.concat(*parts[1:])

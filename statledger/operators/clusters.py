@@ -53,6 +53,7 @@ def anomaly_flags(
     k: int,
     contamination: float = 0.02,
     seed: int = 1,
+    keep: Sequence[str] = (),
     **fit,
 ) -> DataFrame:
     """Each row's normalised distance to its nearest centroid, and the farthest flagged.
@@ -61,8 +62,9 @@ def anomaly_flags(
     the rows assigned to it. Rows farther than the ``1 - contamination`` quantile
     are flagged. Centroids are plan literals: ``k`` vectors, whatever the
     input's size. Features and scores are stored, because several passes read them.
+    ``keep`` names columns that tell whose row it is.
     """
-    features = written(features.select(*cols), "features")
+    features = written(features.select(*keep, *cols), "features")
     model = _fitted(features, cols, k, seed, **fit)
     centres = model.stages[-1].clusterCenters()
     point = vector_to_array("_scaled")
@@ -90,7 +92,7 @@ def anomaly_flags(
     nearest = F.least(*normal) if len(normal) > 1 else (normal[0] if normal else F.lit(0.0))
     exact = F.when(assigned == 0, F.lit(0.0)).otherwise(nearest)
     scored = written(
-        measured.select(*cols, "segment", exact.alias("normalized_distance")), "scores"
+        measured.select(*keep, *cols, "segment", exact.alias("normalized_distance")), "scores"
     )
     cut = nth_smallest(
         scored, "normalized_distance", math.ceil(scored.count() * (1 - contamination))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from statistics import NormalDist
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statledger.functions import safe_divide
@@ -23,25 +23,31 @@ def drift_forecast(
 
     ARIMA(0,1,0) with drift: the drift is the mean step, the spread that of the
     steps around it. ``drift_error`` widens the interval by the uncertainty of
-    the drift. One row per group and step of ``t`` is expected, so a group is as
-    long as the series; a group with fewer than three values has no interval.
+    the drift. One row per group and step of ``t`` is expected, see ``fill_steps``, so a group is as
+    long as the series; a group with fewer than three values has no interval. The drift
+    is per elapsed step of ``t``. Two rows of one group and step are an error.
     """
     z = NormalDist().inv_cdf(0.5 + level / 2)
-    step = F.col(y) - F.lag(y).over(Window.partitionBy(group).orderBy(t))
+    by_group = Window.partitionBy(group).orderBy(t)
+    twice = F.raise_error(F.lit(f"more than one row for a {group} and {t}"))
+    step = F.when(F.lag(t).over(by_group) == F.col(t), twice).otherwise(
+        F.col(y) - F.lag(y).over(by_group)
+    )
     fitted = (
         series.withColumn("_step", step)
         .groupBy(group)
         .agg(
             F.count(y).alias("n"),
             F.max(t).alias("_last_t"),
+            (F.max(t) - F.min(t)).alias("_elapsed"),
             F.min_by(y, t).alias("_first"),
             F.max_by(y, t).alias("_last"),
             F.stddev_samp("_step").alias("sigma"),
         )
-        .withColumn("drift", safe_divide(F.col("_last") - F.col("_first"), F.col("n") - 1))
+        .withColumn("drift", safe_divide(F.col("_last") - F.col("_first"), F.col("_elapsed")))
     )
     h = F.col("h")
-    variance = h + h * h / (F.col("n") - 1) if drift_error else h
+    variance = h + h * h / F.col("_elapsed") if drift_error else h
     point = F.col("_last") + F.col("drift") * h
     margin = F.lit(z) * F.col("sigma") * F.sqrt(variance)
     return (
@@ -61,6 +67,19 @@ def drift_forecast(
     )
 
 
+def fill_steps(series: DataFrame, group: str, t: str, y: str, end) -> DataFrame:
+    """``series`` with a row of value 0 for every step that a group lacks from its first one to ``end``.
+
+    ``end`` is a value or a column, the same for all groups.
+    """
+    last = end if isinstance(end, Column) else F.lit(end)
+    spans = series.groupBy(group).agg(F.min(t).alias("_first"))
+    steps = spans.select(group, F.explode(F.sequence("_first", last.cast("bigint"))).alias(t))
+    return steps.join(series, [group, t], "left").select(
+        group, t, F.coalesce(y, F.lit(0).cast("bigint")).alias(y)
+    )
+
+
 def holdout_check(forecast: DataFrame, actual: DataFrame, group: str, t: str, y: str) -> DataFrame:
     """Forecasts beside the values observed later, and whether the interval held them."""
     seen = actual.select(group, t, F.col(y).alias("actual"))

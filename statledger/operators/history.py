@@ -247,18 +247,25 @@ def version_deltas(
 
     ``compare`` names each kind of restatement and the columns that define it.
     A key's neighbouring versions come from one window, which replaces a full
-    outer join per pair of versions. Ordinals are consecutive.
+    outer join per pair of versions. Which version follows which is read from
+    ``versions``, so ordinals may have gaps.
     """
+    by_seq = Window.orderBy(seq)  # one row per version
+    listed = versions.select(seq, "version", "version_type").withColumns(
+        {"_previous": F.lag(seq).over(by_seq), "_following": F.lead(seq).over(by_seq)}
+    )
     by_key = Window.partitionBy(*key).orderBy(seq)
     before, after = F.lag(seq).over(by_key), F.lead(seq).over(by_key)
-    adjacent = F.coalesce(before == F.col(seq) - 1, F.lit(False))
-    rows = df.select(
+    adjacent = F.coalesce(before == F.col("_previous"), F.lit(False))
+    rows = df.join(listed.select(seq, "_previous", "_following"), seq).select(
         seq,
+        "_following",
         (~adjacent).alias("_added"),
-        F.coalesce(after != F.col(seq) + 1, F.lit(True)).alias("_dropped"),
+        F.coalesce(after != F.col("_following"), F.lit(True)).alias("_dropped"),
         *[(adjacent & _differs(cols, by_key)).alias(name) for name, cols in compare.items()],
     )
     counted = rows.groupBy(seq).agg(
+        F.first("_following").alias("_following"),
         F.count("*").alias("n"),
         F.count_if("_added").alias("added"),
         F.count_if("_dropped").alias("dropped"),
@@ -273,7 +280,7 @@ def version_deltas(
     )
     zero = F.lit(0).cast("bigint")
     onward = F.struct(
-        (F.col(seq) + 1).alias(seq),
+        F.col("_following").alias(seq),
         zero.alias("row_count"),
         zero.alias("added"),
         F.col("dropped").alias("removed"),
@@ -284,7 +291,7 @@ def version_deltas(
         counted.select(F.inline(F.array(here, onward)))
         .groupBy(seq)
         .agg(*[F.sum(c).alias(c) for c in totals])
-        .join(versions.select(seq, "version", "version_type"), seq)
+        .join(listed, seq)
         .select(seq, "version", "version_type", *totals)
     )
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import date
 
@@ -214,10 +215,18 @@ def mix_features(fact: DataFrame, spec: TableSpec) -> DataFrame:
     )
 
 
-def restatement_features(history: DataFrame, measure: str) -> DataFrame:
-    """Shape of every revision that has a delta: size, relative size, disclosure, base."""
+def restatement_features(
+    history: DataFrame, measure: str, key: Sequence[str] = ("row_key",)
+) -> DataFrame:
+    """Shape of every revision that has a delta: size, relative size, disclosure, base.
+
+    ``key`` and the two versions say which revision it is.
+    """
     delta = F.col(f"{measure}_delta")
     return history.filter(delta.isNotNull()).select(
+        *key,
+        "restated_from_version",
+        "restated_in_version",
         F.abs(delta).alias("abs_delta"),
         F.abs(F.coalesce(F.col(f"{measure}_pct_change"), F.lit(0.0))).alias("abs_pct_change"),
         F.when(F.col("disclosure_status_changed"), 1).otherwise(0).alias("disclosure_changed"),
@@ -291,7 +300,7 @@ def feed_level_mix(trends: DataFrame, spec: TableSpec, levels: Sequence[str]) ->
         spec.area_name,
         "total",
         *[
-            (per_mille(F.col(f"s{i}"), F.col("total")) / 10).alias(f"pct_{v.split(' ')[0].lower()}")
+            (per_mille(F.col(f"s{i}"), F.col("total")) / 10).alias(f"pct_{re.sub('[^a-z0-9]+', '_', v.lower())}")
             for i, v in enumerate(levels)
         ],
     )

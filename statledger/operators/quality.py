@@ -13,10 +13,7 @@ from statledger.operators.profile import reconcile
 from statledger.spec import PUBLISHED, STATUSES, UNRECOGNISED, TableSpec
 
 # Parts of a column name that suggest personal data.
-IDENTIFIER_PATTERN = (
-    r"(email|phone|postcode|address|dob|birth|name_first|surname"
-    r"|nino|ni_number|learner|uln|urn)"
-)
+IDENTIFIER_PATTERN = r"(email|phone|postcode|address|dob|birth|name_first|surname|nino|ni_number|learner|uln|urn)"  # noqa: E501
 
 
 class QualityGateError(Exception):
@@ -118,9 +115,15 @@ def database_tables(spark: SparkSession, database: str) -> dict[str, DataFrame]:
 
 
 def identifier_columns(
-    tables: Mapping[str, DataFrame], pattern: str = IDENTIFIER_PATTERN
+    tables: Mapping[str, DataFrame], pattern: str = IDENTIFIER_PATTERN, whole_words: bool = False
 ) -> DataFrame:
-    """Columns whose name suggests an identifier, with the number of values they hold."""
+    """Columns whose name suggests an identifier, with the number of values they hold.
+
+    The pattern may match inside a longer word; with ``whole_words`` it must
+    fill the words between underscores that it touches.
+    """
+    if whole_words:
+        pattern = f"(^|_)({pattern})(_|$)"
     spark = next(iter(tables.values())).sparkSession
     catalogue = spark.createDataFrame(
         [(t, c) for t, df in tables.items() for c in df.columns],
@@ -149,8 +152,10 @@ def identifier_columns(
 
 
 def identifier_summary(found: DataFrame) -> DataFrame:
-    """The flagged column names as one string; NULL when there are none."""
-    return found.agg(F.listagg_distinct("column_name", F.lit(",")).alias("column_names"))
+    """The distinct flagged column names in order as one string; NULL when there are none."""
+    names = F.sort_array(F.collect_set("column_name"))
+    joined = F.when(F.size(names) > 0, F.array_join(names, ","))
+    return found.agg(joined.alias("column_names"))
 
 
 def row_rules(spec: TableSpec) -> dict[str, Column]:

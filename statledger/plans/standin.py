@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from statledger.functions import natural_key, per_mille
 from statledger.plans.warehouse import Warehouse
-from statledger.session import scratch_path, size_shuffles
+from statledger.session import scratch_path, sized_shuffles
 from statledger.sources.bronze import land, store_metadata
 from statledger.sources.catalogue import read_versions, seed_rows
 from statledger.spec import TableSpec
@@ -62,7 +62,6 @@ def finest_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     Aggregating here keeps the cube off the order lines. The two large joins
     are on keys; Spark splits a hot order or customer over several tasks.
     """
-    size_shuffles(spark, *[f"{sf_dir}/{name}.parquet" for name in ("lineitem", "orders")])
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_quantity", "l_discount", "l_returnflag", "l_linestatus"
     )
@@ -231,6 +230,7 @@ def releases(published: DataFrame) -> DataFrame:
         .otherwise(_rounded(F.col("achievements")).cast("string"))
         .alias("achievement_count"),
         F.when(F.col("depth") < 3, "z")
+        .when((seq >= 3) & within("d0", "d4"), F.lit(None))
         .when(F.col("lines") < LOW_LINES, "low")
         .otherwise(_rounded(F.col("lines")).cast("string"))
         .alias("participation_count"),
@@ -285,7 +285,9 @@ class Standin:
     def land(self) -> None:
         """Write the cells, every extraction of them, and the version seed."""
         path = f"{self.root}/cells"
-        cells(self.spark, self.sf_dir).write.mode("overwrite").parquet(path)
+        inputs = [f"{self.sf_dir}/{name}.parquet" for name in ("lineitem", "orders")]
+        with sized_shuffles(self.spark, *inputs):
+            cells(self.spark, self.sf_dir).write.mode("overwrite").parquet(path)
         extracted = releases(self.spark.read.parquet(path))
         land(extracted.drop("complete"), self.landing)
         declared_versions(self.spark, extracted).coalesce(1).write.mode("overwrite").option(

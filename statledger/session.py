@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +13,9 @@ from pyspark.sql import functions as F
 # Bytes one shuffle partition should hold, and how much larger rows are than their files.
 SHUFFLE_BYTES = 128 << 20
 UNPACKED = 4
+MOST_PARTITIONS = 20_000
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-_LISTED: dict[tuple[str, str], int] = {}
+_FOLDERS: dict[str, str] = {}
 
 # Rows a join side may have to be broadcast.
 BROADCAST_ROWS = 10_000
@@ -22,14 +24,17 @@ BROADCAST_ROWS = 10_000
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, from ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder.
+    Only a session in one process without that setting gets a temporary folder, one for its lifetime.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if context.master != "local" and not context.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="statledger-")
+    if context.applicationId not in _FOLDERS:
+        _FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="statledger-")
+    return _FOLDERS[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
@@ -37,25 +42,40 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/statledger/{purpose}-{uuid.uuid4().hex}"
 
 
-def size_shuffles(spark: SparkSession, *paths: str, growing: bool = False) -> None:
-    """Let shuffles start with enough partitions for the files below ``paths``.
+def shuffle_partitions(total_bytes: int, least: int) -> int:
+    """Shuffle partitions for an input of so many bytes, from ``least`` to ``MOST_PARTITIONS``.
+
+    Beyond that bound partitions grow with the input instead: the driver keeps an
+    entry for every pair of a map task and a partition.
+    """
+    wanted = math.ceil(total_bytes * UNPACKED / SHUFFLE_BYTES)
+    return max(least, min(wanted, MOST_PARTITIONS))
+
+
+def stored_bytes(spark: SparkSession, *paths: str) -> int:
+    """Bytes of all files below the paths, by listing."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    return sum(files.load(path).agg(F.sum("length")).first()[0] or 0 for path in paths)
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, *paths: str):
+    """Jobs run inside start their shuffles with enough partitions for the files below ``paths``.
 
     Adaptive execution merges small shuffle partitions but does not make more of
-    them, so their first number has to follow the input. It is only ever
-    raised. Files are listed once per session unless the folder is ``growing``.
+    them, so their first number has to follow the input. Afterwards the
+    setting is as before, so that later small jobs don't pay for it.
     """
-    for path in paths:
-        key = (spark.sparkContext.applicationId, path)
-        if growing or key not in _LISTED:
-            files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-            _LISTED[key] = files.agg(F.sum("length")).first()[0] or 0
-    total = sum(_LISTED[spark.sparkContext.applicationId, path] for path in paths)
-    wanted = math.ceil(total * UNPACKED / SHUFFLE_BYTES)
-    started = spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get(
-        "spark.sql.shuffle.partitions"
-    )
-    if wanted > int(started):
-        spark.conf.set(INITIAL_PARTITIONS, wanted)
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
+    least = int(before or spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set(INITIAL_PARTITIONS, shuffle_partitions(stored_bytes(spark, *paths), least))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(INITIAL_PARTITIONS)
+        else:
+            spark.conf.set(INITIAL_PARTITIONS, before)
 
 
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -27,16 +27,21 @@ def run_incremental(
     columns: Sequence[str],
     publish: Publish,
     files_per_batch: int | None = None,
+    quoted_newlines: bool = True,
 ) -> int:
     """Hand all files landed since the last run to ``publish``; returns the batches run."""
-    reader = spark.readStream.schema(bronze_schema(columns)).options(**CSV, multiLine=True)
+    reader = spark.readStream.schema(bronze_schema(columns)).options(
+        **CSV, multiLine=quoted_newlines
+    )
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     batches = 0
 
     def counted(batch: DataFrame, number: int) -> None:
         nonlocal batches
-        publish(batch, f"{checkpoint}#{number}")
+        # The id is stored in the checkpoint: a new checkpoint is a new query, whose batches are new.
+        query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        publish(batch, f"{query_id}#{number}")
         batches += 1
 
     query = (

@@ -84,9 +84,9 @@ def test_natural_key_needs_every_part_without_default(spark):
     assert keys == [hashlib.md5(b"a|NA|x").hexdigest(), None]
 
 
-def test_fingerprint_propagates_null(spark):
+def test_fingerprint_marks_null(spark):
     df = spark.createDataFrame([("1", "low"), ("1", None)], "a string, b string")
-    assert [r[0] for r in df.select(fingerprint(["a", "b"])).collect()] == ["1~low", None]
+    assert [r[0] for r in df.select(fingerprint(["a", "b"])).collect()] == ["1~low", "1~\x00"]
 
 
 @pytest.mark.parametrize(

@@ -186,6 +186,19 @@ def test_deltas_against_brute_force(spark):
     assert len(got) == 6
 
 
+def test_deltas_with_gaps_in_ordinals_and_blank_cells(spark):
+    """Three versions numbered 10, 20, 30; one column is blank throughout."""
+    rows = [("a", 10, None, 1), ("a", 20, None, 2), ("a", 30, None, 2), ("b", 10, None, 5), ("c", 30, None, 1)]
+    df = spark.createDataFrame(rows, "key string, version_seq bigint, other bigint, value bigint")
+    versions = spark.createDataFrame(
+        [(s, str(s), "Major") for s in (10, 20, 30)],
+        "version_seq bigint, version string, version_type string",
+    )
+    got = version_deltas(df, ["key"], "version_seq", {"restated": ["other", "value"]}, versions)
+    found = {r.version_seq: (r.row_count, r.added, r.removed, r.restated) for r in got.collect()}
+    assert found == {10: (2, 2, 0, 0), 20: (1, 0, 1, 1), 30: (2, 1, 0, 0)}
+
+
 def test_reformatting_opens_text_records_only(spark):
     df = spark.createDataFrame(
         [("a", 1, "4", 4.0), ("a", 2, "4.0", 4.0), ("a", 3, "5", 5.0), ("b", 1, "c", None)],

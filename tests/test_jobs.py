@@ -6,8 +6,10 @@ import pytest
 
 from statledger import EDUCATION_HEADLINE as SPEC
 from statledger.jobs import main
+from statledger.operators.quality import QualityGateError
 from statledger.plans.warehouse import Warehouse
-from statledger.sources.catalogue import read_versions
+from statledger.sources.bronze import read_manifest
+from statledger.sources.catalogue import read_metadata, read_versions
 
 
 def write_release(path, starts):
@@ -60,15 +62,24 @@ def test_check_reports_a_broken_total(spark, place, capsys):
     landing, root = str(place / "landing"), str(place / "tables")
     seed = place / "versions.csv"
     common = ["--landing", landing, "--root", root, "--versions", str(seed)]
-    for version in ("1.0", "2.0"):
-        source = ["land", "--source", str(place / "second.csv"), "--version", version]
+    for version, file in (("1.0", "first.csv"), ("2.0", "second.csv")):
+        source = ["land", "--source", str(place / file), "--version", version]
         main([*source, "--landing", landing], spark)
     main(["build", *common], spark)
     seed.write_text(seed.read_text().replace("2026-01-29,3", "2026-01-29,4"))
     assert main(["check", *common], spark) == 1
     out = capsys.readouterr().out
     assert "current records match newest version: 1" in out
-    assert "at least two versions in lineage: 1" in out
+
+
+def test_two_loaded_versions_must_both_be_in_the_lineage(spark, place):
+    landing, root = str(place / "landing"), str(place / "tables")
+    common = ["--landing", landing, "--root", root, "--versions", str(place / "versions.csv")]
+    for version in ("1.0", "2.0"):
+        source = ["land", "--source", str(place / "second.csv"), "--version", version]
+        main([*source, "--landing", landing], spark)
+    with pytest.raises(QualityGateError, match="at least two versions in lineage: 1"):
+        main(["build", *common], spark)
 
 
 def test_list_versions(spark, tmp_path, capsys):
@@ -77,3 +88,22 @@ def test_list_versions(spark, tmp_path, capsys):
     )
     assert main(["list-versions", "--pages", str(tmp_path)], spark) == 0
     assert "|2025-07-25|" in capsys.readouterr().out
+
+
+def test_backfill_and_watch(spark, place, capsys):
+    landing, seed = str(place / "landing"), str(place / "versions.csv")
+    for name, version in (("first.csv", "1.0"), ("second.csv", "2.0")):
+        (place / name).rename(place / f"{version}.csv")
+    (place / "2.0.json").write_text('{"indicators": [{"id": "i", "label": "I", "unit": ""}]}')
+    common = ["--releases", str(place), "--landing", landing, "--versions", seed]
+    for action in ("extract", "skip"):
+        assert main(["watch", *common, "--state", str(place / "state")], spark) == 0
+        assert action in capsys.readouterr().out
+    landed = {r.dataset_version for r in read_manifest(spark, landing).collect()}
+    assert landed == {"2.0"}
+    assert main(["backfill", *common, "--plain"], spark) == 0
+    stored = {r.dataset_version: r for r in read_manifest(spark, landing).collect()}
+    assert set(stored) == {"1.0", "2.0"} and stored["1.0"].row_count == 3
+    assert spark.read.json(f"{landing}/_meta/manifest").count() == 2
+    day = stored["2.0"].ingest_date
+    assert read_metadata(spark, f"{landing}/_meta/version=2.0/ingest_date={day}").count() == 1

@@ -155,21 +155,44 @@ def test_scope_by_version_drops_keys_of_the_older_copy(spark, made):
     assert by_version.filter("region_code IS NOT NULL").isEmpty()
 
 
-def test_shuffles_grow_with_the_input(spark, tmp_path, monkeypatch):
+def test_shuffles_grow_with_the_input_and_stay_bounded(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "t")
     spark.range(10_000).write.parquet(path)
+    assert session.shuffle_partitions(1 << 20, 8) == 8
+    assert 8 < session.shuffle_partitions(10 << 30, 8) < session.MOST_PARTITIONS
+    assert session.shuffle_partitions(100 << 40, 8) == session.MOST_PARTITIONS
+    monkeypatch.setattr(session, "SHUFFLE_BYTES", 4_000)
+    with session.sized_shuffles(spark, path):
+        assert int(spark.conf.get(session.INITIAL_PARTITIONS)) > 8
+    assert spark.conf.get(session.INITIAL_PARTITIONS, None) is None
+
+
+def test_a_local_session_keeps_one_scratch_folder(spark):
+    configured = spark.conf.get("spark.checkpoint.dir")
+    spark.conf.unset("spark.checkpoint.dir")
     try:
-        session.size_shuffles(spark, path)
-        assert spark.conf.get(session.INITIAL_PARTITIONS, None) is None
-        monkeypatch.setattr(session, "SHUFFLE_BYTES", 4_000)
-        session.size_shuffles(spark, path)
-        raised = int(spark.conf.get(session.INITIAL_PARTITIONS))
-        assert raised > 8
-        monkeypatch.setattr(session, "SHUFFLE_BYTES", 8_000)
-        session.size_shuffles(spark, path)
-        assert int(spark.conf.get(session.INITIAL_PARTITIONS)) == raised
+        if spark.conf.get("spark.checkpoint.dir", None) is None:
+            assert session.shared_folder(spark) == session.shared_folder(spark)
     finally:
-        spark.conf.unset(session.INITIAL_PARTITIONS)
+        spark.conf.set("spark.checkpoint.dir", configured)
+
+
+def test_a_new_checkpoint_still_loads(spark, made, tmp_path):
+    """Batch numbers begin anew with a checkpoint; what they hold must not be taken for loaded."""
+    target = made.warehouse(str(tmp_path / "tables"))
+    target.landing = str(tmp_path / "landing")
+    checkpoint = tmp_path / "checkpoint"
+    landed = made.warehouse().bronze()
+    args = (spark, target.landing)
+    for versions in (["1.0", "1.0.1"], ["1.0.2"]):
+        land(landed.filter(F.col("version").isin(versions)), target.landing)
+        batches = incremental.run_incremental(
+            *args, f"{checkpoint}-{versions[0]}", SPEC.bronze_columns, incremental.rebuild(target)
+        )
+        assert batches == 1
+    assert {r[0] for r in target.silver().select("dataset_version").distinct().collect()} == {
+        "1.0", "1.0.1", "1.0.2",
+    }
 
 
 def test_small_side_is_bounded(spark):

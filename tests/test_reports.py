@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from statledger.operators import clusters, marts, profile, quality
-from statledger.operators.forecast import drift_forecast, holdout_check
+from statledger.operators.forecast import drift_forecast, fill_steps, holdout_check
 from statledger.operators.quantile import nth_smallest
 from statledger.plans.standin import SPEC
 
@@ -176,6 +176,26 @@ def test_segments_recover_groups(spark):
         assert near.segment.nunique() == 1
 
 
+def test_gap_years_count_zero_up_to_a_common_end(spark):
+    df = spark.createDataFrame([("a", 1, 4), ("a", 3, 6), ("b", 4, 1)], "g string, t bigint, y bigint")
+    filled = {(r.g, r.t): r.y for r in fill_steps(df, "g", "t", "y", 5).collect()}
+    assert filled == {("a", 1): 4, ("a", 2): 0, ("a", 3): 6, ("a", 4): 0, ("a", 5): 0, ("b", 4): 1, ("b", 5): 0}
+    ahead = drift_forecast(fill_steps(df, "g", "t", "y", 5), "g", "t", "y", horizon=1).collect()
+    assert {r.g: (r.t, r.drift) for r in ahead} == {"a": (6, -1.0), "b": (6, -1.0)}
+
+
+def test_two_rows_of_one_step_are_refused(spark):
+    df = spark.createDataFrame([("a", 1, 4), ("a", 1, 5), ("a", 2, 6)], "g string, t bigint, y bigint")
+    with pytest.raises(Exception, match="more than one row for a g and t"):
+        drift_forecast(df, "g", "t", "y").collect()
+
+
+def test_anomalies_keep_their_keys(spark):
+    df = spark.createDataFrame([(f"k{i}", float(i % 7), float(i)) for i in range(60)], "k string, x double, y double")
+    got = clusters.anomaly_flags(df, ["x", "y"], k=2, keep=["k"]).collect()
+    assert {(r.k, r.y) for r in got} == {(f"k{i}", float(i)) for i in range(60)}
+
+
 def test_anomalies_against_brute_force(spark):
     points = blobs()
     df = spark.createDataFrame([tuple(map(float, p)) for p in points], "x double, y double")

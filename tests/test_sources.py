@@ -1,6 +1,5 @@
 """Landing, manifests, publisher metadata and published tables."""
 
-import hashlib
 import json
 from datetime import date
 from pathlib import Path
@@ -86,8 +85,8 @@ def test_manifest_counts_rows_not_lines(spark, tmp_path):
     row = bronze.manifest(spark, str(tmp_path), COLUMNS, "set").first()
     assert (row.dataset_id, row.dataset_version, row.row_count) == ("set", "1.0", 2)
     assert (row.files, row.bytes) == (1, len(content))
-    file = bronze.file_manifest(spark, str(tmp_path)).first()
-    assert file.sha256 == hashlib.sha256(content.encode()).hexdigest()
+    file = bronze.file_manifest(spark, str(tmp_path), COLUMNS).first()
+    assert (file.bytes, file.row_count, file.digest) == (len(content), 2, row.digest)
 
 
 def test_metadata_stays_out_of_the_scan(spark, landing):
@@ -96,8 +95,8 @@ def test_metadata_stays_out_of_the_scan(spark, landing):
         "filters array<struct<id: string, label: string, options: array<struct<id: string, label: string>>>>",
     )
     path = bronze.store_metadata(document, landing, "1.0", "2026-01-01")
-    stored = bronze.store_manifest(spark, landing, COLUMNS)
-    assert {r.dataset_version: r.row_count for r in stored.collect()} == {"1.0": 2, "2.0": 2}
+    loads = bronze.manifest(spark, landing, COLUMNS)
+    assert {r.dataset_version: r.row_count for r in loads.collect()} == {"1.0": 2, "2.0": 2}
     assert bronze.read_bronze(spark, landing, COLUMNS).count() == 4
     labels = catalogue.metadata_labels(catalogue.read_metadata(spark, path)).collect()
     assert [tuple(r) for r in labels] == [("filter", "place", "a", "A")]
@@ -105,23 +104,57 @@ def test_metadata_stays_out_of_the_scan(spark, landing):
 
 def test_manifest_checksum_follows_content(spark, landing):
     sums = {
-        r.dataset_version: r.content_checksum
+        r.dataset_version: r.digest
         for r in bronze.manifest(spark, landing, COLUMNS).collect()
     }
     assert sums["1.0"] == sums["2.0"]
     other = spark.createDataFrame([("a", "10"), ("b", "z")], "place string, start_count string")
     bronze.land(other, landing, "2.0", "2026-01-02")
     changed = {
-        r.dataset_version: r.content_checksum
+        r.dataset_version: r.digest
         for r in bronze.manifest(spark, landing, COLUMNS).collect()
     }
     assert changed["1.0"] == sums["1.0"] != changed["2.0"]
 
 
-def test_oversized_files_are_listed_without_hash(spark, landing, monkeypatch):
-    monkeypatch.setattr(bronze, "HASHED_BYTES", 1)
-    rows = bronze.file_manifest(spark, landing).collect()
-    assert len(rows) >= 2 and all(r.sha256 is None and r.bytes > 1 for r in rows)
+def landed_digest(spark, base, rows):
+    df = spark.createDataFrame(rows, "place string, start_count string")
+    bronze.land(df, str(base), "1.0", "2026-01-01")
+    return bronze.manifest(spark, str(base), COLUMNS).first().digest
+
+
+def test_digest_counts_twin_rows_and_tells_columns_apart(spark, tmp_path):
+    rows = [("a", "4"), ("b", "5")]
+    twins = [*rows, ("c", "6"), ("c", "6")]
+    assert landed_digest(spark, tmp_path / "a", rows) != landed_digest(spark, tmp_path / "b", twins)
+    left = landed_digest(spark, tmp_path / "c", [("x", None)])
+    assert left != landed_digest(spark, tmp_path / "d", [(None, "x")])
+
+
+def test_loads_are_recorded_once_each(spark, landing):
+    first = bronze.record_load(spark, landing, COLUMNS, "1.0", "2026-01-01").first()
+    bronze.record_load(spark, landing, COLUMNS, "2.0", "2026-01-02")
+    stored = {r.dataset_version: r for r in bronze.read_manifest(spark, landing).collect()}
+    assert stored["1.0"].ingested_at == first.ingested_at < stored["2.0"].ingested_at
+    again = bronze.record_load(spark, landing, COLUMNS, "1.0", "2026-01-01").first()
+    stored = {r.dataset_version: r for r in bronze.read_manifest(spark, landing).collect()}
+    assert stored["1.0"].ingested_at == again.ingested_at > first.ingested_at
+    assert spark.read.json(f"{landing}/_meta/manifest").count() == 3
+
+
+def test_plain_files_split(spark, tmp_path):
+    (tmp_path / "big.csv").write_text("place,start_count\n" + "aaaaaaaaaa,5\n" * 200_000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512k")
+    try:
+        for plain, tasks in ((True, 4), (False, 1)):
+            base = str(tmp_path / f"landing{plain}")
+            args = (str(tmp_path / "big.csv"), base, COLUMNS, "1.0", "2026-01-01")
+            bronze.land_files(spark, *args, quoted_newlines=not plain)
+            rows = bronze.read_bronze(spark, base, COLUMNS, quoted_newlines=not plain)
+            assert rows.count() == 200_000
+            assert (rows.rdd.getNumPartitions() >= tasks) and (plain or rows.rdd.getNumPartitions() >= 1)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
 def test_manifest_reconciles_with_declared_totals(spark, landing):
