@@ -476,11 +476,9 @@ def dq_range(spark, sf):
 
 
 def dq_relationships(spark, sf):
-    """Customers that no order refers to."""
-    customers = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    return quality.check_relationship(
-        customers, "c_custkey", table(spark, sf, "orders"), "o_custkey"
-    )
+    """Documents that no label refers to."""
+    documents = table(spark, sf, "documents").select("doc_id", "source")
+    return quality.check_relationship(documents, "doc_id", table(spark, sf, "labels"), "doc_id")
 
 
 def dq_current_matches_latest(spark, sf):

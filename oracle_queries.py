@@ -507,10 +507,10 @@ ORACLE: dict[str, str] = {
       SELECT version AS latest_version, previous AS previous_version,
              CASE WHEN version = previous THEN 'skip' ELSE 'extract' END AS action,
              CASE WHEN version = previous THEN 0 ELSE n END AS rows_to_load
-      FROM (SELECT b.version, n, arg_max(e.version, (e.ingest_date, e.s)) AS previous
-            FROM (SELECT version, ingest_date, n, s FROM load_list) b
+      FROM (SELECT b.version, b.n, arg_max(e.version, (e.ingest_date, e.s)) AS previous
+            FROM load_list b
             LEFT JOIN load_list e ON (e.ingest_date, e.s) < (b.ingest_date, b.s)
-            GROUP BY b.version, b.ingest_date, n)""").replace("versions AS (", """load_list AS (
+            GROUP BY b.version, b.ingest_date, b.n)""").replace("versions AS (", """load_list AS (
   SELECT b.version, ingest_date, COUNT(*) AS n, MAX(r.seq) AS s
   FROM bronze b JOIN (SELECT DISTINCT version, version_seq AS seq FROM releases) r ON b.version = r.version
   GROUP BY b.version, ingest_date),
@@ -745,8 +745,8 @@ versions AS (""", 1),
     "dq_range": q(TO_SILVER, """
       SELECT row_key, dataset_version, academic_year_start FROM silver
       WHERE academic_year_start NOT BETWEEN 1995 AND 2000"""),
-    "dq_relationships": "SELECT c_custkey, c_nationkey, c_mktsegment FROM customer "
-    "WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
+    "dq_relationships": "SELECT doc_id, source FROM documents "
+    "WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
     "dq_current_matches_latest": q(TO_FACT, """
       SELECT n AS current_records, e AS expected_records
       FROM (SELECT COUNT(*) FILTER (is_current) AS n FROM fact),
