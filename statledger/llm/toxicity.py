@@ -52,7 +52,7 @@ THREAT_WEIGHT = 2.0
 # Stem lengths in bytes; a learned term needs so many toxic texts, such odds, and the best so many are kept.
 STEMS = (4, 5, 6, 7, 8)
 MIN_TOXIC_TEXTS = 4
-MIN_ODDS = 2.5
+MIN_ODDS = 3.6
 MAX_TERMS = 20_000
 
 _NOT_LETTER = np.ones(256, bool)
