@@ -252,6 +252,8 @@ def learn_rules(labelled: DataFrame) -> list[Rule]:
     )
     edges = _edges(rows)
     rules: list[Rule] = []
+    if not any(edges.values()):
+        return rules
     left = rows
     while len(rules) < MAX_RULES:
         rule: Rule = ()

@@ -26,7 +26,6 @@ result. Other columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 import zlib
 from collections.abc import Iterator
 from functools import partial
