@@ -28,7 +28,9 @@ from statledger.llm.samples import bounded_sample, fold
 UNKNOWN = "und"
 BUCKET_BITS = 16
 DIMENSIONS = 16
+# Passes over the sample, or as many as make this number of steps.
 EPOCHS = 4
+STEPS = 12_000
 RATE = 8.0
 GRAMS = (3, 4)
 # Every eighth row of the sample calibrates. Rejection may cost this share of its right answers.
@@ -117,13 +119,14 @@ def fit(sample: list[tuple[str, str]]) -> LanguageModel:
     embed = rng.normal(0, 1 / DIMENSIONS, (1 << BUCKET_BITS, DIMENSIONS))
     weights, bias = np.zeros((DIMENSIONS, len(languages))), np.zeros(len(languages))
     train = np.flatnonzero(~held)
-    steps = EPOCHS * len(train)
+    epochs = max(EPOCHS, -(-STEPS // len(train)))
+    steps = epochs * len(train)
     own = [
         np.unique(np.concatenate([b for b, _ in _subwords(pa.array([t]))] or [[]]), return_counts=True)
         for t, _ in sample
     ]
     own = [(at.astype(np.int32), n) for at, n in own]
-    for epoch in range(EPOCHS):
+    for epoch in range(epochs):
         for k, i in enumerate(rng.permutation(train)):
             at, n = own[i]
             if not len(at):
