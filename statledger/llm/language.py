@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statledger.llm.arrays import pieces, text_bytes
-from statledger.llm.samples import bounded_sample, fold
+from statledger.llm.samples import drawn_rows, fold, gathered
 
 UNKNOWN = "und"
 BUCKET_BITS = 16
@@ -73,6 +73,23 @@ def _means(texts: pa.Array, table: np.ndarray) -> np.ndarray:
     return total / np.maximum(count, 1)[:, None]
 
 
+def _bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct subwords of all texts with their shares of a text, and where each text's begin.
+
+    Two long arrays, which go back to the system as a whole.
+    """
+    size = sum(len(t.encode()) for t in texts) * len(GRAMS)
+    buckets, shares = np.empty(size, np.int32), np.empty(size, np.float32)
+    first = np.zeros(len(texts) + 1, np.int64)
+    for k, text in enumerate(texts):
+        found = [b for b, _ in _subwords(pa.array([text]))] or [np.zeros(0, np.int32)]
+        at, n = np.unique(np.concatenate(found), return_counts=True)
+        first[k + 1] = end = first[k] + len(at)
+        buckets[first[k] : end] = at
+        shares[first[k] : end] = n / max(n.sum(), 1)
+    return buckets, shares, first
+
+
 def _softmax(x: np.ndarray) -> np.ndarray:
     e = np.exp(x - x.max(axis=-1, keepdims=True))
     return e / e.sum(axis=-1, keepdims=True)
@@ -121,17 +138,12 @@ def fit(sample: list[tuple[str, str]]) -> LanguageModel:
     train = np.flatnonzero(~held)
     epochs = max(EPOCHS, -(-STEPS // len(train)))
     steps = epochs * len(train)
-    own = [
-        np.unique(np.concatenate([b for b, _ in _subwords(pa.array([t]))] or [[]]), return_counts=True)
-        for t, _ in sample
-    ]
-    own = [(at.astype(np.int32), n) for at, n in own]
+    buckets, shares, first = _bags([t for t, _ in sample])
     for epoch in range(epochs):
         for k, i in enumerate(rng.permutation(train)):
-            at, n = own[i]
+            at, share = buckets[first[i] : first[i + 1]], shares[first[i] : first[i + 1]]
             if not len(at):
                 continue
-            share = n / n.sum()
             mean = share @ embed[at]
             error = _softmax(mean @ weights + bias)
             error[truth[i]] -= 1
@@ -142,7 +154,9 @@ def fit(sample: list[tuple[str, str]]) -> LanguageModel:
             embed[at] -= rate * np.outer(share, back)
     table = embed @ weights
     check = np.flatnonzero(held) if held.any() else train
-    logits = np.stack([(own[i][1] / max(own[i][1].sum(), 1)) @ table[own[i][0]] for i in check]) + bias
+    logits = bias + np.stack(
+        [shares[first[i] : first[i + 1]] @ table[buckets[first[i] : first[i + 1]]] for i in check]
+    )
     temperature = min(
         (0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0, 3.0),
         key=lambda t: -np.log(
@@ -162,7 +176,8 @@ def train_language_model(docs: DataFrame, holdout: int | None = 1) -> LanguageMo
     rows = docs.select("doc_id", "text", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
     if holdout is not None:
         rows = rows.where(fold(3) != holdout)
-    return fit(bounded_sample(rows.where(F.col("text").rlike("\\p{L}")), "lang"))
+    usable = rows.where(F.col("text").rlike("\\p{L}"))
+    return fit(gathered(drawn_rows(usable, "lang", F.xxhash64("doc_id", "text")), "lang"))
 
 
 def _predict(shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

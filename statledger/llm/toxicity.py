@@ -29,7 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statledger.llm.arrays import Words, find_words, pieces, prefixes, text_bytes
-from statledger.llm.samples import bounded_sample, fold
+from statledger.llm.samples import drawn_rows, fold, gathered
+from statledger.session import written
 
 # Lexicons of the transducers, for English, German, French and Spanish.
 INSULTS = (
@@ -55,6 +56,11 @@ MIN_TOXIC_TEXTS = 4
 MIN_ODDS = 3.6
 MAX_TERMS = 20_000
 
+# Sampled texts of a class.
+PER_CLASS = 2000
+# Texts whose terms are counted at a time.
+MERGED = 200
+
 _NOT_LETTER = np.ones(256, bool)
 _NOT_LETTER[97:123] = False
 _NOT_LETTER[128:] = False
@@ -171,16 +177,23 @@ def _terms(texts: pa.Array) -> Iterator[np.ndarray]:
         yield np.unique(every[order[bounds[k] : bounds[k + 1]]])
 
 
+def _added(terms, counts, new, n) -> tuple[np.ndarray, np.ndarray]:
+    """Two lists of terms with counts as one."""
+    both, at = np.unique(np.concatenate([terms, new]), return_inverse=True)
+    total = np.bincount(at, np.concatenate([counts, n]), minlength=len(both))
+    return both, total.astype(np.int64)
+
+
 def _learn_lexicon(texts: list[str], toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Terms far more frequent in toxic texts than in others, with their log odds as weights."""
     found = [np.zeros(0, np.uint64)] * 2
     counts = [np.zeros(0, np.int64)] * 2
     for side in (0, 1):
-        seen = []
-        for k in np.flatnonzero(toxic == side):
-            seen += _terms(pa.array([texts[k]]))
-        if seen:
-            found[side], counts[side] = np.unique(np.concatenate(seen), return_counts=True)
+        own = np.flatnonzero(toxic == side)
+        for start in range(0, len(own), MERGED):
+            part = [next(_terms(pa.array([texts[k]]))) for k in own[start : start + MERGED]]
+            new, n = np.unique(np.concatenate(part), return_counts=True)
+            found[side], counts[side] = _added(found[side], counts[side], new, n)
     terms, n_toxic = found[1], counts[1]
     clean = np.zeros(len(terms))
     if len(found[0]):
@@ -249,8 +262,11 @@ def train_grammar(docs: DataFrame, labels: DataFrame, holdout: int | None = 0) -
     marks = labels.select("doc_id", "toxic").where("toxic IN (0, 1)")
     if holdout is not None:
         marks = marks.where(fold(5) != holdout)
-    rows = docs.select("doc_id", "text").where("text IS NOT NULL").join(marks, "doc_id")
-    sample = bounded_sample(rows, "toxic", per_class=3000)
+    # Drawn among the labels, so that only drawn texts meet them; stored, so that Spark knows their size.
+    drawn = drawn_rows(marks, "toxic", F.xxhash64("doc_id"), PER_CLASS)
+    drawn = written(drawn, "toxicity-labels")
+    rows = docs.select("doc_id", "text").where("text IS NOT NULL").join(drawn, "doc_id")
+    sample = gathered(rows, "toxic", PER_CLASS)
     counts = {0: 1, 1: 1} | {r["toxic"]: r["count"] for r in marks.groupBy("toxic").count().collect()}
     return fit(sample, counts)
 
