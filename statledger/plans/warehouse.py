@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from statledger.operators.history import advance_history, scd2
@@ -24,8 +24,10 @@ from statledger.spec import TableSpec
 
 SILVER = ("silver", "typed_rows")
 FACT = ("gold", "version_history")
-# A first load has one version only; from the second on this check blocks.
+# A patch may change no figure, and a first load has one version only: this check
+# blocks once two major versions are loaded.
 LINEAGE = "at least two versions in lineage"
+MAJOR = "Major"
 KEY = ("row_key",)
 SEQ = "version_seq"
 
@@ -78,7 +80,9 @@ class Warehouse:
         record of each key is written anew by every run. Both conditions
         are on partition columns.
         """
-        entries = publications(self.spark, self.root, *FACT)
+        return self._records(publications(self.spark, self.root, *FACT))
+
+    def _records(self, entries: Sequence[Row]) -> DataFrame:
         rows = read_runs(self.spark, self.root, *FACT, entries)
         live = F.col("is_superseded") | (F.col("run") == entries[0].run)
         return rows.filter(live).drop("run")
@@ -112,7 +116,8 @@ class Warehouse:
             partition_by=("is_superseded", "academic_year_start"),
             cluster_by=(self.spec.area_code, self.spec.level, "valid_to_seq"),
         )
-        first = (LINEAGE,) if versions.count() < 2 else ()
+        majors = versions.filter(F.col("version_type") == MAJOR).count()
+        first = (LINEAGE,) if majors < 2 else ()
         gate(fact_report(stored, versions, self.spec), (*self.allowed, *first))
         return stored
 
@@ -120,9 +125,11 @@ class Warehouse:
         newest = self._newest_run()
         return 0 if newest is None else newest + 1
 
-    def _publish(self, silver: DataFrame, fact: DataFrame, run: int, full: bool, label: str):
-        publish_table(silver, self.root, *SILVER, run, full, label)
-        publish_table(fact, self.root, *FACT, run, full, label)
+    def _publish(
+        self, silver: DataFrame, fact: DataFrame, run: int, full: bool, label: str, newest: int
+    ) -> None:
+        publish_table(silver, self.root, *SILVER, run, full, label, newest)
+        publish_table(fact, self.root, *FACT, run, full, label, newest)
 
     def build(self, label: str = "") -> None:
         """Rebuild everything from the landing layer."""
@@ -132,7 +139,8 @@ class Warehouse:
             loaded = silver.select(F.col("dataset_version").alias("version")).distinct()
             versions = self.versions.join(loaded, "version", "left_semi")
             fact = self._stage_fact(history(silver, versions, self.spec), versions, run)
-            self._publish(silver, fact, run, True, label)
+            newest = versions.agg(F.max(SEQ)).first()[0]
+            self._publish(silver, fact, run, True, label, newest)
 
     def extend(self, batch: DataFrame, label: str = "") -> bool:
         """Add newly landed versions, touching only each key's last record.
@@ -141,11 +149,12 @@ class Warehouse:
         Possible only if every version in ``batch`` is newer than all loaded
         before; otherwise nothing happens and the result is False.
         """
-        if self._newest_run() is None:
+        entries = publications(self.spark, self.root, *FACT)
+        if not entries:
             return False
         batch = written(batch, "arrived")
-        last, run = self.last_records(), self._next_run()
-        loaded = last.agg(F.max("valid_to_seq")).first()[0]
+        run, loaded = entries[0].run + 1, entries[0].newest_seq
+        last = self._records(entries).filter("NOT is_superseded")
         arrived = self.versions.join(batch.select("version"), "version", "left_semi")
         oldest, newest = arrived.agg(F.min(SEQ), F.max(SEQ)).first()
         if loaded is None or oldest is None or oldest <= loaded:
@@ -160,5 +169,5 @@ class Warehouse:
             self.spec.carried,
         )
         fact = self._stage_fact(records, self.versions.filter(F.col(SEQ) <= newest), run)
-        self._publish(added, fact, run, False, label)
+        self._publish(added, fact, run, False, label, newest)
         return True

@@ -18,7 +18,8 @@ from pyspark.sql import types as T
 
 LAYERS = ("bronze", "silver", "gold")
 LOG_SCHEMA = (
-    "run bigint, is_full boolean, label string, table_schema string, published_at timestamp"
+    "run bigint, is_full boolean, label string, newest_seq bigint, table_schema string, "
+    "published_at timestamp"
 )
 ROWS_PER_FILE = 5_000_000
 
@@ -66,16 +67,19 @@ def publish_table(
     run: int,
     full: bool = True,
     label: str = "",
+    newest_seq: int | None = None,
 ) -> None:
     """Make a staged run visible: in place of all earlier ones, or added to them.
 
-    ``label`` says what was loaded, so that a repeated load can be recognised.
+    ``label`` says what was loaded, so that a repeated load can be recognised, and
+    ``newest_seq`` up to which version, so that the next load need not look for it in the data.
     """
     spark = stored.sparkSession
     entry = spark.range(1).select(
         F.lit(run).cast("bigint").alias("run"),
         F.lit(full).alias("is_full"),
         F.lit(label).alias("label"),
+        F.lit(newest_seq).cast("bigint").alias("newest_seq"),
         F.lit(stored.schema.json()).alias("table_schema"),
         F.current_timestamp().alias("published_at"),
     )

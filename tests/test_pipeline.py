@@ -1,5 +1,7 @@
 """The stand-in through every layer, loads triggered by files, and the gate."""
 
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -167,14 +169,16 @@ def test_shuffles_grow_with_the_input_and_stay_bounded(spark, tmp_path, monkeypa
     assert spark.conf.get(session.INITIAL_PARTITIONS, None) is None
 
 
-def test_a_local_session_keeps_one_scratch_folder(spark):
-    configured = spark.conf.get("spark.checkpoint.dir")
-    spark.conf.unset("spark.checkpoint.dir")
-    try:
-        if spark.conf.get("spark.checkpoint.dir", None) is None:
-            assert session.shared_folder(spark) == session.shared_folder(spark)
-    finally:
-        spark.conf.set("spark.checkpoint.dir", configured)
+def test_a_local_session_keeps_one_scratch_folder():
+    def session_of(master):
+        context = SimpleNamespace(master=master, applicationId=f"app {master}")
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: d), sparkContext=context)
+
+    local = session_of("local[2]")
+    assert session.shared_folder(local) == session.shared_folder(local)
+    for master in ("local-cluster[2,1,1024]", "spark://host:7077"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            session.shared_folder(session_of(master))
 
 
 def test_a_new_checkpoint_still_loads(spark, made, tmp_path):
