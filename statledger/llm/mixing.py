@@ -8,7 +8,10 @@
    target by 1, 3, 5, ... win. They are those above a common divisor, which Spark narrows down in a few passes over the
    shard table, 64 divisors at a time; equal quotients go to the shard that sorts first.
 4. *Selection.* A shard takes whole passes over its words, then blocks in the order of a seeded hash until its
-   quota is full; the last block may be taken in part.
+   quota is full; of the last block only the first words may be taken.
+5. *Texts.* The blocks a row gives and how often are part of the result, and its mixed text is made of just these: those of
+   the first pass in order, then those of the next. Neighbours keep the white space between them, a line feed stands
+   for what is left out.
 
 Nothing but sums reaches the driver. Results depend on the rows and the seed alone, so reruns agree.
 
@@ -21,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from statledger.llm.columns import WORD
+from statledger.llm.columns import SPACE, WORD, bind
 from statledger.llm.lookup import fresh_name
 from statledger.session import written
 
@@ -33,6 +36,9 @@ SHARD_BLOCKS = 4096
 SEED = 17
 # Divisors tried in one pass over the shards.
 STEPS = 64
+# A word, and the words of a block, each with the white space after it; the first block has that before it too.
+WORD_TEXT = f"(?:\\A{SPACE})?{WORD}+(?:{SPACE})?"
+BLOCK_TEXT = f"(?:\\A{SPACE})?{WORD}+(?:{SPACE}+{WORD}+){{0,{BLOCK - 1}}}+(?:{SPACE})?"
 
 
 def sizes(docs: DataFrame) -> DataFrame:
@@ -166,10 +172,8 @@ def _blocks(rows: DataFrame, targets: DataFrame) -> DataFrame:
     )
 
 
-def mix_sources(docs: DataFrame) -> DataFrame:
-    """``(row, doc_id, size, source_size, target, taken)`` of every row."""
-    rows = sizes(docs)
-    targets = source_targets(rows)
+def chosen_blocks(rows: DataFrame, targets: DataFrame) -> DataFrame:
+    """``(row, block, words, times, extra)`` of the blocks taken: whole so many times, then the first ``extra`` words."""
     blocks = _blocks(rows, targets)
     held = blocks.groupBy("source", "shard").agg(F.sum("words").alias("held"))
     known = targets.select(F.col("source").alias("s"), "source_size", "target")
@@ -197,11 +201,37 @@ def mix_sources(docs: DataFrame) -> DataFrame:
     order = Window.partitionBy("source", "shard").orderBy("chance", "row", "block")
     before = F.sum("words").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("words")
     more = F.greatest(F.lit(0), F.least(F.col("words"), F.col("rest") - before))
-    taken = (
+    again = F.col("more") == F.col("words")
+    return (
         dealt.withColumn("more", more)
+        .where("passes > 0 OR more > 0")
+        .select(
+            "row",
+            F.col("block").cast("int").alias("block"),
+            F.col("words").cast("int").alias("words"),
+            (F.col("passes") + again.cast("int")).cast("int").alias("times"),
+            F.when(again, 0).otherwise(F.col("more")).cast("int").alias("extra"),
+        )
+    )
+
+
+def mix_sources(docs: DataFrame) -> DataFrame:
+    """``(row, doc_id, size, source_size, target, taken, blocks)`` of every row.
+
+    ``blocks`` has ``(block, times, extra)`` of each block taken, in order; ``taken`` is the sum of their words.
+    """
+    rows = sizes(docs)
+    targets = source_targets(rows)
+    known = targets.select(F.col("source").alias("s"), "source_size", "target")
+    taken = (
+        chosen_blocks(rows, targets)
         .groupBy("row")
-        .agg(F.sum(F.col("passes") * F.col("words") + F.col("more")).cast("long").alias("taken"))
+        .agg(
+            F.sum(F.col("times") * F.col("words") + F.col("extra")).cast("long").alias("taken"),
+            F.sort_array(F.collect_list(F.struct("block", "times", "extra"))).alias("blocks"),
+        )
     )
+    none = F.array().cast("array<struct<block:int,times:int,extra:int>>")
     return (
         rows.join(taken, "row", "left")
         .join(known, F.col("source").eqNullSafe(F.col("s")))
@@ -212,24 +242,59 @@ def mix_sources(docs: DataFrame) -> DataFrame:
             "source_size",
             "target",
             F.coalesce("taken", F.lit(0).cast("long")).alias("taken"),
+            F.coalesce("blocks", none).alias("blocks"),
         )
     )
 
 
+def mixed_text(text: Column, blocks: Column) -> Column:
+    """The words of ``text`` that ``blocks`` has, pass by pass; a text taken whole and once is unchanged."""
+    parts = F.regexp_extract_all(text, F.lit(BLOCK_TEXT), F.lit(0))
+
+    def one_pass(parts: Column, n: int) -> Column:
+        here = F.filter(blocks, lambda b: (b["times"] >= n) | ((b["times"] == n - 1) & (b["extra"] > 0)))
+
+        def piece(b: Column, k: Column, here: Column) -> Column:
+            whole = F.get(parts, b["block"])
+            words = F.regexp_extract_all(whole, F.lit(WORD_TEXT), F.lit(0))
+            some = F.array_join(F.slice(words, 1, b["extra"]), "")
+            follows = (k == 0) | (F.get(here, k - 1)["block"] == b["block"] - 1)
+            seam = F.when(follows, F.lit("")).otherwise(F.lit("\n"))
+            return F.concat(seam, F.when(b["times"] >= n, whole).otherwise(some))
+
+        return bind(here, lambda h: F.array_join(F.transform(h, lambda b, k: piece(b, k, h)), ""))
+
+    def passes(parts: Column) -> Column:
+        each = F.array(*[one_pass(parts, n) for n in range(1, MAX_EPOCHS + 1)])
+        return F.array_join(F.filter(each, lambda t: t != ""), "\n")
+
+    return bind(parts, passes)
+
+
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the mix takes words of, with ``mix_size``, ``mix_target`` and ``mix_taken``."""
+    """The rows of ``docs`` that the mix takes words of, with the text taken, ``mix_size``, ``mix_target`` and ``mix_taken``.
+
+    Every row stands for all the words taken of it, repeats included, so words per source are the targets.
+    """
     taken = mix_sources(docs).where("taken > 0")
-    row = fresh_name(docs)
+    row, blocks = fresh_name(docs), fresh_name(docs, "blocks")
     wanted = taken.select(
         F.col("row").alias(row),
+        F.col("blocks").alias(blocks),
         F.col("size").alias("mix_size"),
         F.col("target").alias("mix_target"),
         F.col("taken").alias("mix_taken"),
     )
     rows = docs.withColumn(row, F.monotonically_increasing_id())
     kept = [c for c in docs.columns if c not in ("mix_size", "mix_target", "mix_taken")]
-    return rows.select(row, *kept).join(wanted.hint("shuffle_hash"), row).drop(row)
+    mixed = rows.select(row, *kept).join(wanted.hint("shuffle_hash"), row)
+    mixed = mixed.withColumn("text", mixed_text(F.col("text"), F.col(blocks)))
+    if "n_chars" in kept:
+        mixed = mixed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return mixed.drop(row, blocks)
 
 
 def mix_report(docs: DataFrame) -> DataFrame:
-    return mix_sources(docs).drop("row")
+    """:func:`mix_sources` without row numbers; ``blocks`` as ``block:times:extra``, by commas."""
+    listed = F.transform("blocks", lambda b: F.concat_ws(":", b["block"], b["times"], b["extra"]))
+    return mix_sources(docs).drop("row").withColumn("blocks", F.array_join(listed, ","))

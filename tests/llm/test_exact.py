@@ -229,6 +229,51 @@ def test_mix_of_nothing(make_docs):
     assert [r["taken"] for r in mixing.mix_report(make_docs([(1, None, "a"), (2, "", None)])).collect()] == [0, 0]
 
 
+def plain_mixed(text, blocks):
+    words = WORD.findall(text)
+    out = []
+    for n in range(1, mixing.MAX_EPOCHS + 1):
+        for b in blocks:
+            own = words[32 * b["block"] : 32 * b["block"] + 32]
+            out += own if b["times"] >= n else own[: b["extra"]] if b["times"] == n - 1 else []
+    return out
+
+
+@pytest.mark.parametrize("kind", ["given", "odd"])
+def test_mixed_texts_hold_the_words_of_the_targets(kind, given, make_docs, odd_docs):
+    rows = [(*r, ["a", "b", None, "Z"][k % 4]) for k, r in enumerate(odd_docs)]
+    docs = make_docs(rows) if kind == "odd" else given
+    sizes, emitted = collections.Counter(), collections.Counter()
+    for r in docs.select("source", "text").collect():
+        sizes[r["source"]] += len(WORD.findall(r["text"] or ""))
+    mixed = mixing.mixed_documents(docs).collect()
+    for r in mixed:
+        n = len(WORD.findall(r["text"]))
+        assert n == r["mix_taken"] and r["n_chars"] == len(r["text"])
+        emitted[r["source"]] += n
+    target = plain_targets(sizes)
+    for s in sizes:
+        assert abs(emitted[s] - target[s]) <= max(mixing.BLOCK, 0.01 * target[s])
+    # The words are those of the blocks, and the counts are their sum.
+    texts = docs.withColumn("n", F.monotonically_increasing_id()).select("n", "text")
+    chosen = mixing.mix_sources(docs).join(texts, F.col("row") == F.col("n")).collect()
+    expected = [(r["doc_id"], tuple(plain_mixed(r["text"] or "", r["blocks"]))) for r in chosen]
+    assert [len(words) for _, words in expected] == [r["taken"] for r in chosen]
+    got = collections.Counter((r["doc_id"], tuple(WORD.findall(r["text"]))) for r in mixed)
+    assert got == collections.Counter(e for e in expected if e[1])
+
+
+def test_mixed_text_keeps_white_space_and_marks_gaps(ready):
+    text = "\n " + "\t ".join(f"w{k}" for k in range(100)) + " \n"
+    kind = "text string, blocks array<struct<block:int,times:int,extra:int>>"
+    whole = [(k, 1, 0) for k in range(4)]
+    rows = [(text, whole), (text, [(0, 1, 0), (2, 0, 3)]), ("a b", [(0, 1, 1)])]
+    df = ready.createDataFrame(rows, kind)
+    one, gap, twice = [r[0] for r in df.select(mixing.mixed_text(F.col("text"), F.col("blocks"))).collect()]
+    assert one == text and twice == "a b\na "
+    assert gap == "\n " + "".join(f"w{k}\t " for k in range(32)) + "\nw64\t w65\t w66\t "
+
+
 # -- personal data and secrets -----------------------------------------------------
 
 
