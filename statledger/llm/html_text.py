@@ -51,7 +51,9 @@ FURNITURE_ROLES = frozenset(
 )
 
 _NAME = re.compile(r"/?([a-zA-Z][a-zA-Z0-9:-]*)")
-_ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*))""")
+# All up to the end of a tag. Only a value can be quoted, and only the same character ends it.
+_ATTRIBUTES = re.compile(r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)|=)*+""")
 _RAW_END = {name: re.compile(f"</{name}", re.I) for name in RAW}
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
@@ -89,23 +91,15 @@ def _is_furniture(name: str, attributes: str, scoped: bool) -> bool:
         return False
     if found.get("role", "").lower() in FURNITURE_ROLES or _HIDDEN.search(found.get("style", "")):
         return True
-    if found.get("aria-hidden") == "true" or re.search(r"(?<![\w-])hidden(?![\w=-])", attributes):
+    if found.get("aria-hidden") == "true" or re.search(r"(?<![\w-])hidden(?![\w=-])", _ATTRIBUTE.sub(" ", attributes)):
         return True
     names = re.split(r"[^a-z0-9]+", f"{found.get('class', '')} {found.get('id', '')}".lower())
     return not FURNITURE_NAMES.isdisjoint(names)
 
 
 def _tag_end(page: str, start: int) -> int:
-    """The index of the > that closes a tag; a > inside quotes doesn't, if the quotes do."""
-    end = page.find(">", start)
-    for _ in range(8):
-        if end < 0:
-            return len(page)
-        inside = page[start:end]
-        if inside.count('"') % 2 == 0 and inside.count("'") % 2 == 0:
-            return end
-        end = page.find(">", end + 1)
-    return page.find(">", start)
+    """The index of the > that closes a tag; one in a quoted value doesn't, if the quote closes."""
+    return _ATTRIBUTES.match(page, start).end()
 
 
 def _lines(page: str) -> list[Line]:

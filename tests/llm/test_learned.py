@@ -144,6 +144,20 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("""<article><p title="it's">Text don't</p><p>more</p></article>""", "Text don't\nmore"),
+        ("""<article><p title='say "hi'>one</p><p>"two"</p></article>""", 'one\n"two"'),
+        (f"<article><div data-x='{'<b>x</b>' * 20}'>text</div></article>", "text"),
+        ("""<article><p data-x="a hidden place" data_1="class=ad">text</p></article>""", "text"),
+        ("<article><p don't>one</p><p title=\"open>two</p></article>", "one\ntwo"),
+    ],
+)
+def test_tags_end_outside_quotes(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_text_surges_without_an_article():
     body = "word " * 60
     page = (
