@@ -3,21 +3,26 @@
 Markup is stripped into lines, one for each block, in page order. Lines in page furniture
 (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, reader comments) weigh 0, others
 the length of their text outside links. Sums over a sliding window of lines surge where running text begins
-and dive to where it ends; the text between is kept, short lines included. On a page with an
-``article`` or ``main`` element only lines inside it weigh, and any weight makes a surge. Elsewhere a
-window needs ``SURGE`` characters.
+and dive to where it ends; the text between is kept, short lines included. A window needs ``SURGE`` characters.
+
+An ``article`` or ``main`` element is a weight, and windows don't cross its border: inside, any character outside links
+makes a surge, and a line of links dives only where links prevail in a whole window; outside, characters
+count ``1 / OUTSIDE``, so only long running text is kept beside it.
 
 Defined cases: a null or empty page, and one of furniture alone, give an empty text. A tag or comment that never
 closes ends with the page; furniture that never closes ends where an article, main or first heading
-begins. Equal rows give one result each. Other columns are ignored. Every page is scanned once.
+begins, furniture that closes holds all up to there. A nested or marked article (reader comment, teaser) is furniture by its
+class, id or role like any other element, but for words that mark topics (``category-``, ``tag-``) or parts (``has-``). Equal rows give one result each. Other columns are ignored. Every page is scanned once.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,6 +33,8 @@ from statledger.llm.arrays import pieces
 WINDOW = 3
 SURGE = 80
 LINK_SHARE = 0.5
+# Beside an article or main element so many characters count as one.
+OUTSIDE = 4
 
 # Elements by their part in a page.
 RAW = frozenset("script style noscript template svg math iframe object textarea title select".split())
@@ -55,6 +62,7 @@ _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]
 # All up to the end of a tag. Only a value can be quoted, and only the same character ends it.
 _ATTRIBUTES = re.compile(r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)|=)*+""")
 _RAW_END = {name: re.compile(f"</{name}", re.I) for name in RAW}
+_TOPIC = re.compile(r"(?<!\S)(?:category|tag|type|format|has|no|with)-\S+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
@@ -69,12 +77,9 @@ class Line:
     def text(self) -> str:
         return _tidy(self.parts)
 
-    def weight(self, scoped: bool) -> int:
-        text = self.text()
-        links = len(_tidy(self.link_parts))
-        if scoped:
-            return len(text) if self.scoped else 0
-        return 0 if links > LINK_SHARE * len(text) else len(text) - links
+    def lengths(self) -> tuple[int, int]:
+        """Of the text and of the part of it in links."""
+        return len(self.text()), len(_tidy(self.link_parts))
 
 
 def _tidy(parts: list[str]) -> str:
@@ -87,13 +92,14 @@ def _is_furniture(name: str, attributes: str, scoped: bool) -> bool:
     if "=" not in attributes and "hidden" not in attributes:
         return False
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
-    if name in ("article", "main", "body", "html"):
+    if name in ("main", "body", "html"):
         return False
     if found.get("role", "").lower() in FURNITURE_ROLES or _HIDDEN.search(found.get("style", "")):
         return True
     if found.get("aria-hidden") == "true" or re.search(r"(?<![\w-])hidden(?![\w=-])", _ATTRIBUTE.sub(" ", attributes)):
         return True
-    names = re.split(r"[^a-z0-9]+", f"{found.get('class', '')} {found.get('id', '')}".lower())
+    marks = f"{found.get('class', '')} {found.get('id', '')}".lower()
+    names = re.split(r"[^a-z0-9]+", _TOPIC.sub("", marks) if name == "article" else marks)
     return not FURNITURE_NAMES.isdisjoint(names)
 
 
@@ -102,10 +108,37 @@ def _tag_end(page: str, start: int) -> int:
     return _ATTRIBUTES.match(page, start).end()
 
 
+def _closed(page: str) -> set[int]:
+    """Where the elements begin that have an end tag, each end tag closing the last open one of its name."""
+    found, opened = set(), defaultdict(list)
+    at, size = 0, len(page)
+    while at < size and (mark := page.find("<", at)) >= 0:
+        tag = _NAME.match(page, mark + 1)
+        if not tag:
+            comment = page.startswith("<!--", mark)
+            end = page.find("-->", mark + 4) if comment else mark
+            at = size if end < 0 else end + (3 if comment else 1)
+            continue
+        name = tag[1].lower()
+        end = _tag_end(page, tag.end())
+        at = end + 1
+        if page[mark + 1] == "/":
+            if opened[name]:
+                found.add(opened[name].pop())
+        elif name in RAW:
+            stop = _RAW_END[name].search(page, at)
+            at = stop.end() if stop else size
+        elif page[end - 1] != "/":
+            opened[name].append(mark)
+    return found
+
+
 def _lines(page: str) -> list[Line]:
     """The lines of a page in order; furniture leaves an empty line."""
     lines, line = [], Line()
     furniture: list[str] = []  # open elements since furniture began, of the same name
+    closed: set[int] | None = None  # where elements begin that close; only found if needed
+    began = 0  # where furniture began
     scope = link = 0
     at, size = 0, len(page)
 
@@ -155,14 +188,17 @@ def _lines(page: str) -> list[Line]:
             broke()
         elif name in CELLS:
             add(" ")
+        reopens = name in ("article", "main") or (name == "h1" and furniture and furniture[0] != "header")
+        if furniture and reopens and not closing and closed is None:
+            closed = _closed(page)
         if furniture:
-            if not closing and (name in ("article", "main") or (name == "h1" and furniture[0] != "header")):
+            if reopens and not closing and began not in closed:
                 furniture.clear()
             elif name == furniture[0] and not attributes.endswith("/"):
                 if closing:
                     furniture.pop()
                     if not furniture:
-                        lines.append(Line())
+                        lines.append(Line(scoped=scope > 0))
                     continue
                 furniture.append(name)
                 continue
@@ -177,6 +213,7 @@ def _lines(page: str) -> list[Line]:
             if _is_furniture(name, attributes, scope > 0):
                 broke()
                 furniture.append(name)
+                began = mark
             elif name in ("article", "main"):
                 scope += 1
             elif name == "a":
@@ -185,23 +222,47 @@ def _lines(page: str) -> list[Line]:
     return lines
 
 
-def main_text(page: str | None) -> str:
-    """The lines between each surge of text and its dive, joined by line feeds."""
-    lines = _lines(page or "")
-    scoped = any(line.scoped for line in lines)
-    weights = [line.weight(scoped) for line in lines]
-    least = 1 if scoped else SURGE
-    sums = [sum(weights[max(0, k - WINDOW + 1) : k + 1]) for k in range(len(weights) + WINDOW - 1)]
-    kept, k = [], 0
+def _windows(values: list[int]) -> list[int]:
+    """Sums over windows of lines; the one at k ends with line k."""
+    return [sum(values[max(0, k - WINDOW + 1) : k + 1]) for k in range(len(values) + WINDOW - 1)]
+
+
+def _weights(lengths: list[tuple[int, int]], inside: bool, beside: bool) -> list[int]:
+    """Of the lines of one part of a page, inside an article or main element, or beside one."""
+    if not inside:
+        plain = [0 if links > LINK_SHARE * size else size - links for size, links in lengths]
+        return [w // OUTSIDE for w in plain] if beside else plain
+    n = min(WINDOW, len(lengths))
+    texts, links = (_windows([x[i] for x in lengths]) for i in (0, 1))
+    menu = [links[k] > LINK_SHARE * texts[k] for k in range(len(lengths))]
+    return [
+        0 if link > LINK_SHARE * size and any(menu[max(k, n - 1) : k + n]) else size * SURGE
+        for k, (size, link) in enumerate(lengths)
+    ]
+
+
+def _kept(lines: list[Line], weights: list[int]) -> Iterator[str]:
+    """Texts from each surge to its dive."""
+    sums, k = _windows(weights), 0
     while k < len(weights):
         # The window that ends WINDOW - 1 lines further on begins at line k.
-        if not weights[k] or max(sums[k : k + WINDOW]) < least:
+        if not weights[k] or max(sums[k : k + WINDOW]) < SURGE:
             k += 1
             continue
-        while k < len(weights) and (weights[k] or sums[k + WINDOW - 1] >= least):
+        while k < len(weights) and (weights[k] or sums[k + WINDOW - 1] >= SURGE):
             if weights[k]:
-                kept.append(lines[k].text())
+                yield lines[k].text()
             k += 1
+
+
+def main_text(page: str | None) -> str:
+    """The lines between each surge of text and its dive, joined by line feeds."""
+    lines = _lines(page or "")
+    beside = any(line.scoped and line.text() for line in lines)
+    kept: list[str] = []
+    for inside, part in groupby(lines, key=lambda line: line.scoped):
+        own = list(part)
+        kept += _kept(own, _weights([line.lengths() for line in own], inside, beside))
     return "\n".join(t for t in kept if t)
 
 

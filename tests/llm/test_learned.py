@@ -168,6 +168,28 @@ def test_text_surges_without_an_article():
     assert html_text.main_text(page) == f"{body.strip()}\nShort.\n{body.strip()}"
 
 
+BODY = " ".join(["word"] * 80)
+ITEMS = "".join(f"<li><a href=/{k}>Link {k}</a>" for k in range(5))
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        # Comments and teasers marked up as articles.
+        (f"<article><p>t</p><article class=comment><p>{BODY}</p></article><p>u</p></article>", "t\nu"),
+        (f"<article><p>t</p></article><aside><article><p>{BODY}</p></article></aside>", "t"),
+        (f"<article><p>t</p><div id=comments><article><h1>c</h1><p>{BODY}</p></article></div></article>", "t"),
+        (f"<main><p>t</p><article role=complementary><p>{BODY}</p></article></main>", "t"),
+        ("<article class='post category-social has-sidebar'><p>t</p></article>", "t"),
+        # Link sums decide inside the element, windows outside it.
+        (f"<article><h1><a href=1>Head</a></h1><p>{BODY}</p><ul>{ITEMS}</ul><p>end</p></article>", f"Head\n{BODY}\nend"),
+        (f"<article><p>stub</p></article><div><p>{BODY}</p><p>{BODY}</p></div><p>out</p>", f"stub\n{BODY}\n{BODY}"),
+    ],
+)
+def test_windows_decide_with_an_article(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_pages_keep_every_row(ready, sf_dir):
     pages = ready.read.parquet(f"{sf_dir}/pages.parquet")
     odd = ready.createDataFrame([(None, None, None), (1, "u", "<p>" * 50_000)], "page_id bigint, url string, html string")
