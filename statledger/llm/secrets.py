@@ -6,7 +6,7 @@ many of them is an example. Counting goes through distinct (digest, repository,
 Spark combines before the shuffle, so a key pasted into a third of all texts costs no more than others.
 
 Defined cases: a null text is empty and gives a row without spans; equal rows give one row each, and
-a digest repeated within one repository counts it once; a null repository or owner counts as one
+a digest repeated within one repository counts it once, however many texts of it are copies; a null repository or owner counts as one
 more of its kind. An empty table gives an empty result. Other columns are ignored.
 """
 
@@ -58,9 +58,9 @@ def _digest(value: str) -> str:
 def scan_secrets(docs: DataFrame, repository: str = "source", owner: str = "owner") -> DataFrame:
     """``(row, doc_id, repository, owner, spans)``; spans carry a digest, never the secret.
 
-    Without an owner column every text is its own owner.
+    Without an owner column the repository is the owner, so copies of a text within one make no new owners.
     """
-    holder = F.col(owner) if owner in docs.columns else F.col("doc_id")
+    holder = F.col(owner) if owner in docs.columns else F.col(repository)
     rows = with_row(
         docs.select(
             "doc_id",
