@@ -1,11 +1,11 @@
-"""Toxicity by a weighted pattern grammar over clauses.
+"""Toxicity by weighted words of a lexicon, with factors by their distance in a clause.
 
-A first transducer rewrites each word to a class with a weight: insult, threat, target, negation,
-reported speech or none. Its lexicon is a short fixed list and, for insults, words and word stems
-learned from labelled rows. A second one walks each clause and composes the classes: an insult keeps its weight,
-gains when a target stands near it, loses when a negation stands shortly before it or the clause reports
-what someone said; a threat counts only with a target after it. Clauses that match are scored, and a
-logistic function of the matched clauses, fitted on the same labelled rows, gives the text's score.
+Each word gets a class with a weight: insult, threat, target, negation, reported speech or none. The
+lexicon is a short fixed list and, for insults, words and word stems learned from labelled rows. An insult
+keeps its weight alone, gains when a target stands near it, loses when a negation stands shortly before it or the
+clause reports what someone said; a threat counts only with a target after it. There are no states or transitions: a
+clause matches once it has any score. A logistic function of the clause scores, fitted on the same
+labelled rows, gives the text's score.
 
 Words are runs of letters, compared in lower case; clauses end at . ! ? ; : and line breaks. Everything
 in a task is a numpy pass over a piece of bounded size. Fitting uses a bounded sample (``samples.py``)
@@ -32,7 +32,7 @@ from statledger.llm.arrays import Words, find_words, pieces, prefixes, text_byte
 from statledger.llm.samples import drawn_rows, fold, gathered
 from statledger.session import written
 
-# Lexicons of the transducers, for English, German, French and Spanish.
+# Lexicons, for English, German, French and Spanish.
 INSULTS = (
     "idiot moron stupid loser pathetic worthless scum trash clown disgusting dumb imbecile "
     "idiota tonto basura idioten dumm blöd abschaum imbécile crétin ordure"
@@ -47,7 +47,7 @@ REPORTS = "said says called calls claimed quoted wrote sagte nannte écrit appel
 
 # Words that a class may reach: a target on either side, a negation before, a target after a threat.
 NEAR = 4
-# Factors of the grammar.
+# Factors by what stands near.
 TARGETED, NEGATED, REPORTED = 1.25, 0.5, 0.6
 THREAT_WEIGHT = 2.0
 # Stem lengths in bytes; a learned term needs so many toxic texts, such odds, and the best so many are kept.
