@@ -2,8 +2,9 @@
 
 A text is the mean embedding of its hashed byte 3-grams and 4-grams (letters in lower case, all else a
 boundary). The model is fitted by stochastic gradient descent in numpy on a bounded sample of labelled rows
-(``samples.py``). A part of the sample sets the softmax temperature and the score below which
-a prediction is rejected. Whole texts are scored; the tasks get a table of fixed size.
+(``samples.py``), of long texts on their beginning. A part of the sample sets the softmax temperature and the score
+below which a prediction is rejected: midway between chance and the least scores of right answers there,
+at most 0.5, as so few rows don't show what ``LOST`` of all right answers score. Whole texts are scored; the tasks get a table of fixed size.
 
 Defined cases: a null text or one without a letter gets ``und`` and score 0, and is rejected. Without
 any labelled row every text gets that. Rows with a null label don't train. Ties go to the
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statledger.llm.arrays import pieces, text_bytes
-from statledger.llm.samples import drawn_rows, fold, gathered
+from statledger.llm.samples import TEXT_BYTES, drawn_rows, fold, gathered
 
 UNKNOWN = "und"
 BUCKET_BITS = 16
@@ -176,6 +177,9 @@ def train_language_model(docs: DataFrame, holdout: int | None = 1) -> LanguageMo
     rows = docs.select("doc_id", "text", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
     if holdout is not None:
         rows = rows.where(fold(3) != holdout)
+    # Of a long text the beginning trains, so that no language goes for having long texts only.
+    begins = F.substring("text", 1, TEXT_BYTES // 4)
+    rows = rows.withColumn("text", F.when(F.octet_length("text") > TEXT_BYTES, begins).otherwise(F.col("text")))
     usable = rows.where(F.col("text").rlike("\\p{L}"))
     return fit(gathered(drawn_rows(usable, "lang", F.xxhash64("doc_id", "text")), "lang"))
 

@@ -37,6 +37,15 @@ def test_language_of_odd_rows(make_docs, odd_docs):
     assert kept.columns == docs.columns and {1, 2, 3, 9, 300}.isdisjoint(r["doc_id"] for r in kept.collect())
 
 
+def test_a_language_of_long_texts_only_is_learned(make_docs):
+    rows = [(k, prose(k, 40), None, "short") for k in range(30)]
+    rows += [(100 + k, " ".join(f"żółw{w[::-1]}ąę" for w in prose(k, 2500).split()), None, "long") for k in range(30)]
+    docs = make_docs(rows)
+    assert docs.where("lang = 'long'").agg(F.min(F.octet_length("text"))).first()[0] > 20_000
+    found = {r["doc_id"]: r["lang_pred"] for r in language.language_report(docs).collect()}
+    assert found == {r[0]: r[3] for r in rows}
+
+
 def test_language_without_labels(make_docs, odd_docs):
     found = language.language_report(make_docs(odd_docs)).collect()
     assert len(found) == len(odd_docs) and {r["lang_pred"] for r in found} == {"und"}
