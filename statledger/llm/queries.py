@@ -6,15 +6,18 @@ import functools
 
 from statledger.llm import (
     decontaminate,
+    fingerprints,
     html_text,
     jaccard,
     language,
     mixing,
+    negatives,
     pii,
     quality,
     secrets,
     substrings,
     toxicity,
+    whitening,
 )
 from statledger.llm.ship import ship_package
 
@@ -64,6 +67,18 @@ def op10_quality_rules(spark, sf):
     return quality.judge_quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op11_embedding_whitening(spark, sf):
+    return whitening.whitening_report(table(spark, sf, "embeddings"))
+
+
+def op12_hard_negatives(spark, sf):
+    return negatives.negatives_report(table(spark, sf, "embeddings"))
+
+
+def op13_document_fingerprints(spark, sf):
+    return fingerprints.fingerprint_report(table(spark, sf, "documents"))
+
+
 QUERIES = [
     op1_mix_sources,
     op2_html_extraction,
@@ -75,6 +90,9 @@ QUERIES = [
     op8_jaccard_join,
     op9_toxicity,
     op10_quality_rules,
+    op11_embedding_whitening,
+    op12_hard_negatives,
+    op13_document_fingerprints,
 ]
 
 
@@ -94,4 +112,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_decontamination": decontaminate.ORACLE}
+    return {"op5_decontamination": decontaminate.ORACLE, "op12_hard_negatives": negatives.ORACLE}
