@@ -1,6 +1,7 @@
 """Winnowed fingerprints against a plain version of the method."""
 
 import collections
+import functools
 import hashlib
 import random
 
@@ -11,11 +12,29 @@ from plain_text import prose, texts_of
 from statledger.llm import fingerprints as fp
 
 
+LONG = (1 << 64) - 1
+
+
+def plain_mix(x):
+    x ^= x >> 30
+    x = x * 0xBF58476D1CE4E5B9 & LONG
+    x ^= x >> 27
+    x = x * 0x94D049BB133111EB & LONG
+    return x ^ x >> 31
+
+
+@functools.cache
+def plain_hash(run):
+    """The hash of one run, computed on its own."""
+    total = len(run)
+    for i, c in enumerate(run):
+        total += (ord(c) + 1) * pow(fp._BASE, i, 1 << 64)
+    return plain_mix(total & LONG) >> fp.POSITION_BITS
+
+
 def plain_hashes(text, k):
-    """The hash of each run, computed on its own."""
     k = min(k, len(text))
-    runs = [text[i : i + k] for i in range(len(text) - k + 1)] if k else []
-    return [int(fp.gram_hashes(np.array([ord(c) for c in r], np.uint32), k)[0]) >> fp.POSITION_BITS for r in runs]
+    return [plain_hash(text[i : i + k]) for i in range(len(text) - k + 1)] if k else []
 
 
 def plain_winnow(text, k=fp.K, w=fp.W):
@@ -23,7 +42,8 @@ def plain_winnow(text, k=fp.K, w=fp.W):
     w, kept = min(w, len(hashes)), {}
     for s in range(len(hashes) - w + 1 if hashes else 0):
         window = hashes[s : s + w]
-        place = max(i for i in range(w) if window[i] == min(window))
+        least = min(window)
+        place = w - 1 - window[::-1].index(least)
         kept[s + place] = window[place]
     return sorted(kept.items())
 
