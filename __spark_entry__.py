@@ -18,6 +18,7 @@ from statledger.operators.dedupe import latest_extraction
 from statledger.operators.forecast import drift_forecast, fill_steps, holdout_check
 from statledger.operators.silver import to_silver, with_version
 from statledger.plans import lines as ln
+from statledger.plans.ledger import Ledger
 from statledger.plans.standin import LEVELS, RELEASES, SPEC, Standin, standin, table
 from statledger.plans.warehouse import KEY, SEQ
 from statledger.plans.warehouse import history as build_history
@@ -240,6 +241,26 @@ def incremental_load(spark, sf):
     return target.fact()
 
 
+def scd2_spliced(spark, sf):
+    """The history of a ledger that got the newest release before an older one, which is spliced in."""
+    made = standin(spark, sf)
+    rows = with_version(made.tables.silver(), made.versions())
+    return spliced_ledger(
+        rows, KEY, SPEC.compared, SPEC.carried, late=4, newest=6, extracted="ingested_date"
+    ).records()
+
+
+def spliced_ledger(rows, key, compare, carry, late, newest, **options) -> Ledger:
+    """A ledger loaded with all but two versions, then the newest one, then the late one."""
+    kept = Ledger(
+        rows.sparkSession, scratch_path(rows.sparkSession, "ledger"), key, SEQ, compare, carry, **options
+    )
+    kept.load(rows.filter(~F.col(SEQ).isin(late, newest)))
+    for seq in (newest, late):
+        kept.load(rows.filter(F.col(SEQ) == seq))
+    return kept
+
+
 def as_of_version(spark, sf):
     return history.as_of_version(fact_table(spark, sf), 3).select(
         "row_key", "valid_from_seq", "valid_to_seq", *SPEC.carried, *SPEC.compared
@@ -549,6 +570,14 @@ def lines_scd2_extended(spark, sf):
     )
 
 
+def lines_scd2_spliced(spark, sf):
+    """The history of all lines by a ledger, 1995 loaded after 1998."""
+    rows = ln.typed(ln.latest(ln.register(spark, sf)))
+    return spliced_ledger(
+        rows, ln.KEY, ln.TYPED, ln.CARRY, late=1995, newest=1998, version="version"
+    ).records()
+
+
 def lines_as_of(spark, sf):
     return history.as_of_version(ln.published_history(spark, sf), 1998).select(
         *ln.KEY, "valid_from_seq", "valid_to_seq", *ln.TYPED
@@ -615,6 +644,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd2_fact": scd2_fact,
     "scd2_break_on_gap": scd2_break_on_gap,
     "scd2_extended": scd2_extended,
+    "scd2_spliced": scd2_spliced,
     "incremental_load": incremental_load,
     "as_of_version": as_of_version,
     "typed_vs_string_diff": typed_vs_string_diff,
@@ -669,6 +699,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lines_measure_status": lines_measure_status,
     "lines_scd2": lines_scd2,
     "lines_scd2_extended": lines_scd2_extended,
+    "lines_scd2_spliced": lines_scd2_spliced,
     "lines_as_of": lines_as_of,
     "lines_restatements": lines_restatements,
     "lines_revisions": lines_revisions,

@@ -539,6 +539,7 @@ versions AS (""", 1),
         f"SELECT {FACT_COLUMNS} FROM gapped",
     ),
     "scd2_extended": q(TO_FACT, f"SELECT {FACT_COLUMNS} FROM fact"),
+    "scd2_spliced": q(TO_FACT, f"SELECT {FACT_COLUMNS} FROM fact"),
     "incremental_load": q(TO_FACT, f"SELECT {FACT_COLUMNS} FROM fact"),
     "as_of_version": q(TO_FACT, f"""
       SELECT row_key, valid_from_seq, valid_to_seq, {csv(CARRIED)}, {csv(COMPARED)}
@@ -798,6 +799,7 @@ versions AS (""", 1),
       FROM (SELECT version, {value(m, t)} AS {m}, {status(m)} AS {m}_status FROM register) GROUP BY ALL"""
       for m, t in LINE_MEASURES.items())),
     "lines_scd2": q(LINE_FACT, f"SELECT {LINE_COLUMNS} FROM line_fact"),
+    "lines_scd2_spliced": q(LINE_FACT, f"SELECT {LINE_COLUMNS} FROM line_fact"),
     "lines_scd2_extended": q(LINE_FACT, f"SELECT {LINE_COLUMNS} FROM line_fact"),
     "lines_as_of": q(LINE_FACT, f"""
       SELECT {csv(LINE_KEY)}, valid_from_seq, valid_to_seq, {csv(LINE_TYPED)}
