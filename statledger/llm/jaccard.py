@@ -7,14 +7,15 @@ Two texts link when their sets of 5-word shingles have a Jaccard similarity of 0
 2. *Prefixes.* Shingles are ordered, frequent ones last, by a count-min sketch of fixed size over all texts.
    Linked texts share a shingle among the first fifth of their orders, whatever the order is; only
    those are shuffled.
-3. *First links.* In each bucket of a shingle and a size band every text names the bucket's least text. It is
-   compared with the one it names most often. That is one comparison a text, however
-   large a group of near copies is, and joins most of a group into one component.
-4. *Tiles.* In buckets that still hold several components, texts are sorted by size and cut into tiles. Tiles whose
-   sizes allow links are compared: places in the orders bound the overlap from above, and so do two parity bitmaps, whose
-   differing bits are at most the differing shingles. Pairs that pass and are not yet in one component are compared
-   exactly. In buckets of a few texts the places alone decide, which needs no bitmaps there.
-5. *Exact comparison.* Sorted arrays of shingle hashes are intersected.
+3. *Linking rounds.* In each bucket of a shingle and a size band every text names one leader, first the least text, later
+   others by a hash. It is compared with the one it names most often. A round costs one comparison a text, however
+   large a group of near copies is; rounds go on while they close buckets that would cost many comparisons.
+4. *Tiles.* Buckets that still hold several components are merged where they hold the same texts, and cut into tiles by size
+   band and hash. Tiles of neighbouring bands are compared: places in the orders bound the overlap from above, and so
+   do two parity bitmaps, whose differing bits are at most the differing shingles. Out come the texts with a possible
+   partner, at most as many as went in, not the pairs.
+5. *Exact comparison.* These texts meet again tile by tile. Sorted arrays of shingle hashes are intersected for possible
+   pairs that are not joined yet, and a pair of tiles returns the links that join something: fewer than it has texts.
 
 Pairs within a component are not all made, since only components and membership are returned; no link
 between components is lost.
@@ -32,7 +33,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statledger.llm.arrays import Words, find_words, mix, pieces, runs
@@ -51,8 +52,10 @@ COMMON = 4
 # Rows of a tile and of one run of comparisons with the same text.
 TILE = 256
 RUN = 256
-# Texts of a bucket whose pairs are made without bitmaps, at most this number squared and halved.
-FEW = 8
+# Another linking round follows while an open text has more possible partners than this, and the last round cut them by a fifth.
+PARTNERS = 16
+# Parts a component's nodes are dealt to when its least id is looked up.
+SALTS = 32
 SIGNATURE_BITS = (64, 1 << 14)
 
 
@@ -182,6 +185,7 @@ def _prefix(shingles: np.ndarray, classes: np.ndarray) -> np.ndarray:
 
 
 def numbered(docs: DataFrame) -> DataFrame:
+    """Texts with a row number. It depends on how the scan is split, so it is stored and never made again."""
     return docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
 
 
@@ -251,137 +255,218 @@ def _first_pairs(buckets: DataFrame) -> DataFrame:
     return named.groupBy("row").agg(best.alias("a")).select("a", F.col("row").alias("b"))
 
 
+def _band(size: Column) -> Column:
+    """Sizes of linked texts differ by less than one band."""
+    return F.floor(F.log(size.cast("double")) / F.log(F.lit(100 / PERCENT)))
+
+
 def _open_rows(buckets: DataFrame, found: DataFrame) -> DataFrame:
-    """Rows of buckets with several components, with the bucket's size and their rank by size."""
+    """Entries of buckets with several components; of buckets with the same texts only one stays.
+
+    The place is then the least of a text's places in them, which leaves the bound of the overlap one.
+    """
     known = buckets.join(found.withColumnRenamed("node", "row"), "row", "left").withColumn(
         "component", F.coalesce("component", "row")
     )
-    per_token = Window.partitionBy("token")
-    rank = F.row_number().over(per_token.orderBy("n_shingles", "row")) - 1
-    return written(
-        known.withColumn("low", F.min("component").over(per_token))
-        .withColumn("high", F.max("component").over(per_token))
+    content = [
+        F.count("*").alias("size"),
+        F.sum(F.xxhash64("row").cast("decimal(38,0)")).alias("total"),
+        F.bit_xor(F.xxhash64("row", F.lit(1))).alias("mixed"),
+    ]
+    tokens = written(
+        known.groupBy("token")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"), *content)
         .where("low < high")
-        .withColumn("size", F.count("*").over(per_token))
-        .withColumn("rank", rank)
-        .select("token", "row", "n_shingles", "place", "component", "size", "rank"),
+        .drop("low", "high"),
+        "jaccard-tokens",
+    )
+    same = ["size", "total", "mixed"]
+    named = tokens.join(tokens.groupBy(*same).agg(F.min("token").alias("bucket")), same)
+    return written(
+        known.join(named.select("token", "bucket", "size"), "token")
+        .groupBy(F.col("bucket").alias("token"), "row", "n_shingles", "component", "size")
+        .agg(F.min("place").alias("place")),
         "jaccard-open",
     )
 
 
-def _few_pairs(open_rows: DataFrame) -> DataFrame:
-    """Pairs of small buckets that components, sizes and places leave possible."""
-    few = open_rows.where(F.col("size") <= FEW)
-    a, b = few.alias("a"), few.alias("b")
-    sizes = F.col("a.n_shingles") + F.col("b.n_shingles")
-    overlap = F.least(
-        F.col("a.n_shingles") - F.col("a.place"), F.col("b.n_shingles") - F.col("b.place")
-    )
-    possible = (
-        (F.col("a.token") == F.col("b.token"))
-        & (F.col("a.rank") < F.col("b.rank"))
-        & (F.col("a.component") != F.col("b.component"))
-        & (100 * overlap >= PERCENT * (sizes - overlap))
-    )
-    return a.join(b, possible).select(
-        F.least("a.row", "b.row").alias("a"), F.greatest("a.row", "b.row").alias("b")
+def _leader_pairs(open_rows: DataFrame, number: int) -> DataFrame:
+    """Each open text with the leader of another component that its buckets name most often."""
+    entries = open_rows.withColumn("band", _band(F.col("n_shingles")))
+    least = F.min_by("row", F.xxhash64("row", F.lit(number)))
+    leaders = entries.groupBy("token", "band").agg(
+        least.alias("least"), F.min_by("component", F.xxhash64("row", F.lit(number))).alias("leads")
     )
+    named = entries.join(leaders, ["token", "band"]).where("component <> leads")
+    voted = named.groupBy("row", "least").agg(F.count("*").alias("n")).groupBy("row")
+    best = voted.agg(F.max_by("least", F.struct("n", -F.col("least"))).alias("other"))
+    return best.select(F.least("row", "other").alias("a"), F.greatest("row", "other").alias("b")).distinct()
 
 
 def _tile_rows(open_rows: DataFrame, feats: DataFrame) -> DataFrame:
-    """Rows of the other buckets, once for each pair of tiles to compare."""
-    tiled = open_rows.where(F.col("size") > FEW).withColumn("tile", F.floor(F.col("rank") / TILE))
-    tiles = tiled.groupBy("token", "tile").agg(
-        F.min("n_shingles").alias("low"), F.max("n_shingles").alias("high")
-    )
-    left = tiles.select("token", F.col("tile").alias("x"), F.col("high").alias("x_high"))
-    right = tiles.select("token", F.col("tile").alias("y"), F.col("low").alias("y_low"))
-    pairs = left.join(right, "token").where(
-        (F.col("x") <= F.col("y")) & (100 * F.col("x_high") >= PERCENT * F.col("y_low"))
+    """Open entries with their signature, once for each pair of tiles to compare.
+
+    Tiles are numbered by band and, in it, by a hash of the row. Bands that link are equal or next to each other.
+    """
+    entries = open_rows.withColumn("band", _band(F.col("n_shingles")))
+    counts = entries.groupBy("token", "band").agg(F.count("*").alias("n"))
+    tiles = F.ceil(F.col("n") / TILE)
+    bands = counts.groupBy("token").agg(F.map_from_entries(F.collect_list(F.struct("band", tiles))).alias("tiles"))
+
+    def number(band: Column, k: Column) -> Column:
+        return F.shiftleft(band, 32) + k
+
+    def others(step: int) -> Column:
+        n = F.coalesce(F.col("tiles")[F.col("band") + step], F.lit(0).cast("bigint"))
+        all_of = F.transform(F.sequence(F.lit(0).cast("bigint"), n), lambda k: number(F.col("band") + step, k))
+        return F.slice(all_of, 1, n.cast("int"))
+
+    placed = entries.join(bands, "token").withColumn(
+        "tile", number(F.col("band"), F.pmod(F.xxhash64("row"), F.col("tiles")[F.col("band")]))
     )
-    sides = pairs.select("token", "x", "y", F.explode(F.array_distinct(F.array("x", "y"))).alias("tile"))
+    paired = placed.withColumn("other", F.explode(F.concat(others(-1), others(0), others(1))))
     return (
-        tiled.join(sides, ["token", "tile"])
+        paired.withColumns({"x": F.least("tile", "other"), "y": F.greatest("tile", "other")})
         .join(feats.select("row", "signature"), "row")
         .repartition("token", "x", "y")
         .sortWithinPartitions("token", "x", "y", "n_shingles", "row")
-        .select("token", "x", "y", "tile", "row", "n_shingles", "component", "signature", "place")
+        .select(*_TILE_COLUMNS, "signature")
     )
 
 
-def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of each tile pair that the sizes, the components and the bitmaps leave possible."""
-    held: list[tuple] = []
-    key = None
-    names = ("token", "x", "y", "tile", "row", "n_shingles", "component", "signature", "place")
-    for batch in batches:
-        found: list[tuple[int, int]] = []
-        for row in zip(*[batch.column(n).to_pylist() for n in names], strict=True):
-            if row[:3] != key:
-                found += _tile_pairs(held, key)
-                held, key = [], row[:3]
-            held.append(row)
-        yield _pair_batch(found)
-    yield _pair_batch(_tile_pairs(held, key))
-
+_TILE_COLUMNS = ("token", "x", "y", "tile", "row", "n_shingles", "component", "place")
+_POSSIBLE = ", ".join(f"{c} bigint" for c in _TILE_COLUMNS)
 
-def _pair_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["a", "b"]
-    )
 
+class _TilePair:
+    """Rows of one pair of tiles, sorted by size."""
 
-def _tile_pairs(rows: list[tuple], key: tuple | None) -> list[tuple[int, int]]:
-    """Possible pairs of one pair of tiles, from rows sorted by size.
+    def __init__(self, rows: list[tuple]):
+        token, x, y, self.tile, self.row, self.size, self.component, self.place = (
+            np.array([r[k] for r in rows]) for k in range(8)
+        )
+        self.across = bool(len(rows)) and x[0] != y[0]
+        self.signatures = [r[8] for r in rows]
+        self.lengths = np.array([len(s) for s in self.signatures])
 
-    The rows of a pair differ in component, and lie in the two tiles of the key.
-    """
-    if len(rows) < 2:
-        return []
-    tile, row, size, component, place = (np.array([r[k] for r in rows]) for k in (3, 4, 5, 6, 8))
-    found = []
-    lengths = np.array([len(r[7]) for r in rows])
-    for i in range(len(rows) - 1):
+    def later(self, i: int) -> np.ndarray:
+        """Rows after ``i`` that sizes, components, tiles, places and bitmaps leave possible as its partners."""
+        size, place = self.size, self.place
         # Partners are at least as large, and not more than 100/PERCENT times.
         stop = int(np.searchsorted(size, 100 * size[i] // PERCENT, side="right"))
         js = np.arange(i + 1, max(i + 1, stop))
-        js = js[component[js] != component[i]]
-        if key[1] != key[2]:
-            js = js[tile[js] != tile[i]]
+        js = js[self.component[js] != self.component[i]]
+        if self.across:
+            js = js[self.tile[js] != self.tile[i]]
         # With this shingle as their first in common, no more can follow it in either order.
         overlap = np.minimum(size[js] - place[js], size[i] - place[i])
         js = js[100 * overlap >= PERCENT * (size[js] + size[i] - overlap)]
-        for length in np.unique(lengths[js]):
-            same = js[lengths[js] == length]
-            short = int(min(length, lengths[i]))
-            own = _folded(rows[i][7], short)
-            others = np.stack([_folded(rows[j][7], short) for j in same])
+        possible = []
+        for length in np.unique(self.lengths[js]):
+            same = js[self.lengths[js] == length]
+            short = int(min(length, self.lengths[i]))
+            own = _folded(self.signatures[i], short)
+            others = np.stack([_folded(self.signatures[j], short) for j in same])
             differ = np.bitwise_count(others ^ own).sum(axis=1).astype(np.int64)
             total = size[same] + size[i]
             # Overlap is at most (total - differ) / 2; the rule is on overlap and union.
             overlap = (total - differ) // 2
-            ok = 100 * overlap >= PERCENT * (total - overlap)
-            found += [(int(min(row[i], row[j])), int(max(row[i], row[j]))) for j in same[ok]]
-    return found
+            possible.append(same[100 * overlap >= PERCENT * (total - overlap)])
+        return np.concatenate(possible) if possible else js
+
+    def with_partner(self) -> np.ndarray:
+        found = np.zeros(len(self.row), bool)
+        for i in range(len(found) - 1):
+            js = self.later(i)
+            found[js] = True
+            found[i] |= len(js) > 0
+        return found
+
+    def joining_links(self, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+        """Links that join components, fewer than rows: a pair that is joined by now is not compared."""
+        links = []
+        for i in range(len(self.row) - 1):
+            for j in self.later(i):
+                if self.component[i] == self.component[j]:
+                    continue
+                inter = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if _linked(inter, len(sets[i]), len(sets[j])):
+                    links.append((int(min(self.row[i], self.row[j])), int(max(self.row[i], self.row[j]))))
+                    self.component[self.component == self.component[j]] = self.component[i]
+        return links
+
+
+def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of each pair of tiles that may have a partner there."""
+    held, key = [], None
+
+    def kept() -> pa.RecordBatch:
+        has = _TilePair(held).with_partner() if len(held) > 1 else np.zeros(len(held), bool)
+        rows = [r for r, h in zip(held, has, strict=True) if h]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[k] for r in rows], pa.int64()) for k in range(8)], list(_TILE_COLUMNS)
+        )
+
+    for batch in batches:
+        for row in zip(*[batch.column(n).to_pylist() for n in (*_TILE_COLUMNS, "signature")], strict=True):
+            if row[:3] != key:
+                yield kept()
+                held, key = [], row[:3]
+            held.append(row)
+    yield kept()
+
+
+def _joining(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of each pair of tiles, from rows with their texts."""
+    held, sets, key = [], [], None
+
+    def found() -> pa.RecordBatch:
+        links = _TilePair(held).joining_links(sets) if len(held) > 1 else []
+        return pa.RecordBatch.from_arrays(
+            [pa.array([p[k] for p in links], pa.int64()) for k in (0, 1)], ["a", "b"]
+        )
+
+    for batch in batches:
+        for piece in pieces(batch):
+            own = shingle_sets(find_words(piece.column("text"), lower=True))
+            columns = [piece.column(n).to_pylist() for n in _TILE_COLUMNS]
+            for s, *row in zip(own, *columns, strict=True):
+                if tuple(row[:3]) != key:
+                    yield found()
+                    held, sets, key = [], [], tuple(row[:3])
+                held.append((*row, signature(s)))
+                sets.append(s)
+    yield found()
+
+
+def _tile_links(open_rows: DataFrame, feats: DataFrame, rows: DataFrame) -> DataFrame:
+    """Links between components that are still apart, by comparing tiles."""
+    possible = written(_tile_rows(open_rows, feats).mapInArrow(_possible, _POSSIBLE), "jaccard-possible")
+    texts = perhaps_in(rows.select("row", "text"), "row", possible.select("row").distinct())
+    return (
+        possible.join(texts, "row")
+        .repartition("token", "x", "y")
+        .sortWithinPartitions("token", "x", "y", "n_shingles", "row")
+        .select(*_TILE_COLUMNS, "text")
+        .mapInArrow(_joining, "a bigint, b bigint")
+    )
 
 
-def link_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Features of every row with its class's ``rep`` row, and components ``(node, component)`` of reps."""
-    rows = numbered(docs)
-    context = docs.sparkSession.sparkContext
+def link_classes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Features of every row, and every class with its component and least id."""
+    context = rows.sparkSession.sparkContext
     shared = context.broadcast(frequency_classes(rows))
     feats = written(rows.mapInArrow(partial(_features, shared), _FEATURES), "jaccard-features")
     reps = (
         feats.where("n_shingles > 0")
         .groupBy("h1", "h2")
         .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("least"))
-        .select("h1", "h2", F.col("least.row").alias("rep"))
+        .select("h1", "h2", F.col("least.row").alias("rep"), F.col("least.doc_id").alias("rep_doc"))
     )
     reps = written(reps, "jaccard-classes")
     own = feats.join(reps.select(F.col("rep").alias("row")), "row", "left_semi")
-    band = F.floor(F.log(F.col("n_shingles").cast("double")) / F.log(F.lit(100 / PERCENT)))
     entries = own.select(
-        "row", "n_shingles", band.alias("band"), F.posexplode("prefix").alias("place", "token")
+        "row", "n_shingles", _band(F.col("n_shingles")).alias("band"), F.posexplode("prefix").alias("place", "token")
     ).repartition("token")
     per_token, per_band = Window.partitionBy("token"), Window.partitionBy("token", "band")
     buckets = (
@@ -391,27 +476,63 @@ def link_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         .select("token", "row", "n_shingles", "place", "least")
     )
     buckets = written(buckets, "jaccard-buckets")
-    first = written(verified(_first_pairs(buckets), rows), "jaccard-links")
-    found = written(components(first), "jaccard-found")
-    open_rows = _open_rows(buckets, found)
-    pairs = _tile_rows(open_rows, own).mapInArrow(_bounded, "a bigint, b bigint")
-    pairs = written(pairs.union(_few_pairs(open_rows)).distinct(), "jaccard-pairs")
-    second = verified(pairs, rows)
-    links = first.union(second)
-    linked = feats.select("row", "doc_id", "n_shingles", "h1", "h2").join(reps, ["h1", "h2"], "left")
-    return linked, written(components(links), "jaccard-components")
-
-
-def with_components(docs: DataFrame) -> DataFrame:
-    """``(row, doc_id, n_shingles, class, component_id)``; component_id is the least doc_id reached."""
-    linked, found = link_classes(docs)
-    linked = linked.withColumn("node", F.coalesce("rep", "row"))
-    joined = linked.join(found, "node", "left").withColumn(
-        "component", F.coalesce("component", "node")
+    links = written(verified(_first_pairs(buckets), rows), "jaccard-links")
+    open_rows = _open_rows(buckets, written(components(links), "jaccard-found"))
+    left, entries = _partners(open_rows)
+    number = 0
+    while left > PARTNERS * entries:
+        number += 1
+        more = verified(_leader_pairs(open_rows, number), rows)
+        links = written(links.union(more), "jaccard-links")
+        open_rows = _open_rows(buckets, written(components(links), "jaccard-found"))
+        before, (left, entries) = left, _partners(open_rows)
+        if left > 0.8 * before:
+            break
+    links = links.union(_tile_links(open_rows, own, rows))
+    found = written(components(links), "jaccard-components")
+    return feats.select("row", "doc_id", "n_shingles", "h1", "h2"), _with_least(reps, found)
+
+
+def _partners(open_rows: DataFrame) -> tuple[int, int]:
+    """Possible partners of all open entries together, and the number of entries."""
+    return tuple(open_rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first())
+
+
+def _with_least(reps: DataFrame, found: DataFrame) -> DataFrame:
+    """Every class with its component and that component's least id.
+
+    The nodes of a large component are dealt by a salt as well, and its least id goes to each part.
+    """
+    nodes = found.join(reps.select(F.col("rep").alias("node"), "rep_doc"), "node")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    least = nodes.groupBy("component").agg(F.min("rep_doc").alias("component_id")).select("*", salts)
+    salted = found.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+    ids = salted.join(least, ["component", "salt"]).select(F.col("node").alias("rep"), "component", "component_id")
+    return written(
+        reps.join(ids, "rep", "left").select(
+            "h1",
+            "h2",
+            F.coalesce("component", "rep").alias("component"),
+            F.when(F.col("component").isNull(), F.col("rep_doc")).otherwise(F.col("component_id")).alias("component_id"),
+        ),
+        "jaccard-classes",
     )
-    least = joined.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    return joined.join(least, "component").select(
-        "row", "doc_id", "n_shingles", "component", "component_id"
+
+
+def with_components(rows: DataFrame) -> DataFrame:
+    """``(row, doc_id, n_shingles, component, component_id)``; component_id is the least doc_id reached.
+
+    ``rows`` are stored texts with ``row``, a number of their own.
+    """
+    feats, classes = link_classes(rows)
+    joined = feats.join(classes, ["h1", "h2"], "left")
+    alone = F.col("component").isNull()  # no words, so no class
+    return joined.select(
+        "row",
+        "doc_id",
+        "n_shingles",
+        F.coalesce("component", "row").alias("component"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
 
 
@@ -421,13 +542,15 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     Ties go to the row read first; a null doc_id is the largest.
     """
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
-    joined = written(with_components(docs).select("row", "doc_id", "component"), "jaccard-rows")
+    row = fresh_name(docs)
+    rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "jaccard-texts")
+    texts = rows.select("doc_id", "text", F.col(row).alias("row"))
+    joined = written(with_components(texts).select("row", "doc_id", "component"), "jaccard-rows")
     least = joined.groupBy("component").agg(F.min(order)["row"].alias("row"))
     dropped = written(joined.join(least, "row", "left_anti").select("row"), "jaccard-dropped")
-    row = fresh_name(docs)
-    rows = docs.withColumn(row, F.monotonically_increasing_id())
     return without(rows, row, dropped).drop(row)
 
 
 def jaccard_report(docs: DataFrame) -> DataFrame:
-    return with_components(docs).select("doc_id", "n_shingles", "component_id")
+    rows = written(numbered(docs), "jaccard-texts")
+    return with_components(rows).select("doc_id", "n_shingles", "component_id")
