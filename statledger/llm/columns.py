@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from statledger.session import written
+
 SPACE = "[\\x20\\x09-\\x0D]+"
 WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -45,5 +47,23 @@ def shingles(ws: Column, width: int = 5) -> Column:
 
 
 def with_row(df: DataFrame, *columns: str) -> DataFrame:
-    """Some columns of a table and a number that tells equal rows apart."""
+    """Some columns of a table and a number that tells equal rows apart.
+
+    The number depends on how the scan is split, and so on the executors there are. What is to be joined by it
+    is stored first, as by ``stored_rows``, and never numbered again.
+    """
     return df.select(*columns, F.monotonically_increasing_id().alias("row"))
+
+
+def fresh_name(df: DataFrame, base: str = "row") -> str:
+    """A column name that ``df`` does not have, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base = f"_{base}"
+    return base
+
+
+def stored_rows(docs: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    """``docs`` stored with a number of its own for every row, and the name of that column."""
+    row = fresh_name(docs)
+    return written(docs.withColumn(row, F.monotonically_increasing_id()), purpose), row

@@ -22,8 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from statledger.llm.columns import ascii_lower, bind, shingles, words
-from statledger.llm.lookup import fresh_name
+from statledger.llm.columns import ascii_lower, bind, shingles, stored_rows, with_row, words
 from statledger.session import written
 
 # Whole percentages: the least containment, and what a text may lack.
@@ -52,11 +51,13 @@ def item_shingles(benchmark: DataFrame) -> DataFrame:
     return every.withColumn("sampled", rank <= length).drop("items")
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``(row, doc_id, item_id, n_item, n_shared)`` of every contaminated row and item."""
+def contaminated(texts: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``(row, doc_id, item_id, n_item, n_shared)`` of every contaminated row and item.
+
+    ``texts`` are stored, with ``row``, a number of their own.
+    """
     items = written(item_shingles(benchmark), "benchmark-shingles")
     signatures = written(items.where("sampled").select("item_id", "shingle"), "benchmark-signatures")
-    texts = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
 
     def exploded(rows: DataFrame) -> DataFrame:
         return rows.select(
@@ -90,14 +91,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def decontamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    return contaminated(docs, benchmark).select("doc_id", "item_id", "n_item", "n_shared")
+    texts = written(with_row(docs, "doc_id", "text"), "benchmark-texts")
+    return contaminated(texts, benchmark).select("doc_id", "item_id", "n_item", "n_shared")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that no item contaminates, all columns unchanged."""
-    found = written(contaminated(docs, benchmark).select("row").distinct(), "benchmark-found")
-    row = fresh_name(docs)
-    rows = docs.withColumn(row, F.monotonically_increasing_id())
+    rows, row = stored_rows(docs, "benchmark-texts")
+    texts = rows.select("doc_id", "text", F.col(row).alias("row"))
+    found = written(contaminated(texts, benchmark).select("row").distinct(), "benchmark-found")
     return rows.join(found.toDF(row), row, "left_anti").drop(row).select(*docs.columns)
 
 

@@ -37,8 +37,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statledger.llm.arrays import Words, find_words, mix, pieces, runs
+from statledger.llm.columns import stored_rows, with_row
 from statledger.llm.components import components
-from statledger.llm.lookup import fresh_name, perhaps_in, without
+from statledger.llm.lookup import perhaps_in, without
 from statledger.session import written
 
 SHINGLE = 5
@@ -184,11 +185,6 @@ def _prefix(shingles: np.ndarray, classes: np.ndarray) -> np.ndarray:
     return shingles[order[:length]]
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """Texts with a row number. It depends on how the scan is split, so it is stored and never made again."""
-    return docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
-
-
 def _linked(inter: int, a: int, b: int) -> bool:
     return 100 * inter >= PERCENT * (a + b - inter)
 
@@ -542,8 +538,7 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     Ties go to the row read first; a null doc_id is the largest.
     """
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
-    row = fresh_name(docs)
-    rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "jaccard-texts")
+    rows, row = stored_rows(docs, "jaccard-texts")
     texts = rows.select("doc_id", "text", F.col(row).alias("row"))
     joined = written(with_components(texts).select("row", "doc_id", "component"), "jaccard-rows")
     least = joined.groupBy("component").agg(F.min(order)["row"].alias("row"))
@@ -552,5 +547,5 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
 
 
 def jaccard_report(docs: DataFrame) -> DataFrame:
-    rows = written(numbered(docs), "jaccard-texts")
+    rows = written(with_row(docs, "doc_id", "text"), "jaccard-texts")
     return with_components(rows).select("doc_id", "n_shingles", "component_id")

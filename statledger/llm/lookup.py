@@ -64,14 +64,6 @@ def perhaps_in(rows: DataFrame, column: str, keys: DataFrame, present: bool = Tr
     return rows.mapInArrow(partial(_filter, shared, column, present), rows.schema)
 
 
-def fresh_name(df: DataFrame, base: str = "row") -> str:
-    """A column name that ``df`` does not have, whatever its case."""
-    taken = {c.lower() for c in df.columns}
-    while base.lower() in taken:
-        base = f"_{base}"
-    return base
-
-
 def without(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     """Rows whose ``column`` is not among the only column of ``keys``; few of the others are shuffled."""
     key = keys.toDF("__key")

@@ -24,8 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from statledger.llm.columns import SPACE, WORD, bind
-from statledger.llm.lookup import fresh_name
+from statledger.llm.columns import SPACE, WORD, bind, fresh_name, stored_rows, with_row
 from statledger.session import written
 
 CYCLE = (5, 2, 1)
@@ -41,13 +40,10 @@ WORD_TEXT = f"(?:\\A{SPACE})?{WORD}+(?:{SPACE})?"
 BLOCK_TEXT = f"(?:\\A{SPACE})?{WORD}+(?:{SPACE}+{WORD}+){{0,{BLOCK - 1}}}+(?:{SPACE})?"
 
 
-def sizes(docs: DataFrame) -> DataFrame:
+def sizes(rows: DataFrame) -> DataFrame:
     """``(row, doc_id, source, size)`` of every row; stored, so that row numbers stay."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    rows = docs.select(
-        "doc_id", "source", size.alias("size"), F.monotonically_increasing_id().alias("row")
-    )
-    return written(rows, "mix-sizes")
+    return written(rows.select("doc_id", "source", size.alias("size"), "row"), "mix-sizes")
 
 
 def _in_order(sources: DataFrame) -> DataFrame:
@@ -215,12 +211,12 @@ def chosen_blocks(rows: DataFrame, targets: DataFrame) -> DataFrame:
     )
 
 
-def mix_sources(docs: DataFrame) -> DataFrame:
-    """``(row, doc_id, size, source_size, target, taken, blocks)`` of every row.
+def mix_sources(rows: DataFrame) -> DataFrame:
+    """``(row, doc_id, size, source_size, target, taken, blocks)`` of every row, ``row`` being its number.
 
     ``blocks`` has ``(block, times, extra)`` of each block taken, in order; ``taken`` is the sum of their words.
     """
-    rows = sizes(docs)
+    rows = sizes(rows)
     targets = source_targets(rows)
     known = targets.select(F.col("source").alias("s"), "source_size", "target")
     taken = (
@@ -276,8 +272,9 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
 
     Every row stands for all the words taken of it, repeats included, so words per source are the targets.
     """
-    taken = mix_sources(docs).where("taken > 0")
-    row, blocks = fresh_name(docs), fresh_name(docs, "blocks")
+    rows, row = stored_rows(docs, "mix-texts")
+    blocks = fresh_name(rows, "blocks")
+    taken = mix_sources(rows.select("doc_id", "source", "text", F.col(row).alias("row"))).where("taken > 0")
     wanted = taken.select(
         F.col("row").alias(row),
         F.col("blocks").alias(blocks),
@@ -285,7 +282,6 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
         F.col("target").alias("mix_target"),
         F.col("taken").alias("mix_taken"),
     )
-    rows = docs.withColumn(row, F.monotonically_increasing_id())
     kept = [c for c in docs.columns if c not in ("mix_size", "mix_target", "mix_taken")]
     mixed = rows.select(row, *kept).join(wanted.hint("shuffle_hash"), row)
     mixed = mixed.withColumn("text", mixed_text(F.col("text"), F.col(blocks)))
@@ -297,4 +293,4 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
 def mix_report(docs: DataFrame) -> DataFrame:
     """:func:`mix_sources` without row numbers; ``blocks`` as ``block:times:extra``, by commas."""
     listed = F.transform("blocks", lambda b: F.concat_ws(":", b["block"], b["times"], b["extra"]))
-    return mix_sources(docs).drop("row").withColumn("blocks", F.array_join(listed, ","))
+    return mix_sources(with_row(docs, "doc_id", "source", "text")).drop("row").withColumn("blocks", F.array_join(listed, ","))

@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statledger.llm.arrays import find_words, pieces, runs
-from statledger.llm.columns import with_row
-from statledger.llm.lookup import bitmap, fresh_name, marked, perhaps_in, without
+from statledger.llm.columns import fresh_name, stored_rows, with_row
+from statledger.llm.lookup import bitmap, marked, perhaps_in, without
 from statledger.llm.spans import PII_KINDS, count_kind, pii_spans, span_text
 from statledger.session import written
 
@@ -158,9 +158,8 @@ def _count(marks: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
             )
 
 
-def read_mentions(docs: DataFrame) -> DataFrame:
+def read_mentions(rows: DataFrame) -> DataFrame:
     """Base spans of every row, and its mentions with their contexts, stored once."""
-    rows = with_row(docs, "doc_id", "text")
     return written(rows.mapInArrow(_read, _SCHEMA), "pii-mentions")
 
 
@@ -203,10 +202,10 @@ def _confidence(scored: DataFrame) -> DataFrame:
     )
 
 
-def find_pii(docs: DataFrame) -> DataFrame:
-    """``(row, doc_id, spans)``; spans hold (start, kind number, end), discovered ones included."""
-    read = read_mentions(docs)
-    trusted = score_patterns(docs, read).where(F.col("confidence") >= MIN_CONFIDENCE)
+def find_pii(rows: DataFrame) -> DataFrame:
+    """``(row, doc_id, spans)`` of texts with ``row``, a number of their own; spans hold (start, kind number, end), discovered ones included."""
+    read = read_mentions(rows)
+    trusted = score_patterns(rows, read).where(F.col("confidence") >= MIN_CONFIDENCE)
     unknown = (
         read.select("row", F.explode("mentions").alias("m"))
         .where("NOT m.seed")
@@ -227,7 +226,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
 def pii_report(docs: DataFrame) -> DataFrame:
     """Digest columns of every row."""
     base = F.filter("spans", lambda s: s["kind"] < BASE_KINDS)
-    return find_pii(docs).select(
+    return find_pii(with_row(docs, "doc_id", "text")).select(
         "doc_id",
         *[count_kind(F.col("spans"), k).alias(f"n_{PII_KINDS[k]}") for k in range(BASE_KINDS)],
         F.sha2(span_text(base, PII_KINDS), 256).alias("base_sha256"),
@@ -242,7 +241,7 @@ def _mask(names: list[str], spans: str, batches) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batch):
             found = piece.column(spans).to_pylist()
             texts = piece.column("text").to_pylist()
-            masked = [mask_text(t or "", s) for t, s in zip(texts, found, strict=True)]
+            masked = [mask_all(t or "", s) for t, s in zip(texts, found, strict=True)]
             columns = {n: piece.column(n) for n in names} | {"text": pa.array(masked, pa.string())}
             if "n_chars" in columns:
                 columns["n_chars"] = pa.array(
@@ -256,18 +255,25 @@ def mask_pii(docs: DataFrame) -> DataFrame:
 
     Only texts with spans, and the few that share their bitmap mark, are shuffled.
     """
-    hits = written(
-        find_pii(docs).where(F.size("spans") > 0).select("row", "spans"), "pii-hits"
-    ).toDF("__hit", "__spans")
-    row = fresh_name(docs)
-    rows = docs.withColumn(row, F.monotonically_increasing_id())
-    keys = hits.select("__hit")
-    near = perhaps_in(rows, row, keys).join(hits, F.col(f"`{row}`") == F.col("__hit"))
-    masked = near.mapInArrow(partial(_mask, docs.columns, "__spans"), docs.schema)
+    rows, row = stored_rows(docs, "pii-texts")
+    hit, spans = fresh_name(rows, "hit"), fresh_name(rows, "spans")
+    found = find_pii(rows.select("doc_id", "text", F.col(row).alias("row")))
+    hits = written(found.where(F.size("spans") > 0).select("row", "spans"), "pii-hits").toDF(hit, spans)
+    keys = hits.select(hit)
+    near = perhaps_in(rows, row, keys).join(hits, F.col(row) == F.col(hit))
+    masked = near.mapInArrow(partial(_mask, docs.columns, spans), docs.schema)
     others = without(rows, row, keys)
     return masked.unionByName(others.drop(row))
 
 
+def mask_all(text: str, spans: list[dict]) -> str:
+    """``text`` masked at the spans, and then at whatever matches only since its neighbours are masked."""
+    while spans:
+        text = mask_text(text, spans)
+        spans = [{"start": s, "kind": k, "end": e} for s, k, e in pii_spans(text)]
+    return text
+
+
 def mask_text(text: str, spans: list[dict]) -> str:
     """``text`` with every span replaced by its kind; overlapping spans are masked as one."""
     out, done = [], 0

@@ -28,12 +28,17 @@ def drawn_rows(
     """
     counts = rows.groupBy(label).count().orderBy(F.desc("count"), label).limit(total).collect()
     per_class = max(1, min(per_class, total // max(1, len(counts))))
-    rates = [(r[label], min(1.0, MARGIN * per_class / r["count"])) for r in counts]
-    kind = rows.schema[label].dataType.simpleString()
-    rated = rows.sparkSession.createDataFrame(rates, f"`{label}` {kind}, rate double")
+    # At most ``total`` entries; a lookup in each row, where a join would deal the texts by label.
+    limits = {
+        r[label]: min(1.0, MARGIN * per_class / r["count"]) * float(1 << DRAW_BITS)
+        for r in counts
+        if r[label] is not None
+    }
+    if not limits:
+        return rows.withColumn("draw", F.lit(0).cast("bigint")).limit(0)
+    known = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])
     draw = F.shiftrightunsigned(order, 64 - DRAW_BITS)
-    limit = F.col("rate") * float(1 << DRAW_BITS)
-    return rows.join(rated, label).withColumn("draw", draw).where(F.col("draw") < limit).drop("rate")
+    return rows.withColumn("draw", draw).where(F.col("draw") < known[F.col(label)])
 
 
 def gathered(

@@ -82,26 +82,3 @@ def test_rounds_and_tiles_agree(make_docs, monkeypatch):
     for partners in (0, 1e9):
         monkeypatch.setattr(jaccard, "PARTNERS", partners)
         assert found_components(docs) == expected
-
-
-def test_rows_stay_apart_when_splits_change(ready, sf_dir, tmp_path):
-    """Executors that come or go change how a scan is split; results must not."""
-    path = str(tmp_path / "docs")
-    docs = ready.read.parquet(f"{sf_dir}/documents.parquet")
-    docs.coalesce(1).write.option("parquet.block.size", 16 << 10).parquet(path)
-    settings = {"spark.sql.files.openCostInBytes": "1", "spark.sql.leafNodeDefaultParallelism": "2"}
-    for key, value in settings.items():
-        ready.conf.set(key, value)
-    try:
-        docs = ready.read.parquet(path)
-        before = docs.rdd.getNumPartitions()
-        report, kept = jaccard.jaccard_report(docs), jaccard.keep_one_of_each(docs)
-        ready.conf.set("spark.sql.leafNodeDefaultParallelism", "16")
-        assert ready.read.parquet(path).rdd.getNumPartitions() != before
-        expected = plain_components(texts_of(docs))
-        assert sorted(map(repr, (tuple(r) for r in report.collect()))) == sorted(map(repr, expected.elements()))
-        ids = sorted(r["doc_id"] for r in kept.collect())
-        assert ids == sorted({c for _, _, c in expected})
-    finally:
-        for key in settings:
-            ready.conf.unset(key)
