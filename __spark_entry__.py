@@ -101,7 +101,8 @@ def dataset_versions(spark, sf):
 
 
 def version_history_json(spark, sf):
-    return cat.version_history(cat.version_pages(spark, standin(spark, sf).version_pages))
+    pages = cat.version_pages(spark, standin(spark, sf).version_pages)
+    return cat.version_history(cat.complete_pages(pages))
 
 
 def version_listing(spark, sf):
@@ -110,11 +111,30 @@ def version_listing(spark, sf):
 
 def query_pages(spark, sf):
     pages = cat.result_pages(spark, standin(spark, sf).result_pages, SPEC.bronze_columns)
+    pages = cat.complete_pages(pages)
     regional = (F.col(SPEC.area_level) == SPEC.regional) & (F.col(SPEC.level) != SPEC.total)
     shown = (SPEC.period, SPEC.area_code, SPEC.level, SPEC.headline, SPEC.outcome)
     return cat.query_rows(pages, regional, shown)
 
 
+def paging_check(spark, sf):
+    """Problems of the result pages once some are lost and some landed twice."""
+    pages = cat.result_pages(spark, standin(spark, sf).result_pages, SPEC.bronze_columns)
+    number = F.col("paging.page")
+    landed = pages.filter(number % 7 != 3)
+    return cat.page_problems(landed.unionByName(landed.filter(number % 5 == 0)))
+
+
+def lines_page_problems(spark, sf):
+    """Orders as documents and their lines as pages: numbers that are missing or come again."""
+    number = F.col("l_linenumber").cast("int")
+    last = F.max(number).over(Window.partitionBy("l_orderkey"))
+    pages = table(spark, sf, "lineitem").select(
+        "l_orderkey", F.struct(number.alias("page"), last.alias("totalPages")).alias("paging")
+    )
+    return cat.page_problems(pages, ["l_orderkey"])
+
+
 def metadata_labels(spark, sf):
     return cat.metadata_labels(cat.read_metadata(spark, standin(spark, sf).metadata))
 
@@ -633,6 +653,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "version_history_json": version_history_json,
     "version_listing": version_listing,
     "query_pages": query_pages,
+    "paging_check": paging_check,
+    "lines_page_problems": lines_page_problems,
     "metadata_labels": metadata_labels,
     "version_decision": version_decision,
     "typed_measures": typed_measures,

@@ -494,6 +494,25 @@ ORACLE: dict[str, str] = {
       SELECT time_period, region_code, market_segment, start_count, achievement_count
       FROM bronze WHERE version = '2.0.2' AND complete AND geographic_level = 'Regional'
         AND market_segment <> 'Total'"""),
+    "paging_check": q(CELLS, """
+      SELECT CAST(p AS INTEGER) AS page, CASE WHEN p % 7 = 3 THEN 'missing' ELSE 'repeated' END AS problem,
+             CASE WHEN p % 7 = 3 THEN 0 ELSE 2 END::BIGINT AS copies
+      FROM (
+        SELECT unnest(range(1, count(*) + 1)) AS p FROM (
+          SELECT DISTINCT time_period, geographic_level, region_code, market_segment
+          FROM bronze WHERE version = '2.0.2' AND complete))
+      WHERE p % 7 = 3 OR p % 5 = 0"""),
+    "lines_page_problems": """
+      WITH seen AS (
+        SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem GROUP BY ALL
+      ), wanted AS (
+        SELECT l_orderkey, unnest(range(1, max(l_linenumber) + 1)) AS l_linenumber FROM lineitem GROUP BY 1
+      )
+      SELECT w.l_orderkey, CAST(w.l_linenumber AS INTEGER) AS page,
+             CASE WHEN s.copies IS NULL THEN 'missing' ELSE 'repeated' END AS problem,
+             coalesce(s.copies, 0) AS copies
+      FROM wanted w LEFT JOIN seen s USING (l_orderkey, l_linenumber)
+      WHERE s.copies IS NULL OR s.copies > 1""",
     "metadata_labels": q(TO_SILVER, " UNION ALL ".join([
         *[f"SELECT DISTINCT 'filter' AS kind, '{d}' AS \"of\", {d} AS id, {d} AS label FROM silver "
           "WHERE dataset_version = '2.0.2'" for d in DIMS],

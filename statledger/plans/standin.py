@@ -11,7 +11,7 @@ from datetime import date
 from functools import cached_property
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from statledger.functions import natural_key, per_mille
@@ -345,10 +345,17 @@ class Standin:
         newest = self.warehouse().bronze().filter(
             (F.col("version") == RELEASES[-1][0]) & (F.col("ingest_date") == RELEASES[-1][4])
         )
+        group = ("time_period", "geographic_level", "region_code", SPEC.level)
+        pages = newest.groupBy(*group).agg(F.collect_list(F.struct(*SPEC.bronze_columns)).alias("results"))
+        numbers = newest.select(*group).distinct()
+        total = numbers.count()
+        number = F.row_number().over(Window.orderBy(*group))  # one row per page, without its cells
+        paging = F.struct(number.alias("page"), F.lit(total).alias("totalPages")).alias("paging")
+        same = [F.col(f"p.{c}").eqNullSafe(F.col(f"n.{c}")) for c in group]
         (
-            newest.groupBy("time_period", "geographic_level", "region_code", SPEC.level)
-            .agg(F.collect_list(F.struct(*SPEC.bronze_columns)).alias("results"))
-            .select("results")
+            pages.alias("p")
+            .join(numbers.select(*group, paging).alias("n"), same)
+            .select("p.results", "n.paging")
             .write.mode("overwrite")
             .json(path)
         )

@@ -14,6 +14,7 @@ from statledger.operators.silver import to_silver, with_version
 from statledger.session import sized_shuffles, written
 from statledger.sources.bronze import DATA, read_bronze
 from statledger.sources.tables import (
+    claim_run,
     publications,
     publish_table,
     read_runs,
@@ -71,7 +72,8 @@ class Warehouse:
 
     def silver(self) -> DataFrame:
         """Typed rows, as far as the published history covers them."""
-        return read_table(self.spark, self.root, *SILVER, upto=self._newest_run())
+        runs = [e.run for e in publications(self.spark, self.root, *FACT)]
+        return read_table(self.spark, self.root, *SILVER, runs=runs)
 
     def fact(self) -> DataFrame:
         """All records of the history.
@@ -121,26 +123,28 @@ class Warehouse:
         gate(fact_report(stored, versions, self.spec), (*self.allowed, *first))
         return stored
 
-    def _next_run(self) -> int:
-        newest = self._newest_run()
-        return 0 if newest is None else newest + 1
+    def _claim(self, after: int) -> int:
+        return claim_run(self.spark, self.root, *FACT, after + 1)
 
     def _publish(
-        self, silver: DataFrame, fact: DataFrame, run: int, full: bool, label: str, newest: int
+        self, silver: DataFrame, fact: DataFrame, run: int, full: bool, label: str, newest: int, after: int
     ) -> None:
+        """Publish both tables of a run. Silver rows count once the history names their run."""
         publish_table(silver, self.root, *SILVER, run, full, label, newest)
-        publish_table(fact, self.root, *FACT, run, full, label, newest)
+        publish_table(fact, self.root, *FACT, run, full, label, newest, after)
 
     def build(self, label: str = "") -> None:
         """Rebuild everything from the landing layer."""
-        run = self._next_run()
+        newest_run = self._newest_run()
+        after = -1 if newest_run is None else newest_run
+        run = self._claim(after)
         with sized_shuffles(self.spark, f"{self.landing}/{DATA}"):
             silver = self._stage_silver(to_silver(self.bronze(), self.spec), run)
             loaded = silver.select(F.col("dataset_version").alias("version")).distinct()
             versions = self.versions.join(loaded, "version", "left_semi")
             fact = self._stage_fact(history(silver, versions, self.spec), versions, run)
             newest = versions.agg(F.max(SEQ)).first()[0]
-            self._publish(silver, fact, run, True, label, newest)
+            self._publish(silver, fact, run, True, label, newest, after)
 
     def extend(self, batch: DataFrame, label: str = "") -> bool:
         """Add newly landed versions, touching only each key's last record.
@@ -153,12 +157,13 @@ class Warehouse:
         if not entries:
             return False
         batch = written(batch, "arrived")
-        run, loaded = entries[0].run + 1, entries[0].newest_seq
+        after, loaded = entries[0].run, entries[0].newest_seq
         last = self._records(entries).filter("NOT is_superseded")
         arrived = self.versions.join(batch.select("version"), "version", "left_semi")
         oldest, newest = arrived.agg(F.min(SEQ), F.max(SEQ)).first()
         if loaded is None or oldest is None or oldest <= loaded:
             return False
+        run = self._claim(after)
         added = self._stage_silver(to_silver(batch, self.spec), run)
         records = advance_history(
             last,
@@ -169,5 +174,5 @@ class Warehouse:
             self.spec.carried,
         )
         fact = self._stage_fact(records, self.versions.filter(F.col(SEQ) <= newest), run)
-        self._publish(added, fact, run, False, label, newest)
+        self._publish(added, fact, run, False, label, newest, after)
         return True

@@ -69,12 +69,50 @@ def version_listing(history: DataFrame) -> DataFrame:
     )
 
 
+class IncompletePages(ValueError):
+    """Landed pages do not make up the whole document."""
+
+
+def page_problems(pages: DataFrame, document: Sequence[str] = ()) -> DataFrame:
+    """Pages that are missing, repeated or beyond the declared number, with the copies there are.
+
+    ``document`` names the columns that tell documents apart; without any, all pages are of one. The declared
+    number is the greatest that any page of a document states. A page without a number is ``unnumbered``.
+    """
+    keys = list(document)
+    seen = pages.groupBy(*keys, F.col("paging.page").alias("page")).agg(
+        F.count("*").alias("copies"), F.max("paging.totalPages").alias("declared")
+    )
+    totals = seen.groupBy(*keys).agg(F.max("declared").alias("total"))
+    # A document has some page, so a missing one is found by its number alone.
+    wanted = totals.where("total >= 1").select(
+        *keys, F.explode(F.sequence(F.lit(1), F.col("total"))).alias("page"), F.lit(True).alias("wanted")
+    )
+    problem = (
+        F.when(F.col("page").isNull(), "unnumbered")
+        .when(F.col("copies").isNull(), "missing")
+        .when(F.col("wanted").isNull(), "beyond")
+        .when(F.col("copies") > 1, "repeated")
+    )
+    found = seen.drop("declared").join(wanted, [*keys, "page"], "full_outer").withColumn("problem", problem)
+    copies = F.coalesce("copies", F.lit(0).cast("bigint")).alias("copies")
+    return found.where(F.col("problem").isNotNull()).select(*keys, "page", "problem", copies)
+
+
+def complete_pages(pages: DataFrame, document: Sequence[str] = ()) -> DataFrame:
+    """The pages themselves, if every document has each of its pages once."""
+    problems = page_problems(pages, document).orderBy(*document, "page").limit(5).collect()
+    if problems:
+        raise IncompletePages("; ".join(f"page {p['page']} {p['problem']}" for p in problems))
+    return pages
+
+
 def result_pages(
     spark: SparkSession, path: str, fields: Sequence[str], one_per_file: bool = False
 ) -> DataFrame:
     """Landed pages of query results, one JSON document per line or per file."""
     row = ", ".join(f"`{f}`: string" for f in fields)
-    schema = f"results array<struct<{row}>>"
+    schema = f"results array<struct<{row}>>, paging struct<page: int, totalPages: int>"
     return spark.read.schema(schema).option("multiLine", one_per_file).json(path)
 
 

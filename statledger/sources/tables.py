@@ -3,19 +3,24 @@
 A run is written below ``<root>/<layer>/<table>/run=<id>`` and becomes visible
 when a line naming it is appended to the table's publication log. A failed
 check leaves the earlier run in place, a lost executor leaves nothing half
-visible, and a replayed run overwrites only its own folder.
+visible, and no two loads get the same folder. A line that names the run it follows can be added
+only once, so of two loads that began with the same state one is published and the other is told.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from statledger.sources.commits import ConcurrentLoad, add_entry
+
 LAYERS = ("bronze", "silver", "gold")
 LOG_SCHEMA = (
     "run bigint, is_full boolean, label string, newest_seq bigint, table_schema string, "
@@ -34,6 +39,14 @@ def _log_path(root: str, layer: str, table: str) -> str:
     return f"{root}/publications/{layer}/{table}"
 
 
+def claim_run(spark: SparkSession, root: str, layer: str, table: str, least: int) -> int:
+    """A run number from ``least`` up that no other load has or gets."""
+    run = least
+    while not add_entry(spark, f"{root}/claims/{layer}/{table}", str(run), {}):
+        run += 1
+    return run
+
+
 def stage_table(
     df: DataFrame,
     root: str,
@@ -68,22 +81,26 @@ def publish_table(
     full: bool = True,
     label: str = "",
     newest_seq: int | None = None,
+    after: int | None = None,
 ) -> None:
     """Make a staged run visible: in place of all earlier ones, or added to them.
 
+    With ``after``, the run that the load began with, or -1, it fails if another run was published after that one.
+
     ``label`` says what was loaded, so that a repeated load can be recognised, and
     ``newest_seq`` up to which version, so that the next load need not look for it in the data.
     """
-    spark = stored.sparkSession
-    entry = spark.range(1).select(
-        F.lit(run).cast("bigint").alias("run"),
-        F.lit(full).alias("is_full"),
-        F.lit(label).alias("label"),
-        F.lit(newest_seq).cast("bigint").alias("newest_seq"),
-        F.lit(stored.schema.json()).alias("table_schema"),
-        F.current_timestamp().alias("published_at"),
-    )
-    entry.coalesce(1).write.mode("append").json(_log_path(root, layer, table))
+    entry = {
+        "run": run,
+        "is_full": full,
+        "label": label,
+        "newest_seq": newest_seq,
+        "table_schema": stored.schema.json(),
+        "published_at": datetime.now(timezone.utc).isoformat(),
+    }
+    name = f"run={run}-{uuid.uuid4().hex}" if after is None else f"after={after}"
+    if not add_entry(stored.sparkSession, _log_path(root, layer, table), name, entry):
+        raise ConcurrentLoad(f"{layer}.{table}: {name} is published already")
 
 
 def publications(spark: SparkSession, root: str, layer: str, table: str) -> list[Row]:
@@ -104,14 +121,14 @@ def read_table(
     root: str,
     layer: str,
     table: str,
-    upto: int | None = None,
+    runs: Sequence[int] | None = None,
 ) -> DataFrame:
     """A published table with its stored column types.
 
-    Reads the newest full run and those added since; ``upto`` leaves out later runs.
+    Reads the newest full run and those added since; ``runs`` leaves out all others.
     """
     log = publications(spark, root, layer, table)
-    entries = [e for e in log if upto is None or e.run <= upto]
+    entries = [e for e in log if runs is None or e.run in runs]
     return read_runs(spark, root, layer, table, entries).drop("run")
 
 

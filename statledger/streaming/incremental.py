@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 from statledger.plans.warehouse import Warehouse
 from statledger.sources.bronze import CSV, DATA, bronze_schema
 from statledger.sources.catalogue import EXTRACT, decide
+from statledger.sources.commits import ConcurrentLoad
+
+# How often a load starts again because others were published first.
+ATTEMPTS = 5
 
 Publish = Callable[[DataFrame, str], None]
 
@@ -41,6 +45,8 @@ def run_incremental(
         nonlocal batches
         # The id is stored in the checkpoint: a new checkpoint is a new query, whose batches are new.
         query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not query_id:
+            raise RuntimeError("the streaming query's id is unknown, so repeated batches could not be told")
         publish(batch, f"{query_id}#{number}")
         batches += 1
 
@@ -55,12 +61,23 @@ def run_incremental(
     return batches
 
 
+def _until_published(warehouse: Warehouse, label: str, load: Callable[[], None]) -> None:
+    """Run a load, from the new state if another one was published in between."""
+    for attempt in range(ATTEMPTS):
+        if warehouse.is_loaded(label):
+            return
+        try:
+            return load()
+        except ConcurrentLoad:
+            if attempt == ATTEMPTS - 1:
+                raise
+
+
 def rebuild(warehouse: Warehouse) -> Publish:
     """Rebuild from the whole landing layer, so the order of arrival does not matter."""
 
     def publish(batch: DataFrame, label: str) -> None:
-        if not warehouse.is_loaded(label):
-            warehouse.build(label)
+        _until_published(warehouse, label, lambda: warehouse.build(label))
 
     return publish
 
@@ -69,8 +86,7 @@ def extend_or_rebuild(warehouse: Warehouse) -> Publish:
     """Extend the history by newer versions; rebuild when an older one landed again."""
 
     def publish(batch: DataFrame, label: str) -> None:
-        if not warehouse.is_loaded(label) and not warehouse.extend(batch, label):
-            warehouse.build(label)
+        _until_published(warehouse, label, lambda: warehouse.extend(batch, label) or warehouse.build(label))
 
     return publish
 

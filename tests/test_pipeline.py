@@ -83,6 +83,29 @@ def test_unpublished_run_stays_invisible(spark, made, sf_dir):
     assert digest(target.silver()) == digest(whole)
 
 
+def test_two_loads_at_once_do_not_destroy_each_other(spark, made, sf_dir, monkeypatch):
+    target, _ = arriving(spark, made, sf_dir)
+    land(versions_upto(made, 2), target.landing)
+    target.build()
+    other = made.warehouse(target.root)
+    third = made.warehouse().bronze().filter("version = '1.0.2'")
+    fourth = made.warehouse().bronze().filter("version = '2.0'")
+    publish, overtaken = Warehouse._publish, []
+
+    def late(self, *args):
+        if self is target and not overtaken:
+            overtaken.append(True)
+            assert other.extend(third, "third")
+        return publish(self, *args)
+
+    monkeypatch.setattr(Warehouse, "_publish", late)
+    incremental.extend_or_rebuild(target)(fourth, "fourth")
+    assert overtaken and target.is_loaded("third") and target.is_loaded("fourth")
+    loaded = "dataset_version IN ('1.0','1.0.1','1.0.2','2.0')"
+    assert digest(target.silver()) == digest(made.tables.silver().filter(loaded))
+    assert target.fact().agg(F.max("valid_to_seq")).first()[0] == 4
+
+
 def test_landing_a_version_again_changes_nothing(spark, made, sf_dir):
     target, checkpoint = arriving(spark, made, sf_dir)
     land(made.warehouse().bronze(), target.landing)

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from statledger.sources import bronze, catalogue
+from statledger.sources.catalogue import IncompletePages, complete_pages, page_problems
 from statledger.sources.tables import publish_table, read_table, stage_table, table_path
 
 COLUMNS = ["place", "start_count"]
@@ -248,3 +249,28 @@ def test_layers_are_known():
     assert table_path("/r", "gold", "t") == "/r/gold/t"
     with pytest.raises(ValueError, match="layer"):
         table_path("/r", "platinum", "t")
+
+
+def pages_of(spark, rows):
+    schema = "doc string, results array<string>, paging struct<page: int, totalPages: int>"
+    return spark.createDataFrame([(d, [], (p, n)) for d, p, n in rows], schema)
+
+
+def test_missing_and_repeated_pages_are_found(spark):
+    whole = [("a", 1, 3), ("a", 2, 3), ("a", 3, 3), ("b", 1, 1)]
+    assert page_problems(pages_of(spark, whole), ["doc"]).isEmpty()
+    assert complete_pages(pages_of(spark, whole), ["doc"]).count() == 4
+    faulty = [("a", 1, 3), ("a", 3, 3), ("a", 3, 3), ("b", 1, 1), ("b", 2, 1), ("c", None, 2), ("d", 4, None)]
+    found = {tuple(r) for r in page_problems(pages_of(spark, faulty), ["doc"]).collect()}
+    assert found == {
+        ("a", 2, "missing", 0), ("a", 3, "repeated", 2), ("b", 2, "beyond", 1), ("c", None, "unnumbered", 1),
+        ("c", 1, "missing", 0), ("c", 2, "missing", 0), ("d", 4, "beyond", 1),
+    }
+    with pytest.raises(IncompletePages, match="page 2 missing"):
+        complete_pages(pages_of(spark, faulty), ["doc"])
+    assert page_problems(pages_of(spark, [])).isEmpty()
+
+
+def test_pages_of_one_document(spark):
+    found = page_problems(pages_of(spark, [("x", 1, 4), ("y", 2, 4), ("x", 4, 4), ("y", 4, 4)])).collect()
+    assert sorted((r["page"], r["problem"]) for r in found) == [(3, "missing"), (4, "repeated")]
