@@ -20,6 +20,7 @@ from statledger.operators.silver import to_silver, with_version
 from statledger.plans import lines as ln
 from statledger.plans.ledger import Ledger
 from statledger.plans.standin import LEVELS, RELEASES, SPEC, Standin, standin, table
+from statledger.plans.totals import RunningTotals
 from statledger.plans.warehouse import KEY, SEQ
 from statledger.plans.warehouse import history as build_history
 from statledger.session import scratch_path, written
@@ -270,17 +271,50 @@ def scd2_spliced(spark, sf):
     ).records()
 
 
-def spliced_ledger(rows, key, compare, carry, late, newest, **options) -> Ledger:
+def spliced_ledger(rows, key, compare, carry, late, newest, after_load=None, **options) -> Ledger:
     """A ledger loaded with all but two versions, then the newest one, then the late one."""
     kept = Ledger(
         rows.sparkSession, scratch_path(rows.sparkSession, "ledger"), key, SEQ, compare, carry, **options
     )
-    kept.load(rows.filter(~F.col(SEQ).isin(late, newest)))
-    for seq in (newest, late):
-        kept.load(rows.filter(F.col(SEQ) == seq))
+    first = ~F.col(SEQ).isin(late, newest)
+    for part in (first, F.col(SEQ) == newest, F.col(SEQ) == late):
+        kept.load(rows.filter(part))
+        if after_load:
+            after_load(kept)
     return kept
 
 
+def moved_totals(rows, key, compare, carry, group, measures, **options):
+    """Totals of a ledger's current records, refreshed after each of its three loads."""
+    totals = []
+
+    def refresh(kept):
+        if not totals:
+            totals.append(RunningTotals(kept, f"{kept.root}/totals", group, measures))
+        totals[0].refresh()
+
+    spliced_ledger(rows, key, compare, carry, after_load=refresh, **options)
+    return totals[0].totals()
+
+
+def running_totals(spark, sf):
+    """Counts by year, region, segment and depth, moved by what each release changed."""
+    made = standin(spark, sf)
+    rows = with_version(made.tables.silver(), made.versions())
+    group = ("academic_year_start", SPEC.area_level, SPEC.area_code, SPEC.level, "aggregation_depth")
+    return moved_totals(
+        rows, KEY, SPEC.compared, SPEC.carried, group, SPEC.counts, late=4, newest=6, extracted="ingested_date"
+    )
+
+
+def lines_running_totals(spark, sf):
+    """Quantities by return flag and line status over the current lines, moved load by load."""
+    rows = ln.typed(ln.latest(ln.register(spark, sf)))
+    return moved_totals(
+        rows, ln.KEY, ln.TYPED, ln.CARRY, ln.CARRY, ("quantity",), late=1995, newest=1998, version="version"
+    )
+
+
 def as_of_version(spark, sf):
     return history.as_of_version(fact_table(spark, sf), 3).select(
         "row_key", "valid_from_seq", "valid_to_seq", *SPEC.carried, *SPEC.compared
@@ -721,6 +755,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lines_measure_status": lines_measure_status,
     "lines_scd2": lines_scd2,
     "lines_scd2_extended": lines_scd2_extended,
+    "running_totals": running_totals,
+    "lines_running_totals": lines_running_totals,
     "lines_scd2_spliced": lines_scd2_spliced,
     "lines_as_of": lines_as_of,
     "lines_restatements": lines_restatements,

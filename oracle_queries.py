@@ -451,6 +451,20 @@ FACT_CHECKS = [
 
 HISTORY = scd2_ctes("base", ("row_key",), COMPARED, CARRIED, "dataset_version", "gapped", gap=True)
 
+def totals_sql(records, group, measures):
+    """Totals of the current records, NULL where nothing is published."""
+    shown = [
+        f"""CAST(SUM(CASE WHEN {m}_status = 'published' THEN {m} END) AS BIGINT) AS total_{m},
+        COUNT(*) FILTER (WHERE {m}_status <> 'published') AS {m}_withheld,
+        COUNT(*) FILTER (WHERE {m}_status <> 'published') / COUNT(*) AS {m}_withheld_share"""
+        for m in measures
+    ]
+    return (
+        f"SELECT {csv(group)}, COUNT(*) AS record_count, {', '.join(shown)} "
+        f"FROM {records} WHERE is_current GROUP BY {csv(group)}"
+    )
+
+
 ORACLE: dict[str, str] = {
     "bronze_scan": q(CELLS, f"""
       SELECT time_period, time_identifier, geographic_level, country_code, country_name, region_code,
@@ -818,6 +832,10 @@ versions AS (""", 1),
       FROM (SELECT version, {value(m, t)} AS {m}, {status(m)} AS {m}_status FROM register) GROUP BY ALL"""
       for m, t in LINE_MEASURES.items())),
     "lines_scd2": q(LINE_FACT, f"SELECT {LINE_COLUMNS} FROM line_fact"),
+    "running_totals": q(TO_FACT, totals_sql(
+        "fact", ("academic_year_start", "geographic_level", "region_code", "market_segment", "aggregation_depth"),
+        MEASURES[:3])),
+    "lines_running_totals": q(LINE_FACT, totals_sql("line_fact", LINE_CARRY, ("quantity",))),
     "lines_scd2_spliced": q(LINE_FACT, f"SELECT {LINE_COLUMNS} FROM line_fact"),
     "lines_scd2_extended": q(LINE_FACT, f"SELECT {LINE_COLUMNS} FROM line_fact"),
     "lines_as_of": q(LINE_FACT, f"""

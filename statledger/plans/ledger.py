@@ -246,7 +246,7 @@ class Ledger:
         buckets = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         state = before or {"buckets": buckets, "rows": {}, "sets": [], "newest_seq": None, "newest_version": None}
         schema = T.StructType([*rows.schema.fields, T.StructField("set_id", T.StringType())])
-        state = state | {"label": label, "row_schema": schema.jsonValue()}
+        state = state | {"label": label, "same_as": None, "row_schema": schema.jsonValue()}
         if not arrived:
             return state if before else None
         staged = state | {"rows": state["rows"] | self._stage_rows(state, rows, seqs)}
@@ -310,7 +310,7 @@ class Ledger:
         before = self._loaded()
         state = self._add_set(before, BASE, self._with_open_ends(before, self._records(before)))
         try:
-            return self._publish(state | {"label": ""}, before)
+            return self._publish(state | {"label": "", "same_as": before["number"]}, before)
         except ConcurrentLoad:
             return self._loaded()
 
