@@ -12,10 +12,11 @@ Two texts link when their sets of 5-word shingles have a Jaccard similarity of 0
    large a group of near copies is; rounds go on while they close buckets that would cost many comparisons.
 4. *Tiles.* Buckets that still hold several components are merged where they hold the same texts, and cut into tiles by size
    band and hash. Tiles of neighbouring bands are compared: places in the orders bound the overlap from above, and so
-   do two parity bitmaps, whose differing bits are at most the differing shingles. Out come the texts with a possible
-   partner, at most as many as went in, not the pairs.
-5. *Exact comparison.* These texts meet again tile by tile. Sorted arrays of shingle hashes are intersected for possible
-   pairs that are not joined yet, and a pair of tiles returns the links that join something: fewer than it has texts.
+   do two parity bitmaps, whose differing bits are at most the differing shingles. Out come the possible pairs that connect
+   texts, fewer than the tiles have texts. In buckets of a few texts the places alone decide.
+5. *Exact comparison.* Texts that possible pairs connect form a cluster, which is cut into tiles again and compared there, so that a
+   text is sent once and not for each bucket. Sorted arrays of shingle hashes are intersected for possible pairs that are not
+   joined yet, and a pair of tiles returns the links that join something, again fewer than it has texts.
 
 Pairs within a component are not all made, since only components and membership are returned; no link
 between components is lost.
@@ -37,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statledger.llm.arrays import Words, find_words, mix, pieces, runs
-from statledger.llm.columns import stored_rows, with_row
+from statledger.llm.columns import stored_rows
 from statledger.llm.components import components
 from statledger.llm.lookup import perhaps_in, without
 from statledger.session import written
@@ -53,8 +54,10 @@ COMMON = 4
 # Rows of a tile and of one run of comparisons with the same text.
 TILE = 256
 RUN = 256
+# Texts of a bucket whose pairs are made without bitmaps, at most this number squared and halved.
+FEW = 8
 # Another linking round follows while an open text has more possible partners than this, and the last round cut them by a fifth.
-PARTNERS = 16
+PARTNERS = 512
 # Parts a component's nodes are dealt to when its least id is looked up.
 SALTS = 32
 SIGNATURE_BITS = (64, 1 << 14)
@@ -145,9 +148,11 @@ def _folded(sig: bytes, size: int) -> np.ndarray:
 
 
 _FEATURES = (
-    "row bigint, doc_id bigint, n_shingles bigint, h1 bigint, h2 bigint, "
+    "row bigint, doc_id bigint, text_key bigint, text_bytes bigint, n_shingles bigint, h1 bigint, h2 bigint, "
     "prefix array<bigint>, signature binary"
 )
+# What tells a text that is read again, whatever the splits of that scan are.
+CONTENT = ("text_key", "text_bytes", "doc_id")
 
 
 def _features(shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,7 +168,7 @@ def _features(shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             yield pa.RecordBatch.from_arrays(
                 [
                     piece.column("row"),
-                    piece.column("doc_id"),
+                    *[piece.column(c) for c in ("doc_id", "text_key", "text_bytes")],
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(h1, pa.int64()),
                     pa.array(h2, pa.int64()),
@@ -172,7 +177,7 @@ def _features(shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
                     ),
                     pa.array([signature(s) for s in sets], pa.binary()),
                 ],
-                ["row", "doc_id", "n_shingles", "h1", "h2", "prefix", "signature"],
+                [c.split()[0] for c in _FEATURES.split(", ")],
             )
 
 
@@ -210,7 +215,34 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+def with_content(docs: DataFrame, row: str | None = None) -> DataFrame:
+    """doc_id and text with what tells the text, and a row number: the column ``row``, or one to be stored with the features.
+
+    Such a number depends on how a scan is split, so texts that are read again are found by content.
+    """
+    return docs.select(
+        "doc_id",
+        "text",
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"),
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("text_bytes"),
+        (F.col(row) if row else F.monotonically_increasing_id()).alias("row"),
+    )
+
+
+def with_texts(wanted: DataFrame, row: str, feats: DataFrame, rows: DataFrame) -> DataFrame:
+    """``wanted`` with the texts of the rows it names in ``row``; few other texts are shuffled."""
+    named = written(wanted.join(feats.select(F.col("row").alias(row), *CONTENT), row), "jaccard-wanted")
+    near = perhaps_in(rows.select(*CONTENT, "text"), "text_key", named.select("text_key").distinct())
+    same = named.select(*CONTENT).distinct()
+    match = [F.col(f"t.{c}").eqNullSafe(F.col(f"k.{c}")) for c in CONTENT]
+    texts = near.alias("t").join(same.alias("k"), match, "left_semi").dropDuplicates(list(CONTENT))
+    match = [F.col(f"t.{c}").eqNullSafe(F.col(f"w.{c}")) for c in CONTENT]
+    return texts.alias("t").join(named.hint("shuffle_hash").alias("w"), match).select(
+        *[f"w.{c}" for c in wanted.columns], "t.text"
+    )
+
+
+def verified(pairs: DataFrame, feats: DataFrame, rows: DataFrame) -> DataFrame:
     """The pairs ``(a, b)`` of row numbers whose texts link, by exact intersection.
 
     The texts to compare with one text are cut into runs of bounded length, each
@@ -229,10 +261,8 @@ def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
         F.col("a").alias("b"),
         F.lit(True).alias("main"),
     )
-    wanted = written(others.union(mains), "jaccard-compared")
-    texts = perhaps_in(rows.select("row", "text"), "row", wanted.select("b").distinct())
     dealt = (
-        texts.join(wanted.hint("shuffle_hash"), texts["row"] == wanted["b"])
+        with_texts(others.union(mains), "b", feats, rows)
         .select("a", "run", "b", "main", "text")
         .repartition("a", "run")
         .sortWithinPartitions("a", "run", F.desc("main"))
@@ -299,12 +329,31 @@ def _leader_pairs(open_rows: DataFrame, number: int) -> DataFrame:
     return best.select(F.least("row", "other").alias("a"), F.greatest("row", "other").alias("b")).distinct()
 
 
-def _tile_rows(open_rows: DataFrame, feats: DataFrame) -> DataFrame:
-    """Open entries with their signature, once for each pair of tiles to compare.
+def _few_pairs(open_rows: DataFrame) -> DataFrame:
+    """Pairs of small buckets that components, sizes and places leave possible."""
+    few = open_rows.where(F.col("size") <= FEW)
+    a, b = few.alias("a"), few.alias("b")
+    sizes = F.col("a.n_shingles") + F.col("b.n_shingles")
+    overlap = F.least(
+        F.col("a.n_shingles") - F.col("a.place"), F.col("b.n_shingles") - F.col("b.place")
+    )
+    possible = (
+        (F.col("a.token") == F.col("b.token"))
+        & (F.col("a.row") < F.col("b.row"))
+        & (F.col("a.component") != F.col("b.component"))
+        & (100 * overlap >= PERCENT * (sizes - overlap))
+    )
+    return a.join(b, possible).select(F.col("a.row").alias("a"), F.col("b.row").alias("b"))
 
-    Tiles are numbered by band and, in it, by a hash of the row. Bands that link are equal or next to each other.
+
+def _tiled(entries: DataFrame) -> DataFrame:
+    """Entries ``(token, row, n_shingles, component, place, size)``, once for each pair of tiles to compare.
+
+    Tiles are numbered by band and, in it, by a hash of the row. Bands that link are equal or next to each other. A bucket
+    that fits in a tile is one.
     """
-    entries = open_rows.withColumn("band", _band(F.col("n_shingles")))
+    whole = F.col("size") <= TILE
+    entries = entries.withColumn("band", F.when(whole, F.lit(0)).otherwise(_band(F.col("n_shingles"))))
     counts = entries.groupBy("token", "band").agg(F.count("*").alias("n"))
     tiles = F.ceil(F.col("n") / TILE)
     bands = counts.groupBy("token").agg(F.map_from_entries(F.collect_list(F.struct("band", tiles))).alias("tiles"))
@@ -321,17 +370,14 @@ def _tile_rows(open_rows: DataFrame, feats: DataFrame) -> DataFrame:
         "tile", number(F.col("band"), F.pmod(F.xxhash64("row"), F.col("tiles")[F.col("band")]))
     )
     paired = placed.withColumn("other", F.explode(F.concat(others(-1), others(0), others(1))))
-    return (
-        paired.withColumns({"x": F.least("tile", "other"), "y": F.greatest("tile", "other")})
-        .join(feats.select("row", "signature"), "row")
-        .repartition("token", "x", "y")
-        .sortWithinPartitions("token", "x", "y", "n_shingles", "row")
-        .select(*_TILE_COLUMNS, "signature")
-    )
+    return paired.withColumns({"x": F.least("tile", "other"), "y": F.greatest("tile", "other")}).select(*_TILE_COLUMNS)
+
+
+def _by_tiles(rows: DataFrame) -> DataFrame:
+    return rows.repartition("token", "x", "y").sortWithinPartitions("token", "x", "y", "n_shingles", "row")
 
 
 _TILE_COLUMNS = ("token", "x", "y", "tile", "row", "n_shingles", "component", "place")
-_POSSIBLE = ", ".join(f"{c} bigint" for c in _TILE_COLUMNS)
 
 
 class _TilePair:
@@ -370,13 +416,18 @@ class _TilePair:
             possible.append(same[100 * overlap >= PERCENT * (total - overlap)])
         return np.concatenate(possible) if possible else js
 
-    def with_partner(self) -> np.ndarray:
-        found = np.zeros(len(self.row), bool)
-        for i in range(len(found) - 1):
-            js = self.later(i)
-            found[js] = True
-            found[i] |= len(js) > 0
-        return found
+    def connecting(self) -> list[tuple[int, int]]:
+        """Possible pairs that connect the rows which possible pairs connect, fewer than rows."""
+        group, pairs = np.arange(len(self.row)), []
+        for i in range(len(group) - 1):
+            for j in self.later(i):
+                if group[i] != group[j]:
+                    pairs.append(self.pair(i, j))
+                    group[group == group[j]] = group[i]
+        return pairs
+
+    def pair(self, i: int, j: int) -> tuple[int, int]:
+        return int(min(self.row[i], self.row[j])), int(max(self.row[i], self.row[j]))
 
     def joining_links(self, sets: list[np.ndarray]) -> list[tuple[int, int]]:
         """Links that join components, fewer than rows: a pair that is joined by now is not compared."""
@@ -387,65 +438,58 @@ class _TilePair:
                     continue
                 inter = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
                 if _linked(inter, len(sets[i]), len(sets[j])):
-                    links.append((int(min(self.row[i], self.row[j])), int(max(self.row[i], self.row[j]))))
+                    links.append(self.pair(i, j))
                     self.component[self.component == self.component[j]] = self.component[i]
         return links
 
 
-def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of each pair of tiles that may have a partner there."""
-    held, key = [], None
+def _pair_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-    def kept() -> pa.RecordBatch:
-        has = _TilePair(held).with_partner() if len(held) > 1 else np.zeros(len(held), bool)
-        rows = [r for r, h in zip(held, has, strict=True) if h]
-        return pa.RecordBatch.from_arrays(
-            [pa.array([r[k] for r in rows], pa.int64()) for k in range(8)], list(_TILE_COLUMNS)
-        )
 
+def _connecting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Possible pairs of each pair of tiles, as far as they connect something."""
+    held, key = [], None
     for batch in batches:
         for row in zip(*[batch.column(n).to_pylist() for n in (*_TILE_COLUMNS, "signature")], strict=True):
             if row[:3] != key:
-                yield kept()
+                if len(held) > 1:
+                    yield _pair_batch(_TilePair(held).connecting())
                 held, key = [], row[:3]
             held.append(row)
-    yield kept()
+    yield _pair_batch(_TilePair(held).connecting() if len(held) > 1 else [])
 
 
 def _joining(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links of each pair of tiles, from rows with their texts."""
     held, sets, key = [], [], None
-
-    def found() -> pa.RecordBatch:
-        links = _TilePair(held).joining_links(sets) if len(held) > 1 else []
-        return pa.RecordBatch.from_arrays(
-            [pa.array([p[k] for p in links], pa.int64()) for k in (0, 1)], ["a", "b"]
-        )
-
     for batch in batches:
         for piece in pieces(batch):
             own = shingle_sets(find_words(piece.column("text"), lower=True))
             columns = [piece.column(n).to_pylist() for n in _TILE_COLUMNS]
             for s, *row in zip(own, *columns, strict=True):
                 if tuple(row[:3]) != key:
-                    yield found()
+                    if len(held) > 1:
+                        yield _pair_batch(_TilePair(held).joining_links(sets))
                     held, sets, key = [], [], tuple(row[:3])
                 held.append((*row, signature(s)))
                 sets.append(s)
-    yield found()
-
-
-def _tile_links(open_rows: DataFrame, feats: DataFrame, rows: DataFrame) -> DataFrame:
-    """Links between components that are still apart, by comparing tiles."""
-    possible = written(_tile_rows(open_rows, feats).mapInArrow(_possible, _POSSIBLE), "jaccard-possible")
-    texts = perhaps_in(rows.select("row", "text"), "row", possible.select("row").distinct())
-    return (
-        possible.join(texts, "row")
-        .repartition("token", "x", "y")
-        .sortWithinPartitions("token", "x", "y", "n_shingles", "row")
-        .select(*_TILE_COLUMNS, "text")
-        .mapInArrow(_joining, "a bigint, b bigint")
+    yield _pair_batch(_TilePair(held).joining_links(sets) if len(held) > 1 else [])
+
+
+def _late_links(open_rows: DataFrame, feats: DataFrame, rows: DataFrame) -> DataFrame:
+    """Links between components that are still apart."""
+    signed = _tiled(open_rows.where(F.col("size") > FEW)).join(feats.select("row", "signature"), "row")
+    connected = _by_tiles(signed).mapInArrow(_connecting, "a bigint, b bigint")
+    possible = written(connected.union(_few_pairs(open_rows)).distinct(), "jaccard-possible")
+    clusters = written(components(possible), "jaccard-clusters").select(
+        F.col("node").alias("row"), F.col("component").alias("token")
     )
+    sizes = clusters.groupBy("token").agg(F.count("*").alias("size"))
+    known = open_rows.groupBy("row").agg(F.first("n_shingles").alias("n_shingles"), F.first("component").alias("component"))
+    entries = clusters.join(sizes, "token").join(known, "row").withColumn("place", F.lit(0).cast("bigint"))
+    texts = with_texts(_tiled(entries), "row", feats, rows)
+    return _by_tiles(texts).mapInArrow(_joining, "a bigint, b bigint")
 
 
 def link_classes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -472,19 +516,19 @@ def link_classes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         .select("token", "row", "n_shingles", "place", "least")
     )
     buckets = written(buckets, "jaccard-buckets")
-    links = written(verified(_first_pairs(buckets), rows), "jaccard-links")
+    links = written(verified(_first_pairs(buckets), feats, rows), "jaccard-links")
     open_rows = _open_rows(buckets, written(components(links), "jaccard-found"))
     left, entries = _partners(open_rows)
     number = 0
     while left > PARTNERS * entries:
         number += 1
-        more = verified(_leader_pairs(open_rows, number), rows)
+        more = verified(_leader_pairs(open_rows, number), feats, rows)
         links = written(links.union(more), "jaccard-links")
         open_rows = _open_rows(buckets, written(components(links), "jaccard-found"))
         before, (left, entries) = left, _partners(open_rows)
         if left > 0.8 * before:
             break
-    links = links.union(_tile_links(open_rows, own, rows))
+    links = links.union(_late_links(open_rows, feats, rows))
     found = written(components(links), "jaccard-components")
     return feats.select("row", "doc_id", "n_shingles", "h1", "h2"), _with_least(reps, found)
 
@@ -518,7 +562,7 @@ def _with_least(reps: DataFrame, found: DataFrame) -> DataFrame:
 def with_components(rows: DataFrame) -> DataFrame:
     """``(row, doc_id, n_shingles, component, component_id)``; component_id is the least doc_id reached.
 
-    ``rows`` are stored texts with ``row``, a number of their own.
+    ``rows`` are texts as by ``with_content``.
     """
     feats, classes = link_classes(rows)
     joined = feats.join(classes, ["h1", "h2"], "left")
@@ -539,7 +583,7 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
     rows, row = stored_rows(docs, "jaccard-texts")
-    texts = rows.select("doc_id", "text", F.col(row).alias("row"))
+    texts = with_content(rows, row)
     joined = written(with_components(texts).select("row", "doc_id", "component"), "jaccard-rows")
     least = joined.groupBy("component").agg(F.min(order)["row"].alias("row"))
     dropped = written(joined.join(least, "row", "left_anti").select("row"), "jaccard-dropped")
@@ -547,5 +591,4 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
 
 
 def jaccard_report(docs: DataFrame) -> DataFrame:
-    rows = written(with_row(docs, "doc_id", "text"), "jaccard-texts")
-    return with_components(rows).select("doc_id", "n_shingles", "component_id")
+    return with_components(with_content(docs)).select("doc_id", "n_shingles", "component_id")

@@ -44,7 +44,7 @@ def counted(monkeypatch):
 def test_near_copies_make_few_rows(make_docs, counted):
     docs = make_docs(list(enumerate(near_copies(1, 900)))).repartition(5)
     assert {r[2] for r in found_components(docs)} == {0}
-    candidates = sum(counted[k] for k in ("jaccard-links", "jaccard-possible"))
+    candidates = sum(counted[k] for k in ("jaccard-links", "jaccard-possible", "jaccard-wanted"))
     assert candidates < 5 * 900
 
 
@@ -61,6 +61,7 @@ def test_groups_behind_a_text_that_only_shares_a_passage(make_docs, counted):
 def test_links_across_tiles_and_bands(make_docs, monkeypatch):
     """Chains of texts that grow by a few words, spread over many tiles."""
     monkeypatch.setattr(jaccard, "TILE", 4)
+    monkeypatch.setattr(jaccard, "FEW", 2)
     monkeypatch.setattr(jaccard, "PARTNERS", 1e9)
     passage = prose(3, 80).split()
     rows = []
