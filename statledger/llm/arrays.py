@@ -15,6 +15,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 PIECE_BYTES = 2 << 20
+# For steps that hold many times their piece: a worker's peak follows it, and workers stay for a minute after their stage.
+SMALL_PIECE = 1 << 19
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from statledger.llm.arrays import Words, find_words, mix, pieces, runs
+from statledger.llm.arrays import SMALL_PIECE, Words, find_words, mix, pieces, runs
 from statledger.llm.columns import stored_rows
 from statledger.llm.components import components
 from statledger.llm.lookup import perhaps_in, without
@@ -89,7 +89,7 @@ def _cells(hashes: np.ndarray) -> np.ndarray:
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(1 << CELL_BITS, np.uint32)
     for batch in batches:
-        for piece in pieces(batch):
+        for piece in pieces(batch, size=SMALL_PIECE):
             sets = shingle_sets(find_words(piece.column("text"), lower=True))
             counts += np.bincount(
                 _cells(np.concatenate(sets)).astype(np.int64), minlength=len(counts)
@@ -158,7 +158,7 @@ CONTENT = ("text_key", "text_bytes", "doc_id")
 def _features(shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     classes = shared.value
     for batch in batches:
-        for piece in pieces(batch):
+        for piece in pieces(batch, size=SMALL_PIECE):
             sets = shingle_sets(find_words(piece.column("text"), lower=True))
             with np.errstate(over="ignore"):
                 h1 = [int(np.sum(mix(s)).view(np.int64)) for s in sets]
@@ -198,7 +198,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (a, run), the text to compare with first; yields the linked pairs."""
     current, key = None, None
     for batch in batches:
-        for piece in pieces(batch):
+        for piece in pieces(batch, size=SMALL_PIECE):
             sets = shingle_sets(find_words(piece.column("text"), lower=True))
             first, second = [], []
             columns = [piece.column(n).to_pylist() for n in ("a", "run", "b", "main")]
@@ -464,7 +464,7 @@ def _joining(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links of each pair of tiles, from rows with their texts."""
     held, sets, key = [], [], None
     for batch in batches:
-        for piece in pieces(batch):
+        for piece in pieces(batch, size=SMALL_PIECE):
             own = shingle_sets(find_words(piece.column("text"), lower=True))
             columns = [piece.column(n).to_pylist() for n in _TILE_COLUMNS]
             for s, *row in zip(own, *columns, strict=True):

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statledger.llm.arrays import pieces, text_bytes
+from statledger.llm.arrays import SMALL_PIECE, pieces, text_bytes
 from statledger.llm.samples import TEXT_BYTES, drawn_rows, fold, gathered
 
 UNKNOWN = "und"
@@ -187,7 +187,7 @@ def train_language_model(docs: DataFrame, holdout: int | None = 1) -> LanguageMo
 def _predict(shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     model = LanguageModel(*shared.value)
     for batch in batches:
-        for piece in pieces(batch):
+        for piece in pieces(batch, size=SMALL_PIECE):
             names, score, rejected = model.predict(piece.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [piece.column("doc_id"), pa.array(names), pa.array(score), pa.array(rejected)],
@@ -210,7 +210,7 @@ def language_report(docs: DataFrame) -> DataFrame:
 def _keep(shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     model = LanguageModel(*shared.value)
     for batch in batches:
-        for piece in pieces(batch):
+        for piece in pieces(batch, size=SMALL_PIECE):
             rejected = model.predict(piece.column("text"))[2]
             yield piece.filter(pa.array(~rejected))
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statledger.llm.arrays import find_words, pieces, runs
+from statledger.llm.arrays import SMALL_PIECE, find_words, pieces, runs
 from statledger.llm.columns import fresh_name, stored_rows, with_row
 from statledger.llm.lookup import bitmap, marked, perhaps_in, without
 from statledger.llm.spans import PII_KINDS, count_kind, pii_spans, span_text
@@ -95,7 +95,7 @@ def _candidates(text: str, spans: list) -> list[tuple[int, int]]:
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for piece in pieces(batch):
+        for piece in pieces(batch, size=SMALL_PIECE):
             spans, mentions = [], []
             for text in piece.column("text").to_pylist():
                 text = text or ""
@@ -149,7 +149,7 @@ def _with_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _count(marks: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Occurrences of words and word pairs whose hash has its mark, summed per piece."""
     for batch in batches:
-        for piece in pieces(batch):
+        for piece in pieces(batch, size=SMALL_PIECE):
             words = find_words(piece.column("text"), lower=True)
             keys = np.concatenate([words.hash, runs(words, 2)[0]])
             keys, counts = np.unique(keys[marked(marks, keys)], return_counts=True)
@@ -238,7 +238,7 @@ def pii_report(docs: DataFrame) -> DataFrame:
 def _mask(names: list[str], spans: str, batches) -> Iterator[pa.RecordBatch]:
     """Batches with the columns ``names``, texts masked at the spans in the column ``spans``."""
     for batch in batches:
-        for piece in pieces(batch):
+        for piece in pieces(batch, size=SMALL_PIECE):
             found = piece.column(spans).to_pylist()
             texts = piece.column("text").to_pylist()
             masked = [mask_all(t or "", s) for t, s in zip(texts, found, strict=True)]
