@@ -51,8 +51,8 @@ CELL_BITS = 20
 BLOCK_BITS = 14
 # Shingles estimated at less than this many times the mean cell are alike in order.
 COMMON = 4
-# Rows of a tile and of one run of comparisons with the same text.
-TILE = 256
+# Rows of a tile, whose pairs of tiles each send a row again, and of one run of comparisons with the same text.
+TILE = 1024
 RUN = 256
 # Texts of a bucket whose pairs are made without bitmaps, at most this number squared and halved.
 FEW = 8
