@@ -2,7 +2,7 @@
 
 import pytest
 
-from statledger.llm import decontaminate, jaccard, language, mixing, pii, samples
+from statledger.llm import decontaminate, jaccard, mixing, pii, samples
 
 SPLITS = "spark.sql.leafNodeDefaultParallelism"
 
@@ -29,13 +29,12 @@ def listed(df):
     [
         lambda docs, benchmark: jaccard.jaccard_report(docs),
         lambda docs, benchmark: jaccard.keep_one_of_each(docs),
-        lambda docs, benchmark: mixing.mix_report(docs),
         lambda docs, benchmark: mixing.mixed_documents(docs),
         lambda docs, benchmark: pii.mask_pii(docs),
         decontaminate.decontamination_report,
         decontaminate.drop_contaminated,
     ],
-    ids=["jaccard", "one_of_each", "mix", "mixed_texts", "masked", "contaminated", "decontaminated"],
+    ids=["jaccard", "one_of_each", "mixed_texts", "masked", "contaminated", "decontaminated"],
 )
 def test_rows_hold_when_splits_change(ready, split_docs, operator):
     docs, benchmark = split_docs
