@@ -35,7 +35,7 @@ def of(rows, *seqs):
     return [r for r in rows if r[1] in seqs]
 
 
-@pytest.mark.parametrize(("seed", "break_on_gap"), [(1, False), (2, False), (3, False), (4, True)])
+@pytest.mark.parametrize(("seed", "break_on_gap"), [(1, False), (4, True)])
 def test_any_order_of_arrival_equals_a_full_build(spark, seed, break_on_gap):
     rows = random_rows(seed, keys=40)
     order = list(NAMES)[:5]

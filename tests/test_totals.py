@@ -22,8 +22,8 @@ def named(rows, seed):
     return [(*r[:4], rng.choice(["north", "south", "gone" if r[1] < 3 else "west"]), *r[5:]) for r in rows]
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_totals_after_each_of_six_loads(spark, monkeypatch, seed):
+def test_totals_after_each_of_six_loads(spark, monkeypatch):
+    seed = 1
     monkeypatch.setattr(module, "MERGE_SHARE", 1.2)
     rows = named(random_rows(seed, keys=40), seed)
     order = list(NAMES)
