@@ -51,11 +51,13 @@ def item_shingles(benchmark: DataFrame) -> DataFrame:
     return every.withColumn("sampled", rank <= length).drop("items")
 
 
-def contaminated(texts: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``(row, doc_id, item_id, n_item, n_shared)`` of every contaminated row and item.
+def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``(row, doc_id, item_id, n_item, n_shared)`` of every contaminated row and item."""
+    return contaminated_rows(written(with_row(docs, "doc_id", "text"), "benchmark-texts"), benchmark)
 
-    ``texts`` are stored, with ``row``, a number of their own.
-    """
+
+def contaminated_rows(texts: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The same for texts that are stored with ``row``, a number of their own."""
     items = written(item_shingles(benchmark), "benchmark-shingles")
     signatures = written(items.where("sampled").select("item_id", "shingle"), "benchmark-signatures")
 
@@ -91,15 +93,14 @@ def contaminated(texts: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def decontamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    texts = written(with_row(docs, "doc_id", "text"), "benchmark-texts")
-    return contaminated(texts, benchmark).select("doc_id", "item_id", "n_item", "n_shared")
+    return contaminated(docs, benchmark).select("doc_id", "item_id", "n_item", "n_shared")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that no item contaminates, all columns unchanged."""
     rows, row = stored_rows(docs, "benchmark-texts")
     texts = rows.select("doc_id", "text", F.col(row).alias("row"))
-    found = written(contaminated(texts, benchmark).select("row").distinct(), "benchmark-found")
+    found = written(contaminated_rows(texts, benchmark).select("row").distinct(), "benchmark-found")
     return rows.join(found.toDF(row), row, "left_anti").drop(row).select(*docs.columns)
 
 

@@ -40,8 +40,12 @@ WORD_TEXT = f"(?:\\A{SPACE})?{WORD}+(?:{SPACE})?"
 BLOCK_TEXT = f"(?:\\A{SPACE})?{WORD}+(?:{SPACE}+{WORD}+){{0,{BLOCK - 1}}}+(?:{SPACE})?"
 
 
-def sizes(rows: DataFrame) -> DataFrame:
+def sizes(docs: DataFrame) -> DataFrame:
     """``(row, doc_id, source, size)`` of every row; stored, so that row numbers stay."""
+    return _sized(with_row(docs, "doc_id", "source", "text"))
+
+
+def _sized(rows: DataFrame) -> DataFrame:
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     return written(rows.select("doc_id", "source", size.alias("size"), "row"), "mix-sizes")
 
@@ -211,12 +215,16 @@ def chosen_blocks(rows: DataFrame, targets: DataFrame) -> DataFrame:
     )
 
 
-def mix_sources(rows: DataFrame) -> DataFrame:
-    """``(row, doc_id, size, source_size, target, taken, blocks)`` of every row, ``row`` being its number.
+def mix_sources(docs: DataFrame) -> DataFrame:
+    """``(row, doc_id, size, source_size, target, taken, blocks)`` of every row.
 
     ``blocks`` has ``(block, times, extra)`` of each block taken, in order; ``taken`` is the sum of their words.
     """
-    rows = sizes(rows)
+    return _mixed(sizes(docs))
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    """:func:`mix_sources` for rows whose sizes are stored."""
     targets = source_targets(rows)
     known = targets.select(F.col("source").alias("s"), "source_size", "target")
     taken = (
@@ -274,7 +282,8 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     """
     rows, row = stored_rows(docs, "mix-texts")
     blocks = fresh_name(rows, "blocks")
-    taken = mix_sources(rows.select("doc_id", "source", "text", F.col(row).alias("row"))).where("taken > 0")
+    sized = _sized(rows.select("doc_id", "source", "text", F.col(row).alias("row")))
+    taken = _mixed(sized).where("taken > 0")
     wanted = taken.select(
         F.col("row").alias(row),
         F.col("blocks").alias(blocks),
@@ -293,4 +302,4 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
 def mix_report(docs: DataFrame) -> DataFrame:
     """:func:`mix_sources` without row numbers; ``blocks`` as ``block:times:extra``, by commas."""
     listed = F.transform("blocks", lambda b: F.concat_ws(":", b["block"], b["times"], b["extra"]))
-    return mix_sources(with_row(docs, "doc_id", "source", "text")).drop("row").withColumn("blocks", F.array_join(listed, ","))
+    return mix_sources(docs).drop("row").withColumn("blocks", F.array_join(listed, ","))

@@ -202,7 +202,12 @@ def _confidence(scored: DataFrame) -> DataFrame:
     )
 
 
-def find_pii(rows: DataFrame) -> DataFrame:
+def find_pii(docs: DataFrame) -> DataFrame:
+    """``(row, doc_id, spans)`` of every row, with a number that is stored."""
+    return find_in_rows(with_row(docs, "doc_id", "text"))
+
+
+def find_in_rows(rows: DataFrame) -> DataFrame:
     """``(row, doc_id, spans)`` of texts with ``row``, a number of their own; spans hold (start, kind number, end), discovered ones included."""
     read = read_mentions(rows)
     trusted = score_patterns(rows, read).where(F.col("confidence") >= MIN_CONFIDENCE)
@@ -226,7 +231,7 @@ def find_pii(rows: DataFrame) -> DataFrame:
 def pii_report(docs: DataFrame) -> DataFrame:
     """Digest columns of every row."""
     base = F.filter("spans", lambda s: s["kind"] < BASE_KINDS)
-    return find_pii(with_row(docs, "doc_id", "text")).select(
+    return find_pii(docs).select(
         "doc_id",
         *[count_kind(F.col("spans"), k).alias(f"n_{PII_KINDS[k]}") for k in range(BASE_KINDS)],
         F.sha2(span_text(base, PII_KINDS), 256).alias("base_sha256"),
@@ -257,7 +262,7 @@ def mask_pii(docs: DataFrame) -> DataFrame:
     """
     rows, row = stored_rows(docs, "pii-texts")
     hit, spans = fresh_name(rows, "hit"), fresh_name(rows, "spans")
-    found = find_pii(rows.select("doc_id", "text", F.col(row).alias("row")))
+    found = find_in_rows(rows.select("doc_id", "text", F.col(row).alias("row")))
     hits = written(found.where(F.size("spans") > 0).select("row", "spans"), "pii-hits").toDF(hit, spans)
     keys = hits.select(hit)
     near = perhaps_in(rows, row, keys).join(hits, F.col(row) == F.col(hit))
