@@ -148,11 +148,11 @@ def _folded(sig: bytes, size: int) -> np.ndarray:
 
 
 _FEATURES = (
-    "row bigint, doc_id bigint, text_key bigint, text_bytes bigint, n_shingles bigint, h1 bigint, h2 bigint, "
+    "row bigint, doc_id bigint, text_key bigint, text_bytes bigint, id_key bigint, n_shingles bigint, h1 bigint, h2 bigint, "
     "prefix array<bigint>, signature binary"
 )
 # What tells a text that is read again, whatever the splits of that scan are.
-CONTENT = ("text_key", "text_bytes", "doc_id")
+CONTENT = ("text_key", "text_bytes", "id_key")
 
 
 def _features(shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,7 +168,7 @@ def _features(shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             yield pa.RecordBatch.from_arrays(
                 [
                     piece.column("row"),
-                    *[piece.column(c) for c in ("doc_id", "text_key", "text_bytes")],
+                    *[piece.column(c) for c in ("doc_id", *CONTENT)],
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(h1, pa.int64()),
                     pa.array(h2, pa.int64()),
@@ -225,6 +225,7 @@ def with_content(docs: DataFrame, row: str | None = None) -> DataFrame:
         "text",
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"),
         F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("text_bytes"),
+        F.xxhash64("doc_id").alias("id_key"),  # of a null id too, so that plain equality finds it
         (F.col(row) if row else F.monotonically_increasing_id()).alias("row"),
     )
 
@@ -233,13 +234,9 @@ def with_texts(wanted: DataFrame, row: str, feats: DataFrame, rows: DataFrame) -
     """``wanted`` with the texts of the rows it names in ``row``; few other texts are shuffled."""
     named = written(wanted.join(feats.select(F.col("row").alias(row), *CONTENT), row), "jaccard-wanted")
     near = perhaps_in(rows.select(*CONTENT, "text"), "text_key", named.select("text_key").distinct())
-    same = named.select(*CONTENT).distinct()
-    match = [F.col(f"t.{c}").eqNullSafe(F.col(f"k.{c}")) for c in CONTENT]
-    texts = near.alias("t").join(same.alias("k"), match, "left_semi").dropDuplicates(list(CONTENT))
-    match = [F.col(f"t.{c}").eqNullSafe(F.col(f"w.{c}")) for c in CONTENT]
-    return texts.alias("t").join(named.hint("shuffle_hash").alias("w"), match).select(
-        *[f"w.{c}" for c in wanted.columns], "t.text"
-    )
+    # Equal rows count once. The join finds the texts dealt as the grouping leaves them.
+    texts = near.groupBy(*CONTENT).agg(F.first("text").alias("text"))
+    return texts.join(named.hint("shuffle_hash"), list(CONTENT)).select(*wanted.columns, "text")
 
 
 def verified(pairs: DataFrame, feats: DataFrame, rows: DataFrame) -> DataFrame:
