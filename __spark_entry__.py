@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from oracle_queries import ORACLE
 from statledger.functions import academic_year
-from statledger.operators import clusters, dims, history, marts, profile, quality
+from statledger.operators import clusters, dims, history, lattice, marts, profile, quality
 from statledger.operators.dedupe import latest_extraction
 from statledger.operators.forecast import drift_forecast, fill_steps, holdout_check
 from statledger.operators.silver import to_silver, with_version
@@ -371,6 +371,38 @@ def reconciliation(spark, sf):
     return profile.reconcile(last_records(spark, sf), SPEC)
 
 
+AREA_YEAR = ("academic_year_start", SPEC.area_level, SPEC.area_code)
+# A withheld count has at most five lines behind it, of at most 50 pieces each.
+STARTS = {"value": SPEC.headline, "status": SPEC.headline_status, "ceilings": {"suppressed_low": 250}}
+PIECES = {"value": "pieces", "status": "pieces_status", "ceilings": ln.CUBE_CEILINGS}
+
+
+def lattice_reconciliation(spark, sf):
+    """Every published subtotal of the current records against its detail."""
+    current = last_records(spark, sf).where("is_current")
+    return lattice.reconcile_lattice(current, SPEC.dims, AREA_YEAR, **STARTS)
+
+
+def withheld_bounds(spark, sf):
+    """What subtraction tells about every withheld count of the current records."""
+    current = last_records(spark, sf).where("is_current")
+    return lattice.withheld_bounds(current, SPEC.dims, AREA_YEAR, **STARTS)
+
+
+def disclosure_by_area(spark, sf):
+    return lattice.disclosure_report(withheld_bounds(spark, sf), AREA_YEAR)
+
+
+def lines_lattice(spark, sf):
+    cells = ln.supplier_cube(spark, sf)
+    return lattice.reconcile_lattice(cells, ln.CUBE_DIMS, ln.CUBE_BY, **PIECES)
+
+
+def lines_withheld_bounds(spark, sf):
+    cells = ln.supplier_cube(spark, sf)
+    return lattice.withheld_bounds(cells, ln.CUBE_DIMS, ln.CUBE_BY, **PIECES)
+
+
 # -- marts -----------------------------------------------------------------------
 
 
@@ -711,6 +743,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "marker_profile": marker_profile,
     "rounding_check": rounding_check,
     "reconciliation": reconciliation,
+    "lattice_reconciliation": lattice_reconciliation,
+    "withheld_bounds": withheld_bounds,
+    "disclosure_by_area": disclosure_by_area,
+    "lines_lattice": lines_lattice,
+    "lines_withheld_bounds": lines_withheld_bounds,
     "regional_trends": regional_trends,
     "level_shift": level_shift,
     "pipeline_health": pipeline_health,

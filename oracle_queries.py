@@ -397,6 +397,86 @@ scored AS (
   FROM latest WHERE version = '2.0.2' AND time_period = '200001' AND geographic_level = 'National')"""
 
 
+CURRENT = "current_cells AS (SELECT * FROM fact WHERE is_current)"
+AREA_YEAR = ("academic_year_start", "geographic_level", "region_code")
+CUBE_DIMS = ("l_returnflag", "l_linestatus", "discount_band")
+SUPPLIER_CUBE = f"""
+pieces_cube AS (
+  SELECT l_suppkey, {csv(CUBE_DIMS, "COALESCE({0}, 'Total') AS {0}")}, COUNT(*) AS lines,
+         CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS starts
+  FROM (SELECT *, CAST(CAST(round(l_discount * 100) AS BIGINT) AS VARCHAR) AS discount_band FROM lineitem)
+  GROUP BY l_suppkey, CUBE ({csv(CUBE_DIMS)})),
+supplier_cube AS (
+  SELECT l_suppkey, {csv(CUBE_DIMS)}, CASE WHEN lines >= 6 THEN (starts + 5) // 10 * 10 END AS pieces,
+         CASE WHEN lines < 6 THEN 'suppressed_low' ELSE 'published' END AS pieces_status
+  FROM pieces_cube)"""
+
+
+def limits(source, by, dims, measure) -> str:
+    """Cells with the least and greatest count they can stand for."""
+    return f"""
+limits AS MATERIALIZED (
+  SELECT {csv((*by, *dims))}, {measure} AS n, {measure}_status AS status,
+         CAST(CASE WHEN {measure} > 5 THEN {measure} - 5 ELSE 0 END AS BIGINT) AS least,
+         CAST(CASE WHEN {measure} IS NOT NULL THEN {measure} + 5
+                   WHEN {measure}_status = 'suppressed_low' THEN 250 END AS BIGINT) AS most
+  FROM {source})"""
+
+
+def same(a, b, names) -> str:
+    return " AND ".join(f"{a}.{n} IS NOT DISTINCT FROM {b}.{n}" for n in names)
+
+
+def lattice_sql(ctes, source, by, dims, measure) -> str:
+    detail = " AND ".join(f"{d} <> 'Total'" for d in dims)
+    return q(f"""{ctes},{limits(source, by, dims, measure)},
+sums AS (
+  SELECT {csv(by)}, {csv(dims, "COALESCE({0}, 'Total') AS {0}")}, COUNT(*) AS cells, COUNT(*) - COUNT(n) AS hidden,
+         SUM(n) AS total, SUM(least) AS lo, SUM(most) AS hi, COUNT(*) - COUNT(most) AS boundless
+  FROM limits WHERE {detail} GROUP BY {csv(by)}, CUBE ({csv(dims)})),
+held AS (
+  SELECT {csv((*by, *dims), "p.{0}")}, p.n AS published, COALESCE(cells, 0) AS detail_cells,
+         COALESCE(hidden, 0) AS withheld_cells, CAST(COALESCE(total, 0) AS BIGINT) AS detail_sum,
+         CAST(COALESCE(lo, 0) AS BIGINT) AS least,
+         CAST(CASE WHEN COALESCE(boundless, 0) = 0 THEN COALESCE(hi, 0) END AS BIGINT) AS most
+  FROM limits p LEFT JOIN sums s ON {same("p", "s", (*by, *dims))}
+  WHERE p.n IS NOT NULL AND NOT ({csv(dims, "p.{0} <> 'Total'").replace(",", " AND ")}))""", """
+SELECT *, CASE WHEN published - 5 > most THEN 'above detail' WHEN published + 5 < least THEN 'below detail'
+               ELSE 'holds' END AS verdict FROM held""")
+
+
+def bounds_ctes(ctes, source, by, dims, measure, rounds=2) -> str:
+    """Bounds of withheld cells; each step joins the cells with the sums of their lines."""
+    steps = [f"{ctes},{limits(source, by, dims, measure)},\ns0 AS MATERIALIZED (SELECT *, least AS least0, most AS most0 FROM limits)"]
+    for k, d in enumerate(list(dims) * rounds):
+        line = [*by, *[x for x in dims if x != d]]
+        steps.append(f"""
+l{k} AS MATERIALIZED (
+  SELECT {csv(line)}, MAX(least) FILTER ({d} = 'Total') AS tl, MAX(most) FILTER ({d} = 'Total') AS th,
+         COALESCE(SUM(least) FILTER ({d} <> 'Total'), 0) AS lo, COALESCE(SUM(most) FILTER ({d} <> 'Total'), 0) AS hi,
+         COUNT(*) FILTER ({d} <> 'Total' AND most IS NULL) AS free
+  FROM s{k} GROUP BY ALL),
+s{k + 1} AS MATERIALIZED (
+  SELECT s.* REPLACE (
+    CAST(CASE WHEN tl IS NULL OR COALESCE(th < lo, FALSE) OR free = 0 AND hi < tl THEN least
+              WHEN {d} = 'Total' THEN CASE WHEN lo > least THEN lo ELSE least END
+              WHEN free = 0 AND tl - (hi - most) > least THEN tl - (hi - most)
+              WHEN free = 1 AND most IS NULL AND tl - hi > least THEN tl - hi
+              ELSE least END AS BIGINT) AS least,
+    CAST(CASE WHEN tl IS NULL OR COALESCE(th < lo, FALSE) OR free = 0 AND hi < tl THEN most
+              WHEN {d} = 'Total' THEN CASE WHEN free = 0 AND (most IS NULL OR hi < most) THEN hi ELSE most END
+              WHEN most IS NULL OR th - lo + least < most THEN th - lo + least
+              ELSE most END AS BIGINT) AS most)
+  FROM s{k} s JOIN l{k} l ON {same("s", "l", line)})""")
+    last = len(dims) * rounds
+    steps.append(f"""
+bounds AS (
+  SELECT {csv((*by, *dims))}, status, least, most, least > least0 OR most IS DISTINCT FROM most0 AS narrowed,
+         COALESCE(most - least <= 10, FALSE) AS revealed
+  FROM s{last} WHERE status IS DISTINCT FROM 'published')""")
+    return ",".join(steps)
+
+
 def union_counts(rows) -> str:
     """One row per check: its name and a count query over its failing rows."""
     return " UNION ALL ".join(
@@ -606,6 +686,17 @@ versions AS (""", 1),
              COUNT(*) FILTER ({m} % 10 = 0) AS rounded_values, MIN({m}) AS min_value,
              COUNT({m}) = COUNT(*) FILTER ({m} % 10 = 0) AS all_rounded FROM silver""" for m in COUNTS)),
     "reconciliation": q(TO_FACT, f"SELECT *, rel_error <= 0.001 AS within_tolerance FROM ({SIDES})"),
+    "lattice_reconciliation": lattice_sql(f"{TO_FACT},{CURRENT}", "current_cells", AREA_YEAR, DIMS, "start_count"),
+    "withheld_bounds": q(
+        bounds_ctes(f"{TO_FACT},{CURRENT}", "current_cells", AREA_YEAR, DIMS, "start_count"), "SELECT * FROM bounds"),
+    "disclosure_by_area": q(
+        bounds_ctes(f"{TO_FACT},{CURRENT}", "current_cells", AREA_YEAR, DIMS, "start_count"), f"""
+      SELECT {csv(AREA_YEAR)}, COUNT(*) AS withheld_cells, COUNT(*) FILTER (narrowed) AS narrowed_cells,
+             COUNT(*) FILTER (revealed) AS revealed_cells
+      FROM bounds GROUP BY ALL"""),
+    "lines_lattice": lattice_sql(SUPPLIER_CUBE, "supplier_cube", ("l_suppkey",), CUBE_DIMS, "pieces"),
+    "lines_withheld_bounds": q(
+        bounds_ctes(SUPPLIER_CUBE, "supplier_cube", ("l_suppkey",), CUBE_DIMS, "pieces"), "SELECT * FROM bounds"),
     "regional_trends": q(TO_TRENDS, "SELECT * FROM trends"),
     "level_shift": q(f"""{TO_FACT},
       leveled AS (

@@ -21,6 +21,11 @@ MEASURES = {"quantity": "bigint", "discount_percent": "double", "tax_percent": "
 TYPED = (*MEASURES, *[f"{m}_status" for m in MEASURES])
 CARRY = ("l_returnflag", "l_linestatus")
 SEQ = "version_seq"
+# The figures published per supplier: their dimensions, and how few lines, of at most 50 pieces each, are withheld.
+CUBE_BY = ("l_suppkey",)
+CUBE_DIMS = ("l_returnflag", "l_linestatus", "discount_band")
+FEW_LINES = 6
+CUBE_CEILINGS = {"suppressed_low": 50 * (FEW_LINES - 1)}
 REFORMATTED_SINCE = 1998
 
 
@@ -93,6 +98,33 @@ def full_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_history(typed(latest(lines.repartition(*KEY))), lines)
 
 
+def supplier_cube(spark: SparkSession, sf_dir: str, total: str = "Total") -> DataFrame:
+    """Pieces per supplier and three dimensions with all subtotals, rounded to 10, few lines withheld.
+
+    Lines are added up at the finest grain first, so that the subtotals are made of cells.
+    """
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    discount = F.round(F.col("l_discount") * 100).cast("bigint").cast("string")
+    fine = (
+        lines.withColumn("discount_band", discount)
+        .select(*CUBE_BY, *[F.coalesce(d, F.lit("unknown")).alias(d) for d in CUBE_DIMS], "l_quantity")
+        .groupBy(*CUBE_BY, *CUBE_DIMS)
+        .agg(F.count("*").alias("lines"), F.sum(F.col("l_quantity").cast("bigint")).alias("pieces"))
+    )
+    kept = [[d for k, d in enumerate(CUBE_DIMS) if not up >> k & 1] for up in range(1 << len(CUBE_DIMS))]
+    sets = [[F.col(c) for c in (*CUBE_BY, *dims)] for dims in kept]
+    cells = fine.groupingSets(sets, *CUBE_BY, *CUBE_DIMS).agg(
+        F.sum("lines").alias("lines"), F.sum("pieces").alias("pieces")
+    )
+    low = F.col("lines") < FEW_LINES
+    return cells.select(
+        *CUBE_BY,
+        *[F.coalesce(d, F.lit(total)).alias(d) for d in CUBE_DIMS],
+        F.when(~low, F.expr("(pieces + 5) DIV 10 * 10")).alias("pieces"),
+        F.when(low, "suppressed_low").otherwise("published").alias("pieces_status"),
+    )
+
+
 _PUBLISHED: dict[tuple[str, str], DataFrame] = {}
 
 
