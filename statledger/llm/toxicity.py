@@ -1,11 +1,14 @@
-"""Toxicity by weighted words of a lexicon, with factors by their distance in a clause.
+"""Toxicity by a weighted finite-state grammar over the clauses of a text.
 
 Each word gets a class with a weight: insult, threat, target, negation, reported speech or none. The
-lexicon is a short fixed list and, for insults, words and word stems learned from labelled rows. An insult
-keeps its weight alone, gains when a target stands near it, loses when a negation stands shortly before it or the
-clause reports what someone said; a threat counts only with a target after it. There are no states or transitions: a
-clause matches once it has any score. A logistic function of the clause scores, fitted on the same
-labelled rows, gives the text's score.
+lexicon is a short fixed list and, for insults, words and word stems learned from labelled rows. Transducers
+(``transducers.py``) for reported speech and negation are composed with one that accepts insults and one that accepts threats;
+the two results read each clause, and a clause matches if one of them scores. Insults near a target weigh more, a
+threat counts only with a target after it, and what is negated or reported weighs less. A logistic function of the
+clause scores, fitted on the same labelled rows, gives the text's score.
+
+An insult without a target is accepted with a lower weight: the labelled texts hold insults that way, and a grammar
+that refuses them finds none of those texts.
 
 Words are runs of letters, compared in lower case; clauses end at . ! ? ; : and line breaks. Everything
 in a task is a numpy pass over a piece of bounded size. Fitting uses a bounded sample (``samples.py``)
@@ -30,6 +33,20 @@ from pyspark.sql import functions as F
 
 from statledger.llm.arrays import Words, find_words, pieces, prefixes, text_bytes
 from statledger.llm.samples import drawn_rows, fold, gathered
+from statledger.llm.transducers import (
+    INSULT,
+    NEGATION,
+    NONE,
+    REPORT,
+    TARGET,
+    THREAT,
+    Table,
+    compose,
+    insults,
+    negation,
+    reported_speech,
+    threats,
+)
 from statledger.session import written
 
 # Lexicons, for English, German, French and Spanish.
@@ -47,8 +64,8 @@ REPORTS = "said says called calls claimed quoted wrote sagte nannte écrit appel
 
 # Words that a class may reach: a target on either side, a negation before, a target after a threat.
 NEAR = 4
-# Factors by what stands near.
-TARGETED, NEGATED, REPORTED = 1.25, 0.5, 0.6
+# Weights of the arcs.
+TARGETED, BARE, NEGATED, REPORTED = 1.25, 1.0, 0.5, 0.6
 THREAT_WEIGHT = 2.0
 # Stem lengths in bytes; a learned term needs so many toxic texts, such odds, and the best so many are kept.
 STEMS = (4, 5, 6, 7, 8)
@@ -66,7 +83,6 @@ _NOT_LETTER[97:123] = False
 _NOT_LETTER[128:] = False
 _CLAUSE_END = np.zeros(256, np.int64)
 _CLAUSE_END[[ord(c) for c in ".!?;:\n"]] = 1
-_FAR = 1 << 40
 
 
 def _hashes(words: list[str]) -> np.ndarray:
@@ -75,6 +91,10 @@ def _hashes(words: list[str]) -> np.ndarray:
 
 _THREATS, _TARGETS = _hashes(THREATS), _hashes(TARGETS)
 _NEGATIONS, _REPORTS = _hashes(NEGATIONS), _hashes(REPORTS)
+_SPEECH = compose(reported_speech(REPORTED), negation(NEGATED, NEAR))
+GRAMMAR = tuple(
+    Table(compose(_SPEECH, last)) for last in (insults(TARGETED, BARE, NEAR), threats(THREAT_WEIGHT, NEAR))
+)
 
 
 def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -84,16 +104,22 @@ def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[at] == values
 
 
-def _since(marked: np.ndarray, clause: np.ndarray) -> np.ndarray:
-    """Words back to the last marked one of the same clause, itself included."""
-    n = np.arange(len(marked))
-    last = np.maximum.accumulate(np.where(marked, n, -1))
-    ok = (last >= 0) & (clause[np.maximum(last, 0)] == clause)
-    return np.where(ok, n - last, _FAR)
-
+def clause_scores(symbols: np.ndarray, weights: np.ndarray, clause: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First words of the clauses that may match, and their scores; ``clause`` numbers the clause of each word.
 
-def _until(marked: np.ndarray, clause: np.ndarray) -> np.ndarray:
-    return _since(marked[::-1], clause[::-1])[::-1]
+    Words without a class only age what came before them, and after ``NEAR`` of them nothing is left to age, so no more are read.
+    """
+    n = np.arange(len(symbols))
+    heads = np.flatnonzero(np.diff(clause, prepend=-1))
+    telling = np.add.reduceat((symbols == INSULT) | (symbols == THREAT), heads) > 0
+    last = np.maximum.accumulate(np.where(symbols != NONE, n, -1))
+    sizes = np.diff(np.append(heads, len(n)))
+    head_of = np.repeat(heads, sizes)
+    read = np.repeat(telling, sizes) & (last >= head_of) & (n - last <= NEAR)
+    kept = np.flatnonzero(read)
+    heads = heads[telling]
+    first = np.searchsorted(kept, np.append(heads, len(n)))
+    return heads, sum(table.run(symbols[kept], weights[kept], first) for table in GRAMMAR)
 
 
 def _lower(texts: pa.Array) -> pa.Array:
@@ -140,15 +166,12 @@ class Grammar:
         if not len(words.hash):
             return out
         insult = self.insult_weights(texts, words)
-        threat, target = _among(words.hash, _THREATS), _among(words.hash, _TARGETS)
-        negated = _since(_among(words.hash, _NEGATIONS), clause) <= NEAR
-        reported = _since(_among(words.hash, _REPORTS), clause) < _FAR
-        near = np.minimum(_since(target, clause), _until(target, clause)) <= NEAR
-        value = insult * np.where(near, TARGETED, 1.0)
-        value += THREAT_WEIGHT * (threat & (_until(target, clause) <= NEAR))
-        value *= np.where(negated, NEGATED, 1.0) * np.where(reported, REPORTED, 1.0)
-        heads = np.flatnonzero(np.diff(clause, prepend=-1))
-        scores = np.add.reduceat(value, heads)
+        symbols = np.full(len(words.hash), NONE)
+        for symbol, known in ((REPORT, _REPORTS), (NEGATION, _NEGATIONS), (TARGET, _TARGETS), (THREAT, _THREATS)):
+            symbols[_among(words.hash, known)] = symbol
+        # What the labels call an insult is one, whatever else the lists say.
+        symbols[insult > 0] = INSULT
+        heads, scores = clause_scores(symbols, np.where(symbols == INSULT, insult, 1.0), clause)
         owner = words.text_of[heads]
         hit = scores > 0
         out[:, 0] = np.log1p(np.bincount(owner, scores, minlength=rows))

@@ -1,10 +1,13 @@
 """Learned operators by held-out accuracy, page extraction, and the pipeline stage by stage."""
 
+import itertools
+
+import numpy as np
 import pytest
 from plain_text import plain_components, plain_pii, prose, texts_of
 from pyspark.sql import functions as F
 
-from statledger.llm import html_text, language, toxicity
+from statledger.llm import html_text, language, toxicity, transducers
 
 
 @pytest.fixture(scope="module")
@@ -112,6 +115,64 @@ def test_grammar_composes_clauses():
     assert plain.features(pa.array(["kill the process", "", None]))[:, 1].tolist() == [0, 0, 0]
 
 
+def plain_clause_score(clause):
+    """Score of a list of (class, weight), from positions alone."""
+    near, found = toxicity.NEAR, 0.0
+    at = {c: [k for k, (x, _) in enumerate(clause) if x == c] for c in transducers.CLASSES}
+
+    def factor(k):
+        negated = any(k - near <= g < k for g in at[transducers.NEGATION])
+        reported = any(r < k for r in at[transducers.REPORT])
+        return (toxicity.NEGATED if negated else 1) * (toxicity.REPORTED if reported else 1)
+
+    chains = []
+    for k in sorted(at[transducers.INSULT] + at[transducers.TARGET]):
+        if chains and k - chains[-1][-1] <= near:
+            chains[-1].append(k)
+        else:
+            chains.append([k])
+    for chain in chains:
+        aimed = any(k in at[transducers.TARGET] for k in chain)
+        for k in set(chain) - set(at[transducers.TARGET]):
+            found += clause[k][1] * factor(k) * (toxicity.TARGETED if aimed else toxicity.BARE)
+    for k in at[transducers.THREAT]:
+        after = [x for x in sorted(at[transducers.THREAT] + at[transducers.TARGET]) if x > k]
+        last = k
+        while after and after[0] - last <= near:
+            if after[0] in at[transducers.TARGET]:
+                found += toxicity.THREAT_WEIGHT * factor(k)
+                break
+            last = after.pop(0)
+    return found
+
+
+def test_composed_grammar_equals_plain_positions():
+    rng = np.random.default_rng(3)
+    clauses = [[(c, 1.0) for c in cs] for n in range(1, 5) for cs in itertools.product(transducers.CLASSES, repeat=n)]
+    shares = [0.5, 0.15, 0.1, 0.1, 0.1, 0.05]
+    for _ in range(1500):
+        n = rng.integers(1, 40)
+        symbols = rng.choice(transducers.CLASSES, n, p=shares)
+        clauses.append([(int(c), float(w) if c == transducers.INSULT else 1.0) for c, w in zip(symbols, rng.random(n))])
+    flat = [x for c in clauses for x in c]
+    number = np.repeat(np.arange(len(clauses)), [len(c) for c in clauses])
+    heads, scores = toxicity.clause_scores(np.array([c for c, _ in flat]), np.array([w for _, w in flat]), number)
+    got = np.zeros(len(clauses))
+    got[number[heads]] = scores
+    assert got == pytest.approx([plain_clause_score(c) for c in clauses])
+    # All pairs of states but those in which two different words would stand at one place.
+    assert [t.states for t in toxicity.GRAMMAR] == [2 * (5 * 9 - 8), 2 * (5 * 5 - 4)]
+
+
+def test_factors_compose():
+    once = transducers.reported_speech(0.5)
+    twice = transducers.Table(transducers.compose(once, transducers.compose(once, transducers.insults(2.0, 1.0, 3))))
+    words = np.array([transducers.REPORT, transducers.INSULT, transducers.INSULT])
+    # The first mapper takes the report away, so the second never sees it.
+    assert twice.run(words, np.array([1.0, 4.0, 4.0]), np.array([0, 3])).tolist() == [4.0]
+    assert twice.run(words[:0], np.zeros(0), np.zeros(1, int)).tolist() == []
+
+
 def test_toxicity_without_labels(ready, make_docs):
     labels = ready.createDataFrame([], "doc_id bigint, toxic int")
     found = toxicity.toxicity_report(make_docs([(1, "you idiot, you moron"), (2, "good day")]), labels)
