@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from statledger.llm.arrays import Words, find_words, mix, pieces, runs, text_bytes
+from statledger.session import written
 
 WIDTH = 20
 ANCHOR = 8
@@ -228,7 +229,7 @@ def _candidate_rows(piece, words, rows, at, window, value, where, first) -> Iter
 def removed_windows(docs: DataFrame) -> DataFrame:
     """``(row, starts)``: for rows of ``docs`` that lose words, the removed windows' first words.
 
-    ``docs`` has doc_id, key, row and text, as ``numbered`` makes them.
+    ``docs`` has doc_id, key, row and text, as ``numbered`` makes them, and is stored.
     """
     shared = docs.sparkSession.sparkContext.broadcast(merged_sketch(docs))
     found = docs.select("row", "doc_id", "key", "text").mapInArrow(
@@ -307,7 +308,8 @@ def _kept_words(piece: pa.RecordBatch) -> tuple[list[bytes], np.ndarray, np.ndar
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_words, n_removed, kept)`` of every row; ``kept`` is UTF-8."""
-    rows = numbered(docs)
+    # Stored, as a number depends on how a scan is split: what is removed finds its text whatever executors there are.
+    rows = written(numbered(docs), "substring-texts")
     starts = removed_windows(rows)
     joined = rows.join(starts.hint("shuffle_hash"), "row", "left")
     return joined.select("doc_id", "text", "starts").mapInArrow(

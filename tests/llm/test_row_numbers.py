@@ -2,7 +2,7 @@
 
 import pytest
 
-from statledger.llm import decontaminate, jaccard, mixing, pii, samples
+from statledger.llm import decontaminate, jaccard, mixing, pii, samples, substrings
 
 SPLITS = "spark.sql.leafNodeDefaultParallelism"
 
@@ -33,8 +33,9 @@ def listed(df):
         lambda docs, benchmark: pii.mask_pii(docs),
         decontaminate.decontamination_report,
         decontaminate.drop_contaminated,
+        lambda docs, benchmark: substrings.substring_report(docs),
     ],
-    ids=["jaccard", "one_of_each", "mixed_texts", "masked", "contaminated", "decontaminated"],
+    ids=["jaccard", "one_of_each", "mixed_texts", "masked", "contaminated", "decontaminated", "substrings"],
 )
 def test_rows_hold_when_splits_change(ready, split_docs, operator):
     docs, benchmark = split_docs
