@@ -2,15 +2,18 @@
 
 1. *Seeds.* Spans of the fixed kinds (email, ip, card, phone). Each mention induces lexical
    patterns from the words before it: the last word, and the last two.
-2. *Candidates.* Tokens shaped like identifiers that no fixed kind covers.
+2. *Candidates.* Tokens shaped like identifiers that no fixed kind covers; groups of digits set apart by
+   single spaces are one candidate.
 3. *Corpus counts.* How often each induced pattern's words occur at all, over the whole corpus. The
    patterns are looked up through a bitmap of fixed size, so nothing that grows is broadcast.
 4. *Scoring.* Spark scores the pattern-instance graph in turns: a pattern is trusted as far as
-   its occurrences lead to trusted instances, an instance as far as its best patterns are trusted. Seeds keep 1.
+   its occurrences lead to trusted instances, an instance as far as its best patterns are trusted. Seeds
+   keep 1. A pattern takes part once enough trusted instances follow it, so what one round trusts
+   brings new patterns into the next, which may have no seed of their own.
 5. *Discovery.* Candidates after a pattern of high confidence become spans of kind ``id``.
 
 Ordinary words are followed by an identifier rarely, so their confidence is near 0, however
-often seeds follow them. Defined cases: a null text is empty; rows are told apart by a row number, so
+often seeds follow them. A word of more than 80 characters is no pattern. Defined cases: a null text is empty; rows are told apart by a row number, so
 equal rows and null or repeated ids give one result each; an empty table gives an empty result;
 other columns are ignored. Memory follows one piece of text at a time.
 """
@@ -33,7 +36,7 @@ from statledger.llm.spans import PII_KINDS, count_kind, pii_spans, span_text
 from statledger.session import written
 
 BASE_KINDS = 4
-# A pattern needs so many distinct seed instances, and a discovery so much confidence.
+# A pattern needs so many distinct trusted instances, and trust or a discovery so much confidence.
 MIN_SEEDS = 5
 MIN_CONFIDENCE = 0.5
 ROUNDS = 3
@@ -45,8 +48,13 @@ _TOKEN = re.compile(
     r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 )
 _EDGE = "\"'()[]{}<>,;:!?.*#"
-# Characters before a mention that may hold its two words of context.
-CONTEXT_CHARS = 80
+_SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
+# What may stand between two groups of one identifier.
+_JOINT = re.compile(r"\x20(?:[A-Z]{1,6}\x20)?")
+# A longer word is no lexical pattern.
+LONGEST_WORD = 80
+# Letters and digits of the longest identifier written in groups, an IBAN; longer rows of groups are tables.
+LONGEST_RUN = 34
 
 _SPAN = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())])
 _MENTION = pa.struct(
@@ -69,30 +77,78 @@ def _ascii_lower(text: str) -> str:
     return text.translate({c: c + 32 for c in range(65, 91)})
 
 
+def _word_before(text: str, end: int) -> tuple[str | None, int]:
+    """The last word before ``end`` and where it starts; none if there is none or it is too long."""
+    while end and text[end - 1] in _SPACES:
+        end -= 1
+    before = _WORD_BEFORE.findall(text[max(0, end - LONGEST_WORD - 1) : end])
+    if not before or len(before[-1]) > LONGEST_WORD:
+        return None, end
+    return _ascii_lower(before[-1]), end - len(before[-1])
+
+
 def _context(text: str, start: int) -> tuple[str | None, str | None]:
-    """The word before a mention, and the last two; a word cut off by the window doesn't count."""
-    low = max(0, start - CONTEXT_CHARS)
-    before = _WORD_BEFORE.findall(_ascii_lower(text[low:start]))
-    if low and before and not text[low - 1].isspace():
-        before = before[1:]
-    return (before[-1] if before else None), (" ".join(before[-2:]) if len(before) > 1 else None)
+    """The word before a mention, and the last two."""
+    last, at = _word_before(text, start)
+    first = _word_before(text, at)[0] if last else None
+    return last, (f"{first} {last}" if first else None)
 
 
-def _candidates(text: str, spans: list) -> list[tuple[int, int]]:
-    """Identifier-shaped tokens outside the spans."""
-    found, k = [], 0
+def _tokens(text: str, spans: list) -> Iterator[tuple[int, int]]:
+    """Tokens with a digit or an @ outside the spans, without the punctuation around them."""
+    k = 0
     for m in _TOKEN.finditer(text):
         while k < len(spans) and spans[k][2] <= m.start():
             k += 1
         if k < len(spans) and spans[k][0] < m.end():
             continue
         token = m[0].strip(_EDGE)
-        if sum(c.isdigit() for c in token) >= 4 or ("@" in token and len(token) > 4):
-            start = m.start() + m[0].index(token)
-            found.append((start, start + len(token)))
+        start = m.start() + m[0].index(token)
+        yield start, start + len(token)
+
+
+def _candidates(text: str, spans: list) -> list[tuple[int, int]]:
+    """Identifier-shaped tokens, and rows of digit groups, outside the spans.
+
+    Groups hold no lower-case letters and belong together if a single space, or one short word in capitals, is all
+    between them. A row with more letters and digits than the longest identifier is a table, and each of its
+    tokens counts alone.
+    """
+    found: list[tuple[int, int]] = []
+    run: list[tuple[int, int]] = []
+
+    def close() -> None:
+        whole = [(run[0][0], run[-1][1])]
+        long = run[-1][1] - run[0][0] > 2 * LONGEST_RUN
+        if long or sum(c.isalnum() for c in text[whole[0][0] : whole[0][1]]) > LONGEST_RUN:
+            whole = run
+        found.extend(t for t in whole if _is_identifier(text[t[0] : t[1]]))
+
+    for token in _tokens(text, spans):
+        if run and not _joined(text, run[-1], token):
+            close()
+            run = []
+        run.append(token)
+    if run:
+        close()
     return found
 
 
+def _joined(text: str, left: tuple[int, int], right: tuple[int, int]) -> bool:
+    apart = right[0] - left[1]
+    if not 1 <= apart <= 8 or not _JOINT.fullmatch(text, left[1], right[0]):
+        return False
+    return _is_group(text[left[0] : left[1]]) and _is_group(text[right[0] : right[1]])
+
+
+def _is_group(token: str) -> bool:
+    return "@" not in token and token == token.upper()
+
+
+def _is_identifier(token: str) -> bool:
+    return sum(c.isdigit() for c in token) >= 4 or ("@" in token and len(token) > 4)
+
+
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in pieces(batch, size=SMALL_PIECE):
@@ -164,7 +220,7 @@ def read_mentions(rows: DataFrame) -> DataFrame:
 
 
 def score_patterns(docs: DataFrame, read: DataFrame) -> DataFrame:
-    """``(pattern, confidence)`` of the patterns that enough distinct seeds induce."""
+    """``(pattern, confidence)`` of the patterns that enough distinct trusted instances induce."""
     links = read.select(F.explode("mentions").alias("m")).select(
         "m.instance", "m.seed", F.explode(F.array("m.one", "m.two")).alias("pattern")
     )
@@ -174,31 +230,37 @@ def score_patterns(docs: DataFrame, read: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("n"), F.max("seed").alias("seed")),
         "pii-edges",
     )
-    induced = edges.groupBy("pattern").agg(F.count_if("seed").alias("seeds"))
-    keyed = induced.where(F.col("seeds") >= MIN_SEEDS).select("pattern")
+    # A pattern with too few instances of any kind can't be admitted in any round.
+    induced = edges.groupBy("pattern").agg(F.count("*").alias("instances"))
+    keyed = induced.where(F.col("instances") >= MIN_SEEDS).select("pattern")
     keyed = written(keyed.mapInArrow(_with_keys, "pattern string, key bigint"), "pii-patterns")
     counter = partial(_count, bitmap(keyed.select("key"), BITMAP_BITS))
     counts = docs.select("text").mapInArrow(counter, "key bigint, n bigint")
     total = counts.groupBy("key").agg(F.sum("n").alias("total"))
     known = keyed.join(total, "key").select("pattern", "total")
-    graph = edges.join(known, "pattern")
-    graph = written(graph, "pii-graph")
-    trust = F.when(F.col("seed"), F.lit(1.0)).otherwise(F.lit(0.0))
-    scored = graph.withColumn("trust", trust)
+    graph = written(edges.join(known, "pattern"), "pii-graph")
+    scored = graph.withColumn("trust", F.col("seed").cast("double"))
     for _ in range(ROUNDS):
         patterns = written(_confidence(scored), "pii-confidence")
         best = (
             graph.join(patterns, "pattern").groupBy("instance").agg(F.max("confidence").alias("best"))
         )
-        trust = F.when(F.col("seed"), F.lit(1.0)).otherwise(F.col("best"))
-        scored = graph.join(best, "instance").withColumn("trust", trust)
+        trust = F.when(F.col("seed"), F.lit(1.0)).otherwise(F.coalesce("best", F.lit(0.0)))
+        scored = graph.join(best, "instance", "left").withColumn("trust", trust)
     return _confidence(scored)
 
 
 def _confidence(scored: DataFrame) -> DataFrame:
     """Trusted mentions over all occurrences of a pattern, with one occurrence held against it."""
-    return scored.groupBy("pattern").agg(
-        (F.sum(F.col("n") * F.col("trust")) / (F.max("total") + 1)).alias("confidence")
+    admitted = F.count_if(F.col("trust") >= MIN_CONFIDENCE)
+    return (
+        scored.groupBy("pattern")
+        .agg(
+            (F.sum(F.col("n") * F.col("trust")) / (F.max("total") + 1)).alias("confidence"),
+            admitted.alias("trusted"),
+        )
+        .where(F.col("trusted") >= MIN_SEEDS)
+        .select("pattern", "confidence")
     )
 
 
