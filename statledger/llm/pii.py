@@ -220,7 +220,10 @@ def read_mentions(rows: DataFrame) -> DataFrame:
 
 
 def score_patterns(docs: DataFrame, read: DataFrame) -> DataFrame:
-    """``(pattern, confidence)`` of the patterns that enough distinct trusted instances induce."""
+    """``(pattern, confidence)`` of the patterns that enough distinct trusted instances induce.
+
+    The corpus is counted once for the patterns that seeds induce, and again only after a round that brings new ones.
+    """
     links = read.select(F.explode("mentions").alias("m")).select(
         "m.instance", "m.seed", F.explode(F.array("m.one", "m.two")).alias("pattern")
     )
@@ -230,37 +233,46 @@ def score_patterns(docs: DataFrame, read: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("n"), F.max("seed").alias("seed")),
         "pii-edges",
     )
-    # A pattern with too few instances of any kind can't be admitted in any round.
-    induced = edges.groupBy("pattern").agg(F.count("*").alias("instances"))
-    keyed = induced.where(F.col("instances") >= MIN_SEEDS).select("pattern")
-    keyed = written(keyed.mapInArrow(_with_keys, "pattern string, key bigint"), "pii-patterns")
-    counter = partial(_count, bitmap(keyed.select("key"), BITMAP_BITS))
-    counts = docs.select("text").mapInArrow(counter, "key bigint, n bigint")
-    total = counts.groupBy("key").agg(F.sum("n").alias("total"))
-    known = keyed.join(total, "key").select("pattern", "total")
-    graph = written(edges.join(known, "pattern"), "pii-graph")
-    scored = graph.withColumn("trust", F.col("seed").cast("double"))
+    trusted = edges.where("seed").withColumn("trust", F.lit(1.0))
+    asked = written(_induced(trusted), "pii-patterns")
+    known = _totals(docs, asked)
     for _ in range(ROUNDS):
-        patterns = written(_confidence(scored), "pii-confidence")
+        patterns = written(_confidence(trusted, known), "pii-confidence")
         best = (
-            graph.join(patterns, "pattern").groupBy("instance").agg(F.max("confidence").alias("best"))
+            edges.join(patterns, "pattern").groupBy("instance").agg(F.max("confidence").alias("best"))
+        )
+        trust = F.when(F.col("seed"), F.lit(1.0)).otherwise(F.col("best"))
+        trusted = written(
+            edges.join(best, "instance", "left").withColumn("trust", trust).where("trust > 0").drop("best"),
+            "pii-trusted",
         )
-        trust = F.when(F.col("seed"), F.lit(1.0)).otherwise(F.coalesce("best", F.lit(0.0)))
-        scored = graph.join(best, "instance", "left").withColumn("trust", trust)
-    return _confidence(scored)
+        new = written(_induced(trusted).join(asked, "pattern", "left_anti"), "pii-patterns")
+        if not new.isEmpty():
+            asked = asked.unionByName(new)
+            known = known.unionByName(_totals(docs, new))
+    return _confidence(trusted, known)
+
 
+def _induced(trusted: DataFrame) -> DataFrame:
+    """Patterns that enough distinct instances of enough trust follow."""
+    instances = F.count_if(F.col("trust") >= MIN_CONFIDENCE).alias("instances")
+    return trusted.groupBy("pattern").agg(instances).where(F.col("instances") >= MIN_SEEDS).select("pattern")
 
-def _confidence(scored: DataFrame) -> DataFrame:
+
+def _totals(docs: DataFrame, patterns: DataFrame) -> DataFrame:
+    """``(pattern, total)``: how often the words of each pattern occur in the corpus."""
+    keyed = written(patterns.mapInArrow(_with_keys, "pattern string, key bigint"), "pii-keys")
+    counter = partial(_count, bitmap(keyed.select("key"), BITMAP_BITS))
+    counts = docs.select("text").mapInArrow(counter, "key bigint, n bigint")
+    total = counts.groupBy("key").agg(F.sum("n").alias("total"))
+    return written(keyed.join(total, "key").select("pattern", "total"), "pii-totals")
+
+
+def _confidence(trusted: DataFrame, known: DataFrame) -> DataFrame:
     """Trusted mentions over all occurrences of a pattern, with one occurrence held against it."""
-    admitted = F.count_if(F.col("trust") >= MIN_CONFIDENCE)
-    return (
-        scored.groupBy("pattern")
-        .agg(
-            (F.sum(F.col("n") * F.col("trust")) / (F.max("total") + 1)).alias("confidence"),
-            admitted.alias("trusted"),
-        )
-        .where(F.col("trusted") >= MIN_SEEDS)
-        .select("pattern", "confidence")
+    mentions = trusted.groupBy("pattern").agg(F.sum(F.col("n") * F.col("trust")).alias("mentions"))
+    return mentions.join(known, "pattern").select(
+        "pattern", (F.col("mentions") / (F.col("total") + 1)).alias("confidence")
     )
 
 
