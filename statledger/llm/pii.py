@@ -42,6 +42,8 @@ MIN_CONFIDENCE = 0.5
 ROUNDS = 3
 # Places of the pattern bitmap; its 128 KiB is all that goes to every task.
 BITMAP_BITS = 20
+# Counts a task holds before it passes them on, 16 bytes each.
+MOST_HELD = 1 << 18
 
 _WORD_BEFORE = re.compile(r"[^\x20\x09-\x0D]+")
 _TOKEN = re.compile(
@@ -203,15 +205,37 @@ def _with_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _count(marks: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Occurrences of words and word pairs whose hash has its mark, summed per piece."""
+    """Occurrences of words and word pairs whose hash has its mark, summed per task as far as they fit."""
+    held, size = [], 0
     for batch in batches:
         for piece in pieces(batch, size=SMALL_PIECE):
             words = find_words(piece.column("text"), lower=True)
             keys = np.concatenate([words.hash, runs(words, 2)[0]])
-            keys, counts = np.unique(keys[marked(marks, keys)], return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int64))], ["key", "n"]
-            )
+            held.append(np.unique(keys[marked(marks, keys)], return_counts=True))
+            size += len(held[-1][0])
+            if size > MOST_HELD:
+                held = [_summed(held)]
+                size = len(held[0][0])
+                # Still many after the sum: different keys, which Spark has to bring together.
+                if size > MOST_HELD // 2:
+                    yield _counted(held.pop())
+                    size = 0
+    if held:
+        yield _counted(_summed(held))
+
+
+def _summed(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys, place = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+    sums = np.zeros(len(keys), np.int64)
+    np.add.at(sums, place, np.concatenate([n for _, n in held]))
+    return keys, sums
+
+
+def _counted(sums: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
+    keys, counts = sums
+    return pa.RecordBatch.from_arrays(
+        [pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int64))], ["key", "n"]
+    )
 
 
 def read_mentions(rows: DataFrame) -> DataFrame:

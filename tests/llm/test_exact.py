@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from plain_text import WORD, plain_components, plain_pii, prose, texts_of
@@ -388,6 +389,24 @@ def test_trusted_instances_admit_patterns_without_seeds(make_docs):
     assert caught == {*codes, "E-990011", "020 7946 0958", "GB29 NWBK 6016 1331 9268 19"}
 
 
+def test_corpus_counts_are_whole_whatever_a_task_holds(monkeypatch):
+    texts = [prose(k, 300) for k in range(40)]
+    plain = collections.Counter()
+    for text in texts:
+        words = text.lower().split()
+        plain.update([*words, *map(" ".join, zip(words, words[1:]))])
+    batches = [pa.RecordBatch.from_pydict({"text": [t]}) for t in texts]
+    every = np.full(1 << 14, -1, np.int64).view(np.uint64)
+    for held, least in ((1 << 18, 1), (64, 10)):
+        monkeypatch.setattr(pii, "MOST_HELD", held)
+        out = list(pii._count(every, iter(batches)))
+        assert len(out) >= least and (least > 1 or len(out) == 1)
+        counts = collections.Counter()
+        for b in out:
+            counts.update(dict(zip(b.column("key").to_pylist(), b.column("n").to_pylist())))
+        assert sorted(counts.values()) == sorted(plain.values())
+
+
 def test_long_rows_of_groups_are_tables():
     text = " ".join(f"{k:05d}" for k in range(40))
     assert [text[s:e] for s, e in pii._candidates(text, [])] == text.split()
