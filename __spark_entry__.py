@@ -15,7 +15,7 @@ from oracle_queries import ORACLE
 from statledger.functions import academic_year
 from statledger.operators import clusters, dims, history, lattice, marts, profile, quality
 from statledger.operators.dedupe import latest_extraction
-from statledger.operators.forecast import drift_forecast, fill_steps, holdout_check
+from statledger.operators.forecast import drift_forecast, fill_steps, holdout_check, order_forecast
 from statledger.operators.silver import to_silver, with_version
 from statledger.plans import lines as ln
 from statledger.plans.ledger import Ledger
@@ -491,6 +491,31 @@ def forecast_holdout(spark, sf):
     return rounded(checked, "forecast", "lower", "upper", "actual")
 
 
+def supplier_forecast(spark, sf):
+    """One series per supplier: quantity shipped each month to June 2001, four months on beside what came."""
+    shipped = table(spark, sf, "lineitem").where("l_suppkey IS NOT NULL AND l_shipdate IS NOT NULL")
+    month = (F.year("l_shipdate") * 12 + F.month("l_shipdate") - 1).cast("bigint")
+    series = shipped.groupBy("l_suppkey", month.alias("month_no")).agg(
+        F.sum("l_quantity").cast("bigint").alias("quantity")
+    )
+    last = 2001 * 12 + 5
+    known = fill_steps(series.where(F.col("month_no") <= last), "l_suppkey", "month_no", "quantity", last)
+    ahead = order_forecast(known, "l_suppkey", "month_no", "quantity")
+    later = series.where(F.col("month_no") > last)
+    checked = ahead.join(later, ["l_suppkey", "month_no"], "left").withColumn(
+        "actual", F.coalesce("quantity", F.lit(0).cast("bigint"))
+    )
+    return checked.select(
+        "l_suppkey",
+        "month_no",
+        "n",
+        "p",
+        "d",
+        *[F.round(c, 6).alias(c) for c in ("sigma", "forecast", "lower", "upper")],
+        "actual",
+    )
+
+
 def customer_forecast(spark, sf):
     """One series per customer: orders in each full year since the first, carried four years on.
 
@@ -766,6 +791,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "drift_forecast": forecast_query,
     "forecast_holdout": forecast_holdout,
     "customer_forecast": customer_forecast,
+    "supplier_forecast": supplier_forecast,
     "region_segments": region_segments,
     "restatement_shape": restatement_shape,
     "restatement_anomalies": restatement_anomalies,

@@ -838,6 +838,59 @@ versions AS (""", 1),
              round(sigma, 9) AS sigma, round(point, 9) AS forecast, round(point - margin, 9) AS lower,
              round(point + margin, 9) AS upper
       FROM ahead""",
+    "supplier_forecast": """
+      WITH shipped AS (
+        SELECT l_suppkey, CAST(year(l_shipdate) * 12 + month(l_shipdate) - 1 AS BIGINT) AS month_no,
+               CAST(SUM(l_quantity) AS BIGINT) AS quantity
+        FROM lineitem WHERE l_suppkey IS NOT NULL AND l_shipdate IS NOT NULL GROUP BY ALL),
+      begun AS (SELECT l_suppkey, MIN(month_no) AS since FROM shipped WHERE month_no <= 24017 GROUP BY ALL),
+      series AS (
+        SELECT b.l_suppkey, c.month_no, COALESCE(s.quantity, 0) AS y
+        FROM begun b JOIN (SELECT unnest(range(23000, 24018)) AS month_no) c ON c.month_no >= b.since
+        LEFT JOIN shipped s ON s.l_suppkey = b.l_suppkey AND s.month_no = c.month_no),
+      moved AS (
+        SELECT l_suppkey, month_no, CAST(y - first(y) OVER w AS DOUBLE) AS x0,
+               CAST(lag(y, 1) OVER w - first(y) OVER w AS DOUBLE) AS x1,
+               CAST(lag(y, 2) OVER w - first(y) OVER w AS DOUBLE) AS x2,
+               CAST(lag(y, 3) OVER w - first(y) OVER w AS DOUBLE) AS x3, first(y) OVER w AS base
+        FROM series WINDOW w AS (PARTITION BY l_suppkey ORDER BY month_no)),
+      terms AS (
+        SELECT l_suppkey, 0 AS d, x0 AS u, x1 AS v, x2 AS w FROM moved WHERE x3 IS NOT NULL
+        UNION ALL SELECT l_suppkey, 1, x0 - x1, x1 - x2, x2 - x3 FROM moved WHERE x3 IS NOT NULL),
+      sums AS (
+        SELECT l_suppkey, d, COUNT(*) AS n, SUM(u) AS su, SUM(v) AS sv, SUM(w) AS sw,
+               SUM(u * u) - SUM(u) * SUM(u) / COUNT(*) AS uu, SUM(u * v) - SUM(u) * SUM(v) / COUNT(*) AS uv,
+               SUM(u * w) - SUM(u) * SUM(w) / COUNT(*) AS uw, SUM(v * v) - SUM(v) * SUM(v) / COUNT(*) AS vv,
+               SUM(v * w) - SUM(v) * SUM(w) / COUNT(*) AS vw, SUM(w * w) - SUM(w) * SUM(w) / COUNT(*) AS ww
+        FROM terms GROUP BY ALL HAVING COUNT(*) >= 7),
+      slopes AS (
+        SELECT *, 0 AS p, 0.0::DOUBLE AS a, 0.0::DOUBLE AS b FROM sums
+        UNION ALL SELECT *, 1, uv / nullif(vv, 0), 0.0 FROM sums
+        UNION ALL SELECT *, 2, (uv * ww - uw * vw) / nullif(vv * ww - vw * vw, 0),
+                         (uw * vv - uv * vw) / nullif(vv * ww - vw * vw, 0) FROM sums),
+      rests AS (
+        SELECT *, greatest(uu - a * uv - b * uw, 0.0) AS rest FROM slopes WHERE a IS NOT NULL AND b IS NOT NULL),
+      fits AS (
+        SELECT *, CASE WHEN rest > 0 THEN n * ln(rest / n) + (p + 1) * ln(n) ELSE -1e308 END AS score,
+               su / n - a * (sv / n) - b * (sw / n) AS c, sqrt(rest / (n - (p + 1))) AS sigma,
+               a + d AS w1, CASE d WHEN 0 THEN b ELSE b - a END AS w2, CASE d WHEN 0 THEN 0.0 ELSE -b END AS w3
+        FROM rests),
+      best AS (
+        SELECT * FROM fits QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY score, d, p) = 1),
+      one AS (
+        SELECT b.*, m.base, m.x0, m.x1, m.x2, c + w1 * x0 + w2 * x1 + w3 * x2 AS f1, w1 AS e1
+        FROM best b JOIN moved m ON m.l_suppkey = b.l_suppkey AND m.month_no = 24017),
+      two AS (SELECT *, c + w1 * f1 + w2 * x0 + w3 * x1 AS f2, w1 * e1 + w2 AS e2 FROM one),
+      three AS (SELECT *, c + w1 * f2 + w2 * f1 + w3 * x0 AS f3, w1 * e2 + w2 * e1 + w3 AS e3 FROM two),
+      four AS (SELECT *, c + w1 * f3 + w2 * f2 + w3 * f1 AS f4 FROM three),
+      ahead AS (
+        SELECT *, base + [f1, f2, f3, f4][h] AS point,
+               1.959963984540054 * sigma * sqrt(list_sum([1.0, e1 * e1, e2 * e2, e3 * e3][1:h])) AS margin
+        FROM four, range(1, 5) r(h))
+      SELECT a.l_suppkey, 24017 + h AS month_no, n, CAST(p AS INTEGER) AS p, CAST(d AS INTEGER) AS d,
+             round(sigma, 6) AS sigma, round(point, 6) AS forecast, round(point - margin, 6) AS lower,
+             round(point + margin, 6) AS upper, COALESCE(s.quantity, 0) AS actual
+      FROM ahead a LEFT JOIN shipped s ON s.l_suppkey = a.l_suppkey AND s.month_no = 24017 + h""",
     "feed_national_trend": q(TO_FACT, f"""
       SELECT {YEAR}, CAST(SUM(start_count) AS BIGINT) AS starts,
              CAST(SUM(achievement_count) AS BIGINT) AS achievements

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from statledger.operators import clusters, marts, profile, quality
-from statledger.operators.forecast import drift_forecast, fill_steps, holdout_check
+from statledger.operators.forecast import drift_forecast, fill_steps, holdout_check, order_forecast
 from statledger.operators.quantile import nth_smallest
 from statledger.plans.standin import SPEC
 
@@ -234,3 +234,46 @@ def test_anomalies_of_equal_rows(spark):
     df = spark.createDataFrame([(1.0, 2.0)] * 20, "x double, y double")
     got = clusters.anomaly_flags(df, ["x", "y"], k=2).toPandas()
     assert not got.is_anomaly.any() and (got.normalized_distance == 0).all()
+
+
+def plain_order(values):
+    """(d, p) of least criterion, by a library's least squares."""
+    y = np.array(values)
+    best = []
+    for d in (0, 1):
+        v = np.diff(y, n=d)
+        target = v[3 - d :]
+        for p in range(3):
+            lags = [v[3 - d - k : len(v) - k] for k in range(1, p + 1)]
+            design = np.column_stack([np.ones(len(target)), *lags])
+            rest = target - design @ np.linalg.lstsq(design, target, rcond=None)[0]
+            n = len(target)
+            best.append((n * np.log(rest @ rest / n) + (p + 1) * np.log(n), d, p))
+    return min(best)[1:]
+
+
+def test_order_search(spark):
+    rng, rows, wanted = np.random.default_rng(4), [], {}
+    for k in range(20):
+        noise = rng.normal(size=400)
+        v = np.zeros(400)
+        a, b = [(0, 0), (0.7, 0), (0.5, -0.6), (0, 0), (0.6, 0)][k % 5]
+        for i in range(2, 400):
+            v[i] = a * v[i - 1] + b * v[i - 2] + noise[i]
+        y = np.cumsum(v + 0.1) if k % 5 > 2 else v + 50
+        wanted[k] = [(0, 0), (0, 1), (0, 2), (1, 0), (1, 1)][k % 5], plain_order(y)
+        rows += [(k, i, float(x)) for i, x in enumerate(y)]
+    rows += [(100, i, 7.0) for i in range(12)] + [(101, i, float(i % 4)) for i in range(9)]
+    rows += [(102, i, 3.0 * i) for i in range(12)]
+    found = {}
+    for r in order_forecast(spark.createDataFrame(rows, "g int, t bigint, y double"), "g", "t", "y").collect():
+        found.setdefault(r["g"], {})[r["h"]] = r
+    assert found.keys() == {*wanted, 100, 102} and all(len(f) == 4 for f in found.values())
+    orders = {k: (f[1]["d"], f[1]["p"]) for k, f in found.items()}
+    assert {k: orders[k] for k in wanted} == {k: plain for k, (_, plain) in wanted.items()}
+    assert sum(orders[k] == made for k, (made, _) in wanted.items()) >= 18
+    assert [found[100][h]["forecast"] for h in (1, 4)] == [7.0, 7.0] and found[100][4]["upper"] == 7.0
+    assert orders[102] == (0, 1) and found[102][4]["forecast"] == 45.0  # a line fits both, the lower d is taken
+    # Errors of a random walk add up, those of noise don't.
+    widths = {k: [f[h]["upper"] - f[h]["forecast"] for h in (1, 4)] for k, f in found.items()}
+    assert abs(widths[3][1] / widths[3][0] - 2) < 1e-9 and widths[0][0] == widths[0][1]
