@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from statledger.functions import natural_key, per_mille
 from statledger.plans.warehouse import Warehouse
-from statledger.session import scratch_path, sized_shuffles
+from statledger.session import scratch_path, sized_shuffles, written
 from statledger.sources.bronze import land, store_metadata
 from statledger.sources.catalogue import read_versions, seed_rows
 from statledger.spec import TableSpec
@@ -114,8 +114,10 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         for kept in combinations(dims, n)
     ]
     counts = ("lines", "starts", "achieved_lines", "achievements")
+    # Stored, since subtotals and wholes are both made of them, and two plans would each join all lines again.
+    finest = written(finest_cells(spark, sf_dir), "finest-cells")
     # A few thousand rows would end up in one task, which then makes every subtotal.
-    spread = finest_cells(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism)
+    spread = finest.repartition(spark.sparkContext.defaultParallelism)
     cubed = (
         spread
         .groupingSets(sets, "year", *area, *dims)
@@ -285,8 +287,8 @@ class Standin:
     def land(self) -> None:
         """Write the cells, every extraction of them, and the version seed."""
         path = f"{self.root}/cells"
-        inputs = [f"{self.sf_dir}/{name}.parquet" for name in ("lineitem", "orders")]
-        with sized_shuffles(self.spark, *inputs):
+        inputs = [table(self.spark, self.sf_dir, name) for name in ("lineitem", "orders")]
+        with sized_shuffles(self.spark, tables=inputs):
             cells(self.spark, self.sf_dir).write.mode("overwrite").parquet(path)
         extracted = releases(self.spark.read.parquet(path))
         land(extracted.drop("complete"), self.landing)

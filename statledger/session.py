@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 # Bytes one shuffle partition should hold, and how much larger rows are than their files.
 SHUFFLE_BYTES = 128 << 20
 UNPACKED = 4
+# Bytes a value takes in a shuffled row, about: 8 for a number, more for a short text.
+VALUE_BYTES = 16
 MOST_PARTITIONS = 20_000
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 _FOLDERS: dict[str, str] = {}
@@ -58,9 +61,19 @@ def stored_bytes(spark: SparkSession, *paths: str) -> int:
     return sum(files.load(path).agg(F.sum("length")).first()[0] or 0 for path in paths)
 
 
+def row_partitions(least: int, *tables: DataFrame) -> int:
+    """Shuffle partitions for all rows of the tables, from ``least`` to ``MOST_PARTITIONS``.
+
+    Files of few distinct values may be any number of times smaller than their rows, which are what a
+    task sorts. Of stored tables only the footers are read.
+    """
+    size = sum(t.count() * len(t.columns) * VALUE_BYTES for t in tables)
+    return max(least, min(math.ceil(size / SHUFFLE_BYTES), MOST_PARTITIONS))
+
+
 @contextmanager
-def sized_shuffles(spark: SparkSession, *paths: str):
-    """Jobs run inside start their shuffles with enough partitions for the files below ``paths``.
+def sized_shuffles(spark: SparkSession, *paths: str, tables: Sequence[DataFrame] = ()):
+    """Jobs run inside start their shuffles with enough partitions for the files below ``paths`` and rows of ``tables``.
 
     Adaptive execution merges small shuffle partitions but does not make more of
     them, so their first number has to follow the input. Afterwards the
@@ -68,7 +81,8 @@ def sized_shuffles(spark: SparkSession, *paths: str):
     """
     before = spark.conf.get(INITIAL_PARTITIONS, None)
     least = int(before or spark.conf.get("spark.sql.shuffle.partitions"))
-    spark.conf.set(INITIAL_PARTITIONS, shuffle_partitions(stored_bytes(spark, *paths), least))
+    wanted = row_partitions(shuffle_partitions(stored_bytes(spark, *paths), least), *tables)
+    spark.conf.set(INITIAL_PARTITIONS, wanted)
     try:
         yield
     finally:

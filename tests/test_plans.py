@@ -75,3 +75,21 @@ def test_no_python_workers_in_any_plan(spark, sf_dir):
     for name in ("scd2_fact", "silver", "regional_trends", "lines_scd2", "drift_forecast"):
         text = plan(entry.queries()[name](spark, sf_dir))
         assert "Python" not in text and "Pandas" not in text, name
+
+
+def test_partitions_follow_rows(spark, monkeypatch):
+    from statledger import session
+
+    same = spark.range(4000).select(F.lit(1).alias("a"), F.lit("x").alias("b"))
+    monkeypatch.setattr(session, "SHUFFLE_BYTES", 1000)
+    assert session.row_partitions(8, same) == 4000 * 2 * session.VALUE_BYTES // 1000
+    assert session.row_partitions(8, same.limit(3)) == 8
+    with session.sized_shuffles(spark, tables=[same, same]):
+        assert int(spark.conf.get(session.INITIAL_PARTITIONS)) == 256
+    assert spark.conf.get(session.INITIAL_PARTITIONS, None) is None
+
+
+def test_cells_join_the_lines_once(spark, sf_dir):
+    from statledger.plans.standin import cells
+
+    assert "lineitem.parquet" not in plan(cells(spark, sf_dir))
