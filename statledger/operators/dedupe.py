@@ -17,6 +17,7 @@ def latest_extraction(
     scope: str = "key",
     tiebreak: Sequence[str] | None = None,
     load: str = "version",
+    hashed: bool = True,
 ) -> DataFrame:
     """Newest copy of each key, or of each load.
 
@@ -27,6 +28,7 @@ def latest_extraction(
     Ranking on 1 lets Spark cut every group to one row per task before the
     shuffle (``WindowGroupLimit``), so a key copied very often stays cheap.
     Ties on ``order`` fall to ``tiebreak``, by default all other columns.
+    Without ``hashed`` rows come out sorted by ``keys``, which a window over the first of them then need not do.
     """
     if scope not in ("key", "version"):
         raise ValueError(f"scope must be 'key' or 'version', not {scope!r}")
@@ -37,7 +39,8 @@ def latest_extraction(
     if tiebreak is None:
         tiebreak = [c for c in df.columns if c not in (*keys, *order)]
     # Sorting compares the hash first, a number, and the key's text only on ties.
-    ranked = Window.partitionBy(F.xxhash64(*keys), *keys).orderBy(
+    first = [F.xxhash64(*keys)] if hashed else []
+    ranked = Window.partitionBy(*first, *keys).orderBy(
         *[F.col(c).desc_nulls_last() for c in (*order, *tiebreak)]
     )
     return df.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")

@@ -55,14 +55,15 @@ def register(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def latest(lines: DataFrame, scope: str = "key") -> DataFrame:
-    """One row per key and ship year."""
+def latest(lines: DataFrame, scope: str = "key", dealt: bool = False) -> DataFrame:
+    """One row per key and ship year; of rows ``dealt`` by key they come out in the order of a history."""
     return latest_extraction(
         lines,
-        keys=("version", *KEY),
+        keys=(*KEY, SEQ) if dealt else ("version", *KEY),
         order=("ingest_date",),
         scope=scope,
         tiebreak=(*MEASURES, *CARRY),
+        hashed=not dealt,
     )
 
 
@@ -88,14 +89,14 @@ def line_history(rows: DataFrame, releases: DataFrame, **options) -> DataFrame:
 
 
 def full_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """History of all lines, with one shuffle of full rows.
+    """History of all lines, with one shuffle and one sort of full rows.
 
     Rows are dealt by the history's key before the dedupe; the windows of both steps
-    find their keys together. Lines are copied a few times at most, so nothing is lost by not
+    find their keys together, and in the same order. Lines are copied a few times at most, so nothing is lost by not
     cutting copies before the shuffle.
     """
     lines = register(spark, sf_dir)
-    return line_history(typed(latest(lines.repartition(*KEY))), lines)
+    return line_history(typed(latest(lines.repartition(*KEY), dealt=True)), lines)
 
 
 def supplier_cube(spark: SparkSession, sf_dir: str, total: str = "Total") -> DataFrame:
@@ -132,6 +133,6 @@ def published_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``full_history`` as stored once per session, for the reports that read it."""
     made = (spark.sparkContext.applicationId, sf_dir)
     if made not in _PUBLISHED:
-        with sized_shuffles(spark, f"{sf_dir}/lineitem.parquet"):
+        with sized_shuffles(spark, tables=[register(spark, sf_dir)]):
             _PUBLISHED[made] = written(full_history(spark, sf_dir), "line-history")
     return _PUBLISHED[made]

@@ -77,6 +77,11 @@ def test_no_python_workers_in_any_plan(spark, sf_dir):
         assert "Python" not in text and "Pandas" not in text, name
 
 
+def test_line_history_sorts_once(spark, sf_dir):
+    text = plan(ln.full_history(spark, sf_dir))
+    assert len(exchanges(text)) == 1 and len(re.findall(r"\bSort \[", text)) == 1
+
+
 def test_partitions_follow_rows(spark, monkeypatch):
     from statledger import session
 
