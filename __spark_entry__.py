@@ -696,7 +696,8 @@ def lines_as_of(spark, sf):
 
 
 def lines_restatements(spark, sf):
-    return history.restatement_history(ln.published_history(spark, sf), ln.KEY, "quantity")
+    records = ln.revised_records(ln.published_history(spark, sf))
+    return history.restatement_history(records, ln.KEY, "quantity")
 
 
 def lines_revisions(spark, sf):

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from statledger.functions import measure_status, measure_value
 from statledger.operators.dedupe import latest_extraction
 from statledger.operators.history import scd2
-from statledger.session import sized_shuffles, written
+from statledger.session import row_partitions, sized_shuffles, written
 
 KEY = ("l_orderkey", "l_linenumber")
 MEASURES = {"quantity": "bigint", "discount_percent": "double", "tax_percent": "double"}
@@ -136,3 +136,13 @@ def published_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         with sized_shuffles(spark, tables=[register(spark, sf_dir)]):
             _PUBLISHED[made] = written(full_history(spark, sf_dir), "line-history")
     return _PUBLISHED[made]
+
+
+def revised_records(published: DataFrame) -> DataFrame:
+    """Records of the keys that have several, dealt by key: the only ones a restatement is made of.
+
+    Dealt to as many tasks as the published records need, since a window alone would not make more for more rows.
+    """
+    least = published.sparkSession.sparkContext.defaultParallelism
+    several = published.filter("is_superseded OR validity_group > 1")
+    return several.repartition(row_partitions(least, published), *KEY)

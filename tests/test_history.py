@@ -241,3 +241,19 @@ def test_unknown_scope_is_refused(spark):
     df = spark.createDataFrame(EXTRACTIONS, "version string, key string, ingest_date string, v string")
     with pytest.raises(ValueError, match="scope"):
         latest_extraction(df, ["key"], ["ingest_date"], scope="row")
+
+
+def test_restatements_need_only_the_keys_with_several_records(spark):
+    from statledger.plans import lines as ln
+
+    columns = "l_orderkey bigint, l_linenumber int, version string, version_seq bigint, published_at date, quantity bigint, quantity_status string"
+    made = [
+        (order, line, str(1990 + s), 1990 + s, date(1990 + s, 12, 31), value, "published" if value else "suppressed_low")
+        for order, line, values in [(1, 1, [5]), (1, 2, [5, 5, 6]), (None, 1, [7, 8]), (2, None, [3]), (3, 1, [4, None, 4])]
+        for s, value in enumerate(values)
+    ]
+    fact = scd2(spark.createDataFrame(made, columns), ln.KEY, ln.SEQ, ["quantity", "quantity_status"], version="version")
+    records = ln.revised_records(fact)
+    assert (fact.count(), records.count()) == (9, 7)
+    told = [restatement_history(f, ln.KEY, "quantity").collect() for f in (fact, records)]
+    assert len(told[0]) == 4 and sorted(map(str, told[0])) == sorted(map(str, told[1]))
