@@ -10,17 +10,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from statledger.llm import decontaminate, jaccard, language, mixing, pii
-from statledger.llm.ship import ship_package
+from statledger.llm.ship import bound_batches, ship_package
 from statledger.session import written
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
+    bound_batches(spark)
     return language.keep_known_languages(docs)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
+    bound_batches(spark)
     return jaccard.keep_one_of_each(docs)
 
 
@@ -30,6 +32,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
+    bound_batches(spark)
     return pii.mask_pii(docs)
 
 

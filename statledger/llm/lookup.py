@@ -2,16 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import partial
-
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statledger.llm.arrays import mix
-
 # Places of a bitmap of keys: 512 KiB.
 KEY_BITS = 22
 
@@ -38,30 +32,22 @@ def marked(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (words[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-def _spread(numbers: pa.Array) -> np.ndarray:
-    return mix(np.asarray(numbers, dtype=np.int64).view(np.uint64))
-
-
-def _with_hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays([pa.array(_spread(batch.column(0)).view(np.int64))], ["key"])
-
-
-def _filter(shared, column: str, present: bool, batches) -> Iterator[pa.RecordBatch]:
-    words = shared.value
-    for batch in batches:
-        yield batch.filter(pa.array(marked(words, _spread(batch.column(column))) == present))
-
-
 def perhaps_in(rows: DataFrame, column: str, keys: DataFrame, present: bool = True) -> DataFrame:
     """Rows whose whole number in ``column`` is perhaps among the only column of ``keys``.
 
     None that is there is left out; a few others pass, so an exact join follows. Not ``present``
-    gives exactly the other rows.
+    gives exactly the other rows. The bitmap's words are broadcast to a join in Spark, so that no text is sent to Python.
     """
-    hashed = keys.mapInArrow(_with_hash, "key bigint")
-    shared = rows.sparkSession.sparkContext.broadcast(bitmap(hashed, KEY_BITS))
-    return rows.mapInArrow(partial(_filter, shared, column, present), rows.schema)
+
+    def cell_and_bit(name: str) -> tuple[Column, Column]:
+        place = F.shiftrightunsigned(F.xxhash64(F.col(f"`{name}`").cast("bigint")), 64 - KEY_BITS)
+        return F.shiftright(place, 6).cast("int"), F.call_function("shiftleft", F.lit(1).cast("bigint"), (place % 64).cast("int"))
+
+    cell, bit = cell_and_bit(keys.columns[0])
+    words = keys.groupBy(cell.alias("__cell")).agg(F.bit_or(bit).alias("__word"))
+    cell, bit = cell_and_bit(column)
+    marked_there = (cell == F.col("__cell")) & (F.col("__word").bitwiseAND(bit) != 0)
+    return rows.join(F.broadcast(words), marked_there, "left_semi" if present else "left_anti")
 
 
 def without(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:

@@ -10,6 +10,18 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 _SHIPPED: set[str] = set()
+# Bytes of a batch of rows sent to a worker, which holds it whole, as the task does, in and out.
+BATCH_BYTES = 4 << 20
+BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound batches sent to workers by bytes, unless the session says how.
+
+    By default they are bounded by rows, and texts may be of any length.
+    """
+    if spark.conf.get(BATCH_LIMIT, None) is None:
+        spark.conf.set(BATCH_LIMIT, BATCH_BYTES)
 
 
 def ship_package(spark: SparkSession) -> None:

@@ -512,3 +512,32 @@ def test_lookup_is_exact(ready):
     rows = ready.range(5000).withColumn("x", F.lit("é"))
     keys = ready.range(0, 5000, 7).select(F.col("id").alias("k"))
     assert {r["id"] for r in without(rows, "id", keys).collect()} == {k for k in range(5000) if k % 7}
+
+
+def test_lookup_sends_no_text_to_python(ready):
+    from statledger.llm.lookup import perhaps_in, without
+
+    rows = ready.createDataFrame([(k if k % 5 else None, "é") for k in range(50)], "id bigint, text string")
+    keys = ready.createDataFrame([(k,) for k in (1, 2, 2, 60)], "k bigint")
+    for found in (perhaps_in(rows, "id", keys), without(rows, "id", keys)):
+        assert not re.search("Python|Arrow", found._jdf.queryExecution().executedPlan().toString())
+    assert {r["id"] for r in perhaps_in(rows, "id", keys).collect()} >= {1, 2}
+    left = [r["id"] for r in without(rows, "id", keys).collect()]
+    assert len(left) == 48 and left.count(None) == 10 and not {1, 2} & set(left)
+
+
+def test_batches_are_bounded_by_bytes(ready):
+    import pyarrow as pa
+
+    from statledger.llm.ship import BATCH_BYTES, BATCH_LIMIT, bound_batches
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    texts = ready.range(0, 9000, numPartitions=1).select(F.repeat(F.lit("abcdefgh"), 250).alias("text"))
+    bound_batches(ready)
+    try:
+        assert max(r["n"] for r in texts.mapInArrow(sizes, "n long").collect()) < 2 * BATCH_BYTES
+    finally:
+        ready.conf.unset(BATCH_LIMIT)
