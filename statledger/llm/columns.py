@@ -63,6 +63,16 @@ def fresh_name(df: DataFrame, base: str = "row") -> str:
     return base
 
 
+def with_text_keys(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``docs`` with two columns that tell a text wherever it is read again, and their names.
+
+    The first is a whole number for bitmaps, the second a SHA-256 digest, by which equal texts are equal.
+    """
+    names = [fresh_name(docs, "text_key"), fresh_name(docs, "digest")]
+    keys = [F.xxhash64("text"), F.unhex(F.sha2(F.col("text"), 256))]
+    return docs.withColumns(dict(zip(names, keys, strict=True))), names
+
+
 def stored_rows(docs: DataFrame, purpose: str) -> tuple[DataFrame, str]:
     """``docs`` stored with a number of its own for every row, and the name of that column."""
     row = fresh_name(docs)

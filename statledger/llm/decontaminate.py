@@ -9,8 +9,10 @@ A text is contaminated by a test item if it holds at least 80 % of the item's di
 2. *Candidates.* Shingles of whole texts meet the signatures; the shingles hit estimate the containment.
 3. *Exact containment.* Candidates are shingled again and all shingles of their items counted.
 
-Signatures and candidate rows are stored first, so Spark knows their size: it broadcasts them below its
+Signatures and candidates are stored first, so Spark knows their size: it broadcasts them below its
 own limit and shuffles beyond it. Hits are counted per text and item, and combined before the shuffle.
+Texts are read again and not stored: a row number tells rows apart within one scan only, and from scan to scan
+texts are found by content. A hash that two texts share makes a candidate too many, which the exact step refuses.
 
 Defined cases: case is ignored for A-Z; a null text, or one without words, is never contaminated, and such an item
 contaminates nothing. Fewer than five words are one shingle, so a short item is found only in a text of just these
@@ -22,7 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from statledger.llm.columns import ascii_lower, bind, shingles, stored_rows, with_row, words
+from statledger.llm.columns import ascii_lower, bind, shingles, with_text_keys, words
+from statledger.llm.lookup import perhaps_in, without
 from statledger.session import written
 
 # Whole percentages: the least containment, and what a text may lack.
@@ -53,42 +56,45 @@ def item_shingles(benchmark: DataFrame) -> DataFrame:
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``(row, doc_id, item_id, n_item, n_shared)`` of every contaminated row and item."""
-    return contaminated_rows(written(with_row(docs, "doc_id", "text"), "benchmark-texts"), benchmark)
+    return _contaminated(docs, benchmark).drop("text_key", "digest")
 
 
-def contaminated_rows(texts: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The same for texts that are stored with ``row``, a number of their own."""
+def _contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The same with what tells the text."""
+    texts = with_text_keys(docs.select("doc_id", "text"))[0].withColumn("row", F.monotonically_increasing_id())
     items = written(item_shingles(benchmark), "benchmark-shingles")
     signatures = written(items.where("sampled").select("item_id", "shingle"), "benchmark-signatures")
 
-    def exploded(rows: DataFrame) -> DataFrame:
-        return rows.select(
-            "row", "doc_id", F.explode(distinct_shingles(F.col("text"))).alias("shingle")
-        )
+    def exploded(rows: DataFrame, *columns: str) -> DataFrame:
+        return rows.select("row", *columns, F.explode(distinct_shingles(F.col("text"))).alias("shingle"))
 
     hits = (
-        exploded(texts).join(signatures, "shingle").groupBy("row", "item_id").agg(F.count("*").alias("n"))
+        exploded(texts, "text_key")
+        .join(signatures, "shingle")
+        .groupBy("row", "text_key", "item_id")
+        .agg(F.count("*").alias("n"))
     )
     sizes = items.groupBy("item_id").agg(
         F.max("n_item").alias("n_item"), F.count_if("sampled").alias("signature")
     )
     least = F.col("signature") - F.floor(F.col("n_item") * MISSING / 100)
-    candidates = hits.join(sizes, "item_id").where(F.col("n") >= least).select("row", "item_id")
-    candidates = written(candidates, "benchmark-candidates")
-    chosen = written(candidates.select("row").distinct(), "benchmark-rows")
+    candidates = hits.join(sizes, "item_id").where(F.col("n") >= least)
+    candidates = written(candidates.select("text_key", "item_id").distinct(), "benchmark-candidates")
+    chosen = written(candidates.select("text_key").distinct(), "benchmark-chosen")
+    near = perhaps_in(texts, "text_key", chosen).join(chosen, "text_key", "left_semi")
     shared = (
-        exploded(texts.join(chosen, "row", "left_semi"))
+        exploded(near, "doc_id", "text_key", "digest")
         .join(items.select("item_id", "shingle", "n_item"), "shingle")
         .groupBy("row", "item_id")
         .agg(
-            F.first("doc_id").alias("doc_id"),
+            *[F.first(c).alias(c) for c in ("doc_id", "text_key", "digest")],
             F.first("n_item").alias("n_item"),
             F.count("*").alias("n_shared"),
         )
-        .join(candidates, ["row", "item_id"], "left_semi")
+        .join(candidates, ["text_key", "item_id"], "left_semi")
     )
     return shared.where(100 * F.col("n_shared") >= PERCENT * F.col("n_item")).select(
-        "row", "doc_id", "item_id", "n_item", "n_shared"
+        "row", "doc_id", "item_id", "n_item", "n_shared", "text_key", "digest"
     )
 
 
@@ -98,10 +104,9 @@ def decontamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that no item contaminates, all columns unchanged."""
-    rows, row = stored_rows(docs, "benchmark-texts")
-    texts = rows.select("doc_id", "text", F.col(row).alias("row"))
-    found = written(contaminated_rows(texts, benchmark).select("row").distinct(), "benchmark-found")
-    return rows.join(found.toDF(row), row, "left_anti").drop(row).select(*docs.columns)
+    found = written(_contaminated(docs, benchmark).select("text_key", "digest").distinct(), "benchmark-found")
+    rows, keys = with_text_keys(docs)
+    return without(rows, keys, found).select(*docs.columns)
 
 
 ORACLE = """

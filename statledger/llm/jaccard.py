@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statledger.llm.arrays import SMALL_PIECE, Words, find_words, mix, pieces, runs
-from statledger.llm.columns import stored_rows
+from statledger.llm.columns import fresh_name
 from statledger.llm.components import components
 from statledger.llm.lookup import perhaps_in, without
 from statledger.session import written
@@ -215,19 +215,22 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def with_content(docs: DataFrame, row: str | None = None) -> DataFrame:
-    """doc_id and text with what tells the text, and a row number: the column ``row``, or one to be stored with the features.
+def _content() -> list[Column]:
+    """The values of ``CONTENT``."""
+    return [
+        F.xxhash64(F.coalesce("text", F.lit(""))),
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint"),
+        F.xxhash64("doc_id"),  # of a null id too, so that plain equality finds it
+    ]
+
+
+def with_content(docs: DataFrame) -> DataFrame:
+    """doc_id and text with what tells the text, and a row number to be stored with the features.
 
     Such a number depends on how a scan is split, so texts that are read again are found by content.
     """
-    return docs.select(
-        "doc_id",
-        "text",
-        F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"),
-        F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("text_bytes"),
-        F.xxhash64("doc_id").alias("id_key"),  # of a null id too, so that plain equality finds it
-        (F.col(row) if row else F.monotonically_increasing_id()).alias("row"),
-    )
+    content = [value.alias(name) for name, value in zip(CONTENT, _content(), strict=True)]
+    return docs.select("doc_id", "text", *content, F.monotonically_increasing_id().alias("row"))
 
 
 def with_texts(wanted: DataFrame, row: str, feats: DataFrame, rows: DataFrame) -> DataFrame:
@@ -527,7 +530,7 @@ def link_classes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
             break
     links = links.union(_late_links(open_rows, feats, rows))
     found = written(components(links), "jaccard-components")
-    return feats.select("row", "doc_id", "n_shingles", "h1", "h2"), _with_least(reps, found)
+    return feats.select("row", "doc_id", *CONTENT, "n_shingles", "h1", "h2"), _with_least(reps, found)
 
 
 def _partners(open_rows: DataFrame) -> tuple[int, int]:
@@ -557,7 +560,7 @@ def _with_least(reps: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def with_components(rows: DataFrame) -> DataFrame:
-    """``(row, doc_id, n_shingles, component, component_id)``; component_id is the least doc_id reached.
+    """``(row, doc_id, n_shingles, component, component_id)`` and ``CONTENT``; component_id is the least doc_id reached.
 
     ``rows`` are texts as by ``with_content``.
     """
@@ -567,6 +570,7 @@ def with_components(rows: DataFrame) -> DataFrame:
     return joined.select(
         "row",
         "doc_id",
+        *CONTENT,
         "n_shingles",
         F.coalesce("component", "row").alias("component"),
         F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
@@ -576,15 +580,30 @@ def with_components(rows: DataFrame) -> DataFrame:
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """The row of least doc_id of every component of near copies, all columns unchanged.
 
-    Ties go to the row read first; a null doc_id is the largest.
+    Ties go to the row read first; a null doc_id is the largest. Texts are not stored but found again by content. Where
+    rows of one content are more than those to keep, they have words, so are in one component, which keeps one of them.
     """
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
-    rows, row = stored_rows(docs, "jaccard-texts")
-    texts = with_content(rows, row)
-    joined = written(with_components(texts).select("row", "doc_id", "component"), "jaccard-rows")
-    least = joined.groupBy("component").agg(F.min(order)["row"].alias("row"))
-    dropped = written(joined.join(least, "row", "left_anti").select("row"), "jaccard-dropped")
-    return without(rows, row, dropped).drop(row)
+    joined = with_components(with_content(docs)).select("row", "doc_id", *CONTENT, "component")
+    joined = written(joined, "jaccard-rows")
+    least = joined.groupBy("component").agg(F.min(order)["row"].alias("row")).withColumn("kept", F.lit(1))
+    counts = joined.join(least, "row", "left").groupBy(*CONTENT).agg(F.count("*").alias("n"), F.count("kept").alias("kept"))
+    dropped = written(counts.where("kept < n").select(*CONTENT, "kept"), "jaccard-dropped")
+    names = [fresh_name(docs, name) for name in CONTENT]
+    rows = docs.withColumns(dict(zip(names, _content(), strict=True)))
+    single = without(rows, names, dropped.select(*CONTENT)).select(*docs.columns)
+    copied = dropped.where("kept > 0").select(*CONTENT).toDF(*names)
+    return single if copied.isEmpty() else single.unionByName(_first_of_each(rows, names, copied).select(*docs.columns))
+
+
+def _first_of_each(rows: DataFrame, names: list[str], content: DataFrame) -> DataFrame:
+    """The row read first of each content, combined before the shuffle."""
+    columns = rows.columns
+    number, first = fresh_name(rows, "number"), fresh_name(rows, "first")
+    numbered = rows.withColumn(number, F.monotonically_increasing_id())
+    near = perhaps_in(numbered, names[0], content.select(names[0])).join(content, names, "left_semi")
+    firsts = near.groupBy(*[F.col(n) for n in names]).agg(F.min_by(F.struct(*columns), number).alias(first))
+    return firsts.select(f"{first}.*")
 
 
 def jaccard_report(docs: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,9 +52,13 @@ def perhaps_in(rows: DataFrame, column: str, keys: DataFrame, present: bool = Tr
     return rows.join(F.broadcast(words), marked_there, "left_semi" if present else "left_anti")
 
 
-def without(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
-    """Rows whose ``column`` is not among the only column of ``keys``; few of the others are shuffled."""
-    key = keys.toDF("__key")
-    near = perhaps_in(rows, column, key)
-    kept = near.join(key, near[column] == key["__key"], "left_anti")
-    return perhaps_in(rows, column, key, present=False).unionByName(kept)
+def without(rows: DataFrame, columns: str | Sequence[str], keys: DataFrame) -> DataFrame:
+    """Rows whose ``columns`` are not among the rows of ``keys``; few of the others are shuffled.
+
+    The first column is a whole number, by which the bitmap is made.
+    """
+    columns = [columns] if isinstance(columns, str) else list(columns)
+    key = keys.toDF(*[f"__key{k}" for k in range(len(columns))])
+    near = perhaps_in(rows, columns[0], key.select("__key0"))
+    kept = near.join(key, [near[c] == key[f"__key{k}"] for k, c in enumerate(columns)], "left_anti")
+    return perhaps_in(rows, columns[0], key.select("__key0"), present=False).unionByName(kept)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statledger.llm.arrays import SMALL_PIECE, find_words, pieces, runs
-from statledger.llm.columns import fresh_name, stored_rows, with_row
+from statledger.llm.columns import fresh_name, with_row, with_text_keys
 from statledger.llm.lookup import bitmap, marked, perhaps_in, without
 from statledger.llm.spans import PII_KINDS, count_kind, pii_spans, span_text
 from statledger.session import written
@@ -69,8 +69,8 @@ _MENTION = pa.struct(
         ("two", pa.string()),
     ]
 )
-_SCHEMA = (
-    "row bigint, doc_id bigint, spans array<struct<start:int,kind:int,end:int>>, "
+_FOUND = (
+    "spans array<struct<start:int,kind:int,end:int>>, "
     "mentions array<struct<start:int,end:int,seed:boolean,instance:string,one:string,two:string>>"
 )
 
@@ -151,7 +151,8 @@ def _is_identifier(token: str) -> bool:
     return sum(c.isdigit() for c in token) >= 4 or ("@" in token and len(token) > 4)
 
 
-def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _read(names: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans and mentions of texts, with the columns ``names``."""
     for batch in batches:
         for piece in pieces(batch, size=SMALL_PIECE):
             spans, mentions = [], []
@@ -164,12 +165,11 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 mentions.append([_mention(text, *m) for m in own])
             yield pa.RecordBatch.from_arrays(
                 [
-                    piece.column("row"),
-                    piece.column("doc_id"),
+                    *[piece.column(n) for n in names],
                     pa.array(spans, pa.list_(_SPAN)),
                     pa.array(mentions, pa.list_(_MENTION)),
                 ],
-                ["row", "doc_id", "spans", "mentions"],
+                [*names, "spans", "mentions"],
             )
 
 
@@ -239,8 +239,10 @@ def _counted(sums: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
 
 
 def read_mentions(rows: DataFrame) -> DataFrame:
-    """Base spans of every row, and its mentions with their contexts, stored once."""
-    return written(rows.mapInArrow(_read, _SCHEMA), "pii-mentions")
+    """Base spans of every row, and its mentions with their contexts, stored once with all columns but the text."""
+    others = rows.drop("text")
+    kinds = ", ".join(f"{name} {kind}" for name, kind in others.dtypes)
+    return written(rows.mapInArrow(partial(_read, others.columns), f"{kinds}, {_FOUND}"), "pii-mentions")
 
 
 def score_patterns(docs: DataFrame, read: DataFrame) -> DataFrame:
@@ -306,7 +308,10 @@ def find_pii(docs: DataFrame) -> DataFrame:
 
 
 def find_in_rows(rows: DataFrame) -> DataFrame:
-    """``(row, doc_id, spans)`` of texts with ``row``, a number of their own; spans hold (start, kind number, end), discovered ones included."""
+    """The columns of ``rows`` but the text, which is replaced by ``spans``: (start, kind number, end), discovered ones included.
+
+    ``row`` is a number of each row's own. It is stored with what is read, and holds for that alone.
+    """
     read = read_mentions(rows)
     trusted = score_patterns(rows, read).where(F.col("confidence") >= MIN_CONFIDENCE)
     unknown = (
@@ -322,7 +327,7 @@ def find_in_rows(rows: DataFrame) -> DataFrame:
     )
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     return read.join(found, "row", "left").select(
-        "row", "doc_id", F.concat("spans", F.coalesce("more", none)).alias("spans")
+        *rows.drop("text").columns, F.concat("spans", F.coalesce("more", none)).alias("spans")
     )
 
 
@@ -356,17 +361,19 @@ def _mask(names: list[str], spans: str, batches) -> Iterator[pa.RecordBatch]:
 def mask_pii(docs: DataFrame) -> DataFrame:
     """``docs`` with personal data replaced by its kind, and ``n_chars``, if there, brought in line.
 
-    Only texts with spans, and the few that share their bitmap mark, are shuffled.
+    Equal texts have equal spans, so texts are not stored but found again by content. Only texts with spans, and the
+    few that share their bitmap mark, are shuffled.
     """
-    rows, row = stored_rows(docs, "pii-texts")
+    texts = with_text_keys(docs.select("text"))[0].withColumn("row", F.monotonically_increasing_id())
+    found = find_in_rows(texts).where(F.size("spans") > 0).dropDuplicates(["digest"])
+    hits = written(found.select("text_key", "digest", "spans"), "pii-hits")
+    rows, keys = with_text_keys(docs)
     hit, spans = fresh_name(rows, "hit"), fresh_name(rows, "spans")
-    found = find_in_rows(rows.select("doc_id", "text", F.col(row).alias("row")))
-    hits = written(found.where(F.size("spans") > 0).select("row", "spans"), "pii-hits").toDF(hit, spans)
-    keys = hits.select(hit)
-    near = perhaps_in(rows, row, keys).join(hits, F.col(row) == F.col(hit))
+    known = hits.select(F.col("digest").alias(hit), F.col("spans").alias(spans))
+    near = perhaps_in(rows, keys[0], hits.select("text_key")).join(known, F.col(keys[1]) == F.col(hit))
     masked = near.mapInArrow(partial(_mask, docs.columns, spans), docs.schema)
-    others = without(rows, row, keys)
-    return masked.unionByName(others.drop(row))
+    others = without(rows, keys, hits.select("text_key", "digest"))
+    return masked.unionByName(others.select(*docs.columns))
 
 
 def mask_all(text: str, spans: list[dict]) -> str:
