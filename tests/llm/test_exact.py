@@ -496,7 +496,7 @@ def test_registered_twins(ready, sf_dir):
     from statledger.llm import queries
 
     con = duckdb.connect()
-    for name in ("documents", "benchmark"):
+    for name in ("documents", "benchmark", "embeddings"):
         con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
     for name, sql in queries.oracle_sql().items():
         result = queries.queries()[name](ready, sf_dir)
